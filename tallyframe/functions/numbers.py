@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+_NUMBER_START = r"^[\x00-\x20]*[+-]?[0-9.iInN]"
+
+
 def ref(name: str) -> Column:
     """Column reference that is safe for names holding dots or other punctuation."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -30,7 +33,9 @@ def as_double(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     value = ref(name)
     if isinstance(kind, T.StringType):
-        value = value.try_cast("double")
+        # a failed text cast raises inside the JVM, which is slow per row; only
+        # text that starts like a number, NaN or Infinity is tried at all
+        value = F.when(value.rlike(_NUMBER_START), value.try_cast("double"))
     elif not isinstance(kind, T.DoubleType):
         value = value.cast("double")
     if isinstance(kind, (T.StringType, T.FloatType, T.DoubleType)):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyframe.functions.numbers import as_double, nan_to_null, ref
 from tallyframe.spec import SurveySpec
@@ -48,12 +48,18 @@ def cast_double(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
+def _recoded(raw: Column, spec: SurveySpec) -> Column:
+    """All codes are replaced at once; a code is never replaced twice."""
+    coded = F
+    for old, new in spec.recode.items():
+        coded = coded.when(raw == F.lit(float(old)), F.lit(float(new)))
+    return coded.otherwise(raw) if spec.recode else raw
+
+
 def recode_target(df: DataFrame, spec: SurveySpec) -> DataFrame:
     """Apply the outcome coding; unknown codes become null, rows are kept."""
     raw = as_double(require_target(df, spec), spec.target)
-    coded = raw
-    for old, new in spec.recode.items():
-        coded = F.when(raw == F.lit(float(old)), F.lit(float(new))).otherwise(coded)
+    coded = _recoded(raw, spec)
     if spec.unknown:
         coded = F.when(~raw.isin(*map(float, spec.unknown)), coded)
     return df.withColumn(spec.target, coded)
@@ -62,14 +68,19 @@ def recode_target(df: DataFrame, spec: SurveySpec) -> DataFrame:
 def label_filter(df: DataFrame, spec: SurveySpec) -> DataFrame:
     """Rows with a known outcome, recoded.
 
-    Null and unknown codes are removed on the stored column first, in a form
-    that reaches a parquet scan; text cells and NaN are caught after the cast.
+    The filter names the stored column once and in plain terms, so it reaches a
+    parquet scan; null codes fail the ``NOT IN`` test like unknown ones.
     """
-    stored = ref(require_target(df, spec).schema[spec.target].name)
-    known = stored.isNotNull()
-    if spec.unknown and isinstance(df.schema[spec.target].dataType, T.NumericType):
-        known = known & ~stored.isin(*spec.unknown)
-    return recode_target(df.filter(known), spec).filter(ref(spec.target).isNotNull())
+    kind = require_target(df, spec).schema[spec.target].dataType
+    raw = as_double(df, spec.target)
+    if isinstance(kind, T.NumericType):
+        stored = ref(spec.target)
+        known = ~stored.isin(*spec.unknown) if spec.unknown else stored.isNotNull()
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            known = known & ~F.isnan(stored)
+    else:
+        known = ~raw.isin(*map(float, spec.unknown)) if spec.unknown else raw.isNotNull()
+    return df.where(known).withColumn(spec.target, _recoded(raw, spec))
 
 
 def label_int(df: DataFrame, spec: SurveySpec) -> DataFrame:
