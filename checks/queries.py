@@ -200,12 +200,12 @@ def training_frame(spark, sf_dir):
 
 @query
 def prepare(spark, sf_dir):
-    return plans.prepare(survey(spark, sf_dir), SPEC)[0]
+    return plans.prepare(survey(spark, sf_dir), SPEC).table
 
 
 @query
 def feature_ranking(spark, sf_dir):
-    return rounded(plans.prepare(survey(spark, sf_dir), SPEC)[1], 6, "mi")
+    return rounded(plans.prepare(survey(spark, sf_dir), SPEC).ranking(), 6, "mi")
 
 
 # --- aggregates and statistics -----------------------------------------------
@@ -272,7 +272,7 @@ def mutual_information(spark, sf_dir):
 
 @query
 def top_features(spark, sf_dir):
-    _, ranking = plans.prepare(survey(spark, sf_dir), SPEC)
+    ranking = plans.prepare(survey(spark, sf_dir), SPEC).ranking()
     return rounded(information.top_features(ranking, 3), 6, "mi")
 
 

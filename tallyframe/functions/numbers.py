@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-_NUMBER_START = r"^[\x00-\x20]*[+-]?[0-9.iInN]"
+_NUMBER_START = r"(?i)^[\x00-\x20]*[+-]?(?:[0-9.]|inf|nan)"
 
 
 def ref(name: str) -> Column:

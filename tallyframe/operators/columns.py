@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tallyframe.functions.numbers import as_double, nan_to_null, ref
+from tallyframe.functions.numbers import as_double, doubles, nan_to_null, ref
 from tallyframe.spec import SurveySpec
 
 
@@ -94,12 +94,13 @@ def rename_label(df: DataFrame, spec: SurveySpec, label: str = "label") -> DataF
 
 @dataclass(frozen=True)
 class ColumnStats:
-    """Row count plus non-null count, minimum and maximum per column."""
+    """Row count plus non-null count, minimum, maximum and wholeness per column."""
 
     rows: int
     non_null: Mapping[str, int]
     low: Mapping[str, float | None]
     high: Mapping[str, float | None]
+    whole: Mapping[str, bool | None] = field(default_factory=dict)
 
     def missing_pct(self, name: str) -> float:
         return 100.0 * (self.rows - self.non_null[name]) / self.rows if self.rows else 0.0
@@ -111,6 +112,10 @@ class ColumnStats:
             return self.rows > 0
         return filled == self.rows and self.low[name] == self.high[name]
 
+    def is_coded(self, name: str, max_codes: int) -> bool:
+        """Whole numbers within a range of at most ``max_codes`` values."""
+        return bool(self.whole.get(name)) and self.high[name] - self.low[name] < max_codes
+
     def sparse(self, names: Sequence[str], max_missing_pct: float) -> list[str]:
         return [n for n in names if self.missing_pct(n) > max_missing_pct]
 
@@ -124,18 +129,20 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> ColumnS
     names = list(df.columns if columns is None else columns)
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, name in enumerate(names):
-        value = as_double(df, name)
+        value = ref(name)
         aggregates += [
             F.count(value).alias(f"c{i}"),
             F.min(value).alias(f"lo{i}"),
             F.max(value).alias(f"hi{i}"),
+            F.bool_and(value == F.rint(value)).alias(f"w{i}"),
         ]
-    row = df.agg(*aggregates).first()
+    row = doubles(df, names).agg(*aggregates).first()
     return ColumnStats(
         rows=row["n"],
         non_null={name: row[f"c{i}"] for i, name in enumerate(names)},
         low={name: row[f"lo{i}"] for i, name in enumerate(names)},
         high={name: row[f"hi{i}"] for i, name in enumerate(names)},
+        whole={name: row[f"w{i}"] for i, name in enumerate(names)},
     )
 
 

@@ -17,7 +17,7 @@ from tallyframe.operators.quantiles import EXACT_ROWS, exact_quantiles, midpoint
 
 GRID = 200
 # Rows handled at once against the whole grid inside one task.
-_DENSITY_CHUNK = 4096
+_DENSITY_CHUNK = 512
 
 
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = BINS) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyframe.functions.numbers import as_double, ref
+from tallyframe.functions.numbers import as_double, doubles, ref
 from tallyframe.operators.columns import ColumnStats, column_stats
 
 BINS = 50
@@ -22,24 +22,33 @@ def equal_width_bin(value, low: float, high: float, bins: int = BINS):
     return F.when(value.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(bins - 1), place))).cast("int")
 
 
-def continuous_columns(df: DataFrame, columns: Sequence[str], max_codes: int = MAX_CODES) -> list[str]:
+def continuous_columns(
+    df: DataFrame,
+    columns: Sequence[str],
+    max_codes: int = MAX_CODES,
+    stats: ColumnStats | None = None,
+) -> list[str]:
     """Columns with more than ``max_codes`` distinct values.
 
-    A sketch settles the clear cases in one scan; only columns whose estimate
-    lies close to the limit are counted exactly, and those are known to be small.
+    Whole numbers in a narrow range are codes without looking further.  For the
+    others a sketch settles the clear cases in one scan; only columns whose
+    estimate lies close to the limit are counted exactly, and those are known
+    to have few values.
     """
-    columns = list(columns)
-    if not columns:
+    open_columns = [c for c in columns if stats is None or not stats.is_coded(c, max_codes)]
+    if not open_columns:
         return []
-    row = df.agg(
-        *[F.approx_count_distinct(as_double(df, c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]
+    data = doubles(df, open_columns)
+    row = data.agg(
+        *[F.approx_count_distinct(ref(c)).alias(f"d{i}") for i, c in enumerate(open_columns)]
     ).first()
-    estimate = {c: row[f"d{i}"] for i, c in enumerate(columns)}
-    unclear = [c for c in columns if 0.8 * max_codes <= estimate[c] <= 1.25 * max_codes]
+    estimate = {c: row[f"d{i}"] for i, c in enumerate(open_columns)}
+    # the sketch has 5 % standard error; the band is five times that
+    unclear = [c for c in open_columns if 0.75 * max_codes <= estimate[c] <= 1.33 * max_codes]
     exact = {}
     if unclear:
         counted = (
-            df.select(*[as_double(df, c).alias(c) for c in unclear])
+            data.select(*map(ref, unclear))
             .unpivot([], [ref(c) for c in unclear], "column", "value")
             .where("value IS NOT NULL")
             .groupBy("column", "value")
@@ -48,7 +57,7 @@ def continuous_columns(df: DataFrame, columns: Sequence[str], max_codes: int = M
             .count()
         )
         exact = {r["column"]: r["count"] for r in counted.collect()}
-    return [c for c in columns if exact.get(c, estimate[c]) > max_codes]
+    return [c for c in open_columns if exact.get(c, estimate[c]) > max_codes]
 
 
 def value_counts(
@@ -113,7 +122,7 @@ def mutual_information(
     """
     features = list(features)
     if continuous is None:
-        continuous = continuous_columns(df, features, max_codes)
+        continuous = continuous_columns(df, features, max_codes, stats)
     if continuous and stats is None:
         stats = column_stats(df, continuous)
     ranges = {c: (stats.low[c], stats.high[c]) for c in continuous}

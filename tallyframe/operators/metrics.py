@@ -23,41 +23,45 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
     return scored.groupBy("model", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _cells(scored: DataFrame) -> DataFrame:
-    """One row per model: tp, tn, fp, fn and their sum as doubles."""
+_CELLS = ("tp", "tn", "fp", "fn")
+
+
+def _cell_counts() -> list[Column]:
     label, hit = F.col("label") == 1, F.col("prediction") == 1
-    known = scored.where("label IS NOT NULL AND prediction IS NOT NULL")
-    return known.groupBy("model").agg(
-        F.count_if(label & hit).cast("double").alias("tp"),
-        F.count_if(~label & ~hit).cast("double").alias("tn"),
-        F.count_if(~label & hit).cast("double").alias("fp"),
-        F.count_if(label & ~hit).cast("double").alias("fn"),
-        F.count(F.lit(1)).cast("double").alias("total"),
-    )
+    cells = (label & hit, ~label & ~hit, ~label & hit, label & ~hit)
+    return [F.count_if(c).cast("double").alias(name) for name, c in zip(_CELLS, cells)]
 
 
 def _f1(hits: Column, wrong: Column) -> Column:
     return F.coalesce(F.try_divide(2.0 * hits, 2.0 * hits + wrong), F.lit(0.0))
 
 
+def _cell_metrics() -> dict[str, Column]:
+    tp, tn, fp, fn = map(F.col, _CELLS)
+    wrong, total = fp + fn, tp + tn + fp + fn
+    weighted = (tp + fn) * _f1(tp, wrong) + (tn + fp) * _f1(tn, wrong)
+    return {
+        "accuracy": share(tp + tn, total),
+        "f1": share(weighted, total),
+        "precision": share(tp, tp + fp),
+        "recall": share(tp, tp + fn),
+        "specificity": share(tn, tn + fp),
+        "f1_positive": _f1(tp, wrong),
+    }
+
+
 def classification_metrics(scored: DataFrame) -> DataFrame:
     """Accuracy, label-weighted F1, precision, recall and specificity per model.
 
     ``f1`` weighs the F1 of each class by its share of the labels;
     ``f1_positive`` is the F1 of class 1 alone.
     """
-    tp, tn, fp, fn, total = (F.col(c) for c in ("tp", "tn", "fp", "fn", "total"))
-    wrong = fp + fn
-    weighted = F.try_divide((tp + fn) * _f1(tp, wrong) + (tn + fp) * _f1(tn, wrong), total)
-    return _cells(scored).select(
-        "model",
-        share(tp + tn, total).alias("accuracy"),
-        weighted.alias("f1"),
-        share(tp, tp + fp).alias("precision"),
-        share(tp, tp + fn).alias("recall"),
-        share(tn, tn + fp).alias("specificity"),
-        _f1(tp, wrong).alias("f1_positive"),
-    )
+    cells = scored.groupBy("model").agg(*_cell_counts())
+    return cells.select("model", *[value.alias(name) for name, value in _cell_metrics().items()])
+
+
+_RUN_SUMS = ["p", "n", *_CELLS]
+_RUN_SCHEMA = "model string, start double, u double, " + ", ".join(f"{c} double" for c in _RUN_SUMS)
 
 
 def _rank_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -66,56 +70,67 @@ def _rank_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ``u`` counts, for the positives of this run, the negatives of the same run
     with a lower score, ties counting half.
     """
-    runs: dict[str, list[float]] = {}
+    runs: dict[str, dict] = {}
     for batch in batches:
         for model, rows in batch.groupby("model", sort=False):
             p, n = rows["p"].to_numpy(), rows["n"].to_numpy()
-            run = runs.setdefault(model, [float(rows["score"].iloc[0]), 0.0, 0.0, 0.0])
-            below = run[2] + n.cumsum() - n
-            run[3] += float((p * (below + n / 2.0)).sum())
-            run[1] += float(p.sum())
-            run[2] += float(n.sum())
-    yield pd.DataFrame(
-        [(m, *run) for m, run in runs.items()], columns=["model", "start", "p", "n", "u"]
-    )
+            run = runs.get(model)
+            if run is None:
+                scores = rows["score"].dropna()
+                start = float(scores.iloc[0]) if len(scores) else float("-inf")
+                run = runs[model] = {"model": model, "start": start, "u": 0.0, **dict.fromkeys(_RUN_SUMS, 0.0)}
+            below = run["n"] + n.cumsum() - n
+            run["u"] += float((p * (below + n / 2.0)).sum())
+            for name in _RUN_SUMS:
+                run[name] += float(rows[name].sum())
+    yield pd.DataFrame(list(runs.values()), columns=["model", "start", "u", *_RUN_SUMS])
 
 
-def roc_auc(scored: DataFrame) -> DataFrame:
-    """Exact area under the ROC curve per model, by ranks with ties counted half.
+def _ranked_totals(scored: DataFrame, cells: Sequence[Column]) -> DataFrame:
+    """One row per model: rank sum ``u``, positives ``p``, negatives ``n`` and the cell counts.
 
     Equal scores are added up before the shuffle, the distinct scores are range
     partitioned, and each range is folded on its own in score order.  What is
     left is one row per range, whose offsets a small window adds.  No task sees
-    all scores and no sort is global.
+    all scores and no sort is global.  Rows without a score count in the cells
+    only.
     """
-    by_score = (
-        scored.where("label IS NOT NULL AND score IS NOT NULL")
-        .groupBy("model", F.col("score").cast("double").alias("score"))
-        .agg(
-            F.count_if(F.col("label") == 1).cast("double").alias("p"),
-            F.count_if(F.col("label") != 1).cast("double").alias("n"),
-        )
+    score = F.col("score").cast("double")
+    ranked = score.isNotNull() & F.col("label").isNotNull()
+    by_score = scored.groupBy("model", score.alias("score")).agg(
+        F.count_if(ranked & (F.col("label") == 1)).cast("double").alias("p"),
+        F.count_if(ranked & (F.col("label") != 1)).cast("double").alias("n"),
+        *cells,
     )
     runs = (
         by_score.repartitionByRange("model", "score")
         .sortWithinPartitions("model", "score")
-        .mapInPandas(_rank_runs, "model string, start double, p double, n double, u double")
+        .mapInPandas(_rank_runs, _RUN_SCHEMA)
     )
     earlier = Window.partitionBy("model").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("n").over(earlier), F.lit(0.0))
     return (
         runs.withColumn("u", F.col("u") + F.col("p") * offset)
         .groupBy("model")
-        .agg(F.try_divide(F.sum("u"), F.sum("p") * F.sum("n")).alias("roc_auc"))
+        .agg(*[F.sum(c).alias(c) for c in ("u", *_RUN_SUMS)])
     )
 
 
+def _auc() -> Column:
+    return F.try_divide(F.col("u"), F.col("p") * F.col("n")).alias("roc_auc")
+
+
+def roc_auc(scored: DataFrame) -> DataFrame:
+    """Exact area under the ROC curve per model, by ranks with ties counted half."""
+    none = [F.lit(0.0).alias(c) for c in _CELLS]
+    return _ranked_totals(scored, none).select("model", _auc())
+
+
 def model_metrics(scored: DataFrame) -> DataFrame:
-    """Accuracy, weighted F1 and ROC AUC, one row per model."""
-    return (
-        classification_metrics(scored)
-        .join(roc_auc(scored), "model", "left")
-        .select("model", *METRIC_NAMES)
+    """Accuracy, weighted F1 and exact ROC AUC, one row per model, from one pass over the rows."""
+    values = _cell_metrics()
+    return _ranked_totals(scored, _cell_counts()).select(
+        "model", values["accuracy"].alias("accuracy"), values["f1"].alias("f1"), _auc()
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.numbers import doubles, ref
 from tallyframe.operators.columns import fill_missing
-from tallyframe.operators.metrics import model_metrics, rank_models
+from tallyframe.operators.metrics import METRICS_SCHEMA, model_metrics, rank_models
 from tallyframe.operators.quantiles import means, medians
 
 TRAIN_SHARE = 0.8
@@ -152,11 +152,11 @@ def compare_models(
 ) -> DataFrame:
     """Fit on ``train``, evaluate on ``test``: one row per model, best first.
 
-    Fill values and vectors are built once and shared by all models, and all
-    models are scored and measured together over one pass of the test rows.
+    Fill values and vectors are built once and shared by all models; all models
+    are scored side by side and measured together in one pass of the test rows.
     """
     layout = fit_features(train, features, strategy)
     models = fit_models(layout.assemble(train, "label"), estimators)
-    with cached(score(layout.assemble(test, "label"), models)) as scored:
-        rows = rank_models(model_metrics(scored)).collect()  # one row per model
-    return train.sparkSession.createDataFrame(rows, "model string, accuracy double, f1 double, roc_auc double")
+    scored = score(layout.assemble(test, "label"), models)
+    rows = rank_models(model_metrics(scored)).collect()  # one row per model
+    return train.sparkSession.createDataFrame(rows, METRICS_SCHEMA)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyframe.functions.numbers import as_double, doubles, ref
 from tallyframe.operators.columns import ColumnStats, column_stats
 
-EXACT_ROWS = 2_000_000
+EXACT_ROWS = 50_000
 SLICES = 512
 _FINITE = 1.7e308
 

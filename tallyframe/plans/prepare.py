@@ -75,14 +75,25 @@ def clean(df: DataFrame, spec: SurveySpec) -> DataFrame:
     return label_int(fit_rules(df, spec, drop_sparse=False).apply(df), spec)
 
 
-def prepare(
-    df: DataFrame,
-    spec: SurveySpec,
-    *,
-    fit_on: DataFrame | None = None,
-    continuous: list[str] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Prepared table and its feature ranking by mutual information.
+@dataclass(frozen=True)
+class Prepared:
+    """The prepared table, lazily, with the rules behind it."""
+
+    table: DataFrame
+    rules: FittedRules
+    own_stats: bool
+
+    def ranking(self, continuous: list[str] | None = None) -> DataFrame:
+        """Features by mutual information with the target, most informative first."""
+        target = self.rules.spec.target
+        features = [c for c in self.rules.columns if c != target]
+        # filling a gap with a median or mean does not widen a column's range
+        stats = self.rules.stats if self.own_stats else None
+        return mutual_information(self.table, features, target, continuous=continuous, stats=stats)
+
+
+def prepare(df: DataFrame, spec: SurveySpec, *, fit_on: DataFrame | None = None) -> Prepared:
+    """Known outcomes, sparse, constant and non-numeric columns gone, gaps filled by medians.
 
     Column choice and fill values are learned on ``fit_on`` (by default the
     whole table; pass the training rows to keep test rows out of them).
@@ -90,12 +101,7 @@ def prepare(
     rules = fit_rules(df if fit_on is None else fit_on, spec)
     if not rules.stats.rows:
         raise ValueError("no row has a known outcome")
-    prepared = rules.apply(df)
-    features = [c for c in rules.columns if c != spec.target]
-    # filling with a median does not widen a column's range
-    stats = rules.stats if fit_on is None else None
-    ranking = mutual_information(prepared, features, spec.target, continuous=continuous, stats=stats)
-    return prepared, ranking
+    return Prepared(rules.apply(df), rules, fit_on is None)
 
 
 def training_frame(df: DataFrame, spec: SurveySpec) -> DataFrame:

@@ -56,8 +56,8 @@ def run(
     }
     with recorded_run(spark, run_log_path, parameters) as record:
         with record.step("prepare"):
-            prepared, _ = prepare(load_table(spark, source, nan_as_null=False), spec)
-            save_table(prepared, prepared_path)
+            prepared = prepare(load_table(spark, source, nan_as_null=False), spec)
+            save_table(prepared.table, prepared_path)
         if topic is None:
             record.skip("publish")
         else:
