@@ -66,7 +66,8 @@ def corr_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     centre = means(data, names)
     shift = np.array([centre[c] if centre[c] is not None else 0.0 for c in names])
     sums = (
-        data.mapInPandas(_cross_sums(shift), _SUMS)
+        data.toDF(*[f"c{i}" for i in range(len(names))])
+        .mapInPandas(_cross_sums(shift), _SUMS)
         .groupBy("i", "j")
         .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
