@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tallyframe.functions.layout import spread
 from tallyframe.functions.numbers import as_double, doubles, numeric_columns, ref
 from tallyframe.operators.columns import column_stats
 from tallyframe.operators.information import BINS, continuous_columns, equal_width_bin
@@ -118,7 +119,7 @@ def kde(df: DataFrame, columns: Sequence[str], points: int = GRID) -> DataFrame:
     if coded:
         parts.append(long(coded).groupBy("c", "value").agg(F.count(F.lit(1)).cast("double").alias("weight")))
     if direct:
-        parts.append(long(direct).withColumn("weight", F.lit(1.0)))
+        parts.append(spread(long(direct)).withColumn("weight", F.lit(1.0)))
     sums = reduce(DataFrame.unionByName, parts).mapInPandas(
         _density_sums(shapes, points), "c int, point int, s double"
     )

@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyframe.functions.layout import spread
 from tallyframe.functions.numbers import doubles, ref
 from tallyframe.operators.columns import fill_missing
 from tallyframe.operators.metrics import METRICS_SCHEMA, model_metrics, rank_models
@@ -104,7 +105,7 @@ def cached(df: DataFrame):
 def fit_models(assembled: DataFrame, estimators: Mapping[str, Estimator] | None = None) -> dict[str, Model]:
     """Fit every estimator on one assembled (features, label) frame."""
     estimators = estimators or default_estimators()
-    with cached(assembled) as rows:
+    with cached(spread(assembled)) as rows:
         return {name: estimator.fit(rows) for name, estimator in estimators.items()}
 
 
