@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
+# Partitions per core up to which a table is copied to executor memory for
+# repeated scans.  A scan partition is at most 128 MB by default.
+CACHED_PARTITIONS_PER_CORE = 4
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows over all cores when the input has fewer partitions than cores.
@@ -13,3 +20,23 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+@contextmanager
+def repeated(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` laid out for a block that scans it several times.
+
+    Small tables are spread over all cores and cached.  Tables with many
+    partitions per core are read again by each scan: the columns come back from
+    a compressed source cheaper than from a row copy spilled to executor disk.
+    """
+    df = spread(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > CACHED_PARTITIONS_PER_CORE * cores:
+        yield df
+        return
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -8,11 +8,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.layout import spread
 from tallyframe.functions.numbers import as_double, doubles, numeric_columns, ref
-from tallyframe.operators.columns import column_stats
+from tallyframe.operators.columns import ColumnStats, column_stats
 from tallyframe.operators.information import BINS, continuous_columns, equal_width_bin
 from tallyframe.operators.quantiles import EXACT_ROWS, exact_quantiles, midpoint_rank
 
@@ -21,6 +21,11 @@ GRID = 200
 _DENSITY_CHUNK = 512
 
 
+def _by_key(values: dict, key: str) -> Column:
+    """Constant per column, looked up by the value of ``key``."""
+    return F.element_at(F.create_map(*[F.lit(v) for item in values.items() for v in item]), F.col(key))
+
+
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = BINS) -> DataFrame:
     """Rows per equal-width bin and column; bins without rows are left out.
 
@@ -32,22 +37,19 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = B
     names = [c for c in names if stats.non_null[c]]
     if not names:
         return df.sparkSession.createDataFrame([], "column string, bin int, low double, high double, n bigint")
-    cells = [
-        F.struct(F.lit(i).alias("c"), equal_width_bin(as_double(df, c), stats.low[c], stats.high[c], bins).alias("bin"))
-        for i, c in enumerate(names)
-    ]
+    places = [equal_width_bin(as_double(df, c), stats.low[c], stats.high[c], bins).alias(c) for c in names]
     counted = (
-        df.select(F.explode(F.array(*cells)).alias("cell"))
-        .where("cell.bin IS NOT NULL")
-        .groupBy("cell.c", "cell.bin")
+        df.select(*places)
+        .unpivot([], [ref(c) for c in names], "column", "bin")
+        .where("bin IS NOT NULL")
+        .groupBy("column", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    i = F.col("c") + 1
-    low = F.element_at(F.array(*[F.lit(float(stats.low[c])) for c in names]), i)
-    high = F.element_at(F.array(*[F.lit(float(stats.high[c])) for c in names]), i)
+    low = _by_key({c: float(stats.low[c]) for c in names}, "column")
+    high = _by_key({c: float(stats.high[c]) for c in names}, "column")
     width = (high - low) / F.lit(float(bins))
     return counted.select(
-        F.element_at(F.array(*map(F.lit, names)), i).alias("column"),
+        "column",
         "bin",
         (low + F.col("bin") * width).alias("low"),
         F.when(low == high, high).otherwise(low + (F.col("bin") + 1) * width).alias("high"),
@@ -91,12 +93,20 @@ def kde(df: DataFrame, columns: Sequence[str], points: int = GRID) -> DataFrame:
     """
     names = list(columns)
     data = doubles(df, names)
-    aggregates = [
-        f(ref(c)).alias(f"{key}{i}")
-        for i, c in enumerate(names)
-        for key, f in (("n", F.count), ("lo", F.min), ("hi", F.max), ("s", F.stddev_samp))
-    ]
-    row = data.agg(*aggregates).first()
+    figures = {
+        "n": F.count,
+        "lo": F.min,
+        "hi": F.max,
+        "s": F.stddev_samp,
+        "w": lambda v: F.bool_and(v == F.rint(v)),
+    }
+    row = data.agg(
+        *[figure(ref(c)).alias(f"{key}{i}") for i, c in enumerate(names) for key, figure in figures.items()]
+    ).first()
+
+    def by_name(key):
+        return {c: row[f"{key}{i}"] for i, c in enumerate(names)}
+
     shapes, scales = {}, {}
     for i in range(len(names)):
         n, low, high, deviation = (row[f"{key}{i}"] for key in ("n", "lo", "hi", "s"))
@@ -107,11 +117,13 @@ def kde(df: DataFrame, columns: Sequence[str], points: int = GRID) -> DataFrame:
     if not shapes:
         return df.sparkSession.createDataFrame([], "column string, point int, x double, density double")
 
-    many = set(continuous_columns(data, [names[i] for i in shapes]))
+    stats = ColumnStats(0, by_name("n"), by_name("lo"), by_name("hi"), by_name("w"))
+    many = set(continuous_columns(data, [names[i] for i in shapes], stats=stats))
 
     def long(chosen: list[int]) -> DataFrame:
-        cells = [F.struct(F.lit(i).alias("c"), ref(names[i]).alias("value")) for i in chosen]
-        return data.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where("value IS NOT NULL")
+        numbered = data.select(*[ref(names[i]).alias(str(i)) for i in chosen])
+        cells = numbered.unpivot([], [str(i) for i in chosen], "c", "value").where("value IS NOT NULL")
+        return cells.withColumn("c", F.col("c").cast("int"))
 
     coded = [i for i in shapes if names[i] not in many]
     direct = [i for i in shapes if names[i] in many]
@@ -124,20 +136,17 @@ def kde(df: DataFrame, columns: Sequence[str], points: int = GRID) -> DataFrame:
         _density_sums(shapes, points), "c int, point int, s double"
     )
 
-    def per_column(values: dict[int, float]):
-        return F.element_at(F.create_map(*[F.lit(v) for item in values.items() for v in item]), F.col("c"))
-
     return (
         sums.groupBy("c", "point")
         .agg(F.sum("s").alias("s"))
         .select(
-            per_column({i: names[i] for i in shapes}).alias("column"),
+            _by_key({i: names[i] for i in shapes}, "c").alias("column"),
             "point",
             (
-                per_column({i: shape[0] for i, shape in shapes.items()})
-                + F.col("point") * per_column({i: shape[1] for i, shape in shapes.items()})
+                _by_key({i: low for i, (low, _, _) in shapes.items()}, "c")
+                + F.col("point") * _by_key({i: step for i, (_, step, _) in shapes.items()}, "c")
             ).alias("x"),
-            (F.col("s") * per_column(scales)).alias("density"),
+            (F.col("s") * _by_key(scales, "c")).alias("density"),
         )
     )
 

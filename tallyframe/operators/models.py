@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.layout import spread
+from tallyframe.functions.layout import repeated
 from tallyframe.functions.numbers import doubles, ref
 from tallyframe.operators.columns import fill_missing
 from tallyframe.operators.metrics import METRICS_SCHEMA, model_metrics, rank_models
@@ -92,20 +91,10 @@ def fit_features(train: DataFrame, features: Sequence[str], strategy: str = "mea
     return FeatureSet(usable, {f: learned[f] for f in usable})
 
 
-@contextmanager
-def cached(df: DataFrame):
-    """Keep ``df`` in memory or on executor disk for the block, which scans it repeatedly."""
-    df = df.persist()
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def fit_models(assembled: DataFrame, estimators: Mapping[str, Estimator] | None = None) -> dict[str, Model]:
     """Fit every estimator on one assembled (features, label) frame."""
     estimators = estimators or default_estimators()
-    with cached(spread(assembled)) as rows:
+    with repeated(assembled) as rows:
         return {name: estimator.fit(rows) for name, estimator in estimators.items()}
 
 

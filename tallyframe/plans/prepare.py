@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallyframe.functions.numbers import doubles
 from tallyframe.operators.columns import (
@@ -109,8 +109,10 @@ def training_frame(df: DataFrame, spec: SurveySpec) -> DataFrame:
     return cast_double(label_filter(project_columns(df, spec), spec))
 
 
-def load_training_frame(spark: SparkSession, path: str, spec: SurveySpec) -> DataFrame:
-    return training_frame(load_table(spark, path, nan_as_null=False), spec)
+def load_training_frame(
+    spark: SparkSession, path: str, spec: SurveySpec, schema: T.StructType | str | None = None
+) -> DataFrame:
+    return training_frame(load_table(spark, path, schema, nan_as_null=False), spec)
 
 
 def load_survey(
@@ -118,6 +120,7 @@ def load_survey(
     spec: SurveySpec,
     *,
     path: str | None = None,
+    schema: T.StructType | str | None = None,
     servers: str | None = None,
     topic: str | None = None,
 ) -> DataFrame:
@@ -127,7 +130,7 @@ def load_survey(
             raise ValueError("a topic needs servers and a column list")
         raw = parse_records(read_topic(spark, servers, topic), survey_schema(spec.columns))
     elif path is not None:
-        raw = load_table(spark, path, nan_as_null=False)
+        raw = load_table(spark, path, schema, nan_as_null=False)
     else:
         raise ValueError("give a path or a topic")
     return clean(raw, spec)

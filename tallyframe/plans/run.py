@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml import Estimator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallyframe.operators.columns import rename_label, require_features
 from tallyframe.operators.models import compare_models, split
@@ -37,6 +37,7 @@ def run(
     metrics_path: str,
     run_log_path: str,
     *,
+    schema: T.StructType | str | None = None,
     servers: str | None = None,
     topic: str | None = None,
     estimators: Mapping[str, Estimator] | None = None,
@@ -44,7 +45,8 @@ def run(
     """Prepare ``source``, publish it when ``topic`` is given, train from the prepared table.
 
     Returns the ranked metrics.  The prepared table is written once and read by
-    the later steps, so a lost executor never repeats the preparation.
+    the later steps, so a lost executor never repeats the preparation.  Give
+    ``schema`` for a large CSV source: inferring types takes a scan of its own.
     """
     parameters = {
         "source": source,
@@ -56,16 +58,16 @@ def run(
     }
     with recorded_run(spark, run_log_path, parameters) as record:
         with record.step("prepare"):
-            prepared = prepare(load_table(spark, source, nan_as_null=False), spec)
+            prepared = prepare(load_table(spark, source, schema, nan_as_null=False), spec)
             save_table(prepared.table, prepared_path)
         if topic is None:
             record.skip("publish")
         else:
             with record.step("publish"):
-                publish(load_table(spark, prepared_path), servers, topic)
+                publish(load_table(spark, prepared_path, prepared.table.schema), servers, topic)
         with record.step("train"):
             metrics = train_and_compare(
-                load_training_frame(spark, prepared_path, spec), spec, estimators=estimators
+                load_training_frame(spark, prepared_path, spec, prepared.table.schema), spec, estimators=estimators
             )
         with record.step("save_metrics"):
             save_metrics(metrics, metrics_path)
