@@ -141,13 +141,14 @@ def describe(
             F.stddev_samp(v).alias(f"std{i}"),
             F.min(v).alias(f"min{i}"),
             F.max(v).alias(f"max{i}"),
+            F.bool_and(v == F.rint(v)).alias(f"whole{i}"),
         ]
     row = data.agg(*aggregates).first()
 
     def per_column(key):
         return {c: row[f"{key}{i}"] for i, c in enumerate(names)}
 
-    stats = ColumnStats(row["n"], per_column("count"), per_column("min"), per_column("max"))
+    stats = ColumnStats(row["n"], per_column("count"), per_column("min"), per_column("max"), per_column("whole"))
     quartiles = exact_quantiles(data, names, [0.25, 0.5, 0.75], stats=stats, exact_rows=exact_rows)
     rows = [
         (c, stats.non_null[c], row[f"mean{i}"], row[f"std{i}"], stats.low[c], *quartiles[c], stats.high[c])

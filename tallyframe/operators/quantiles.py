@@ -1,12 +1,12 @@
 """Exact quantiles that hold at any row count.
 
 The built-in exact ``percentile`` keeps every distinct value of a column in one
-task.  It is used only while the row count proves that state to be small.  On
-larger data the wanted order statistics are bracketed by counting rows per
-equal-width slice: one scan narrows every open bracket by a factor of
-``slices``, each task sends at most ``slices`` rows per bracket, and a bracket
-closes as soon as its slice holds a single value (after one scan for coded
-columns) or few enough rows for the built-in aggregate.
+task.  It is used only where that state is proven small: by the row count, or
+because the column holds whole numbers in a narrow range.  Otherwise the wanted
+order statistics are bracketed by counting rows per equal-width slice: one scan
+narrows every open bracket by a factor of ``slices``, each task sends at most
+``slices`` rows per bracket, and a bracket closes as soon as its slice holds a
+single value or few enough rows for the built-in aggregate.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.numbers import as_double, doubles, ref
 from tallyframe.operators.columns import ColumnStats, column_stats
@@ -67,27 +67,26 @@ def exact_quantiles(
     data = doubles(df, columns)
     stats = stats or column_stats(data, columns)
     counts = {c: stats.non_null[c] for c in columns}
-    if max(counts.values()) <= exact_rows:
-        return _by_builtin(data, counts, probabilities, rank)
+    few = {c: n for c, n in counts.items() if n <= exact_rows or stats.is_coded(c, exact_rows)}
+    result = _by_builtin(data, few, probabilities, rank) if few else {}
+    counts = {c: n for c, n in counts.items() if c not in few}
+    if not counts:
+        return result
 
     wanted: dict[str, set[int]] = {}
     for c, n in counts.items():
-        places = [rank(n, q) for q in probabilities] if n else []
+        places = [rank(n, q) for q in probabilities]
         wanted[c] = {int(math.floor(p)) for p in places} | {int(math.ceil(p)) for p in places}
     brackets = [
         _Bracket(c, r, float(stats.low[c]), float(stats.high[c]), 0, counts[c])
-        for c in columns
+        for c in counts
         for r in sorted(wanted[c])
     ]
     found = _order_statistics(data, brackets, exact_rows, slices)
 
-    result: dict[str, list[float | None]] = {}
     for c, n in counts.items():
         result[c] = []
         for q in probabilities:
-            if not n:
-                result[c].append(None)
-                continue
             place = rank(n, q)
             lower, part = math.floor(place), place - math.floor(place)
             a = found[c, int(lower)]
@@ -134,34 +133,34 @@ def _order_statistics(data, brackets, exact_rows, slices):
 def _narrow(data: DataFrame, brackets: list[_Bracket], slices: int) -> list[_Bracket]:
     """One scan: count rows per slice of every distinct open range, keep the right slice."""
     ranges = sorted({(b.column, b.low, b.high) for b in brackets})
-    slots = []
-    for i, (c, low, high) in enumerate(ranges):
-        value = ref(c)
-        lo, hi = max(low, -_FINITE), min(high, _FINITE)
-        # halves keep hi - lo finite for the widest possible range
-        place = F.floor((value / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) * F.lit(float(slices)))
-        slot = F.greatest(F.lit(0), F.least(F.lit(slices - 1), place))
-        slot = (
-            F.when(value == F.lit(float("-inf")), F.lit(-1))
-            .when(value == F.lit(float("inf")), F.lit(slices))
-            .otherwise(slot)
-            .cast("int")
-        )
-        slots.append(
-            F.when(
-                value.between(F.lit(low), F.lit(high)),
-                F.struct(F.lit(i).alias("range"), slot.alias("slice"), value.alias("value")),
-            )
-        )
+
+    def bound(pick) -> Column:
+        """Constant per range, looked up by the range number of the row."""
+        return F.element_at(F.array(*[F.lit(float(pick(r))) for r in ranges]), F.col("range") + 1)
+
+    # One long column of (range, value), so the slice is computed by one
+    # expression however many ranges are open.
+    long = (
+        data.select(*[ref(c).alias(str(i)) for i, (c, _, _) in enumerate(ranges)])
+        .unpivot([], [str(i) for i in range(len(ranges))], "range", "value")
+        .withColumn("range", F.col("range").cast("int"))
+        .where(F.col("value").between(bound(lambda r: r[1]), bound(lambda r: r[2])))
+    )
+    value = F.col("value")
+    # halves keep high - low finite for the widest possible range
+    start = bound(lambda r: max(r[1], -_FINITE) / 2)
+    width = bound(lambda r: min(r[2], _FINITE) / 2 - max(r[1], -_FINITE) / 2)
+    place = F.floor((value / 2 - start) / width * F.lit(float(slices)))
+    inside = F.greatest(F.lit(0), F.least(F.lit(slices - 1), place))
+    slot = (
+        F.when(value == F.lit(float("-inf")), F.lit(-1))
+        .when(value == F.lit(float("inf")), F.lit(slices))
+        .otherwise(inside)
+        .cast("int")
+    )
     counted = (
-        data.select(F.explode(F.array(*slots)).alias("s"))
-        .where(F.col("s").isNotNull())
-        .groupBy("s.range", "s.slice")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("s.value").alias("low"),
-            F.max("s.value").alias("high"),
-        )
+        long.groupBy("range", slot.alias("slice"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .collect()  # at most len(ranges) * (slices + 2) rows
     )
     by_range: dict[int, list] = {}

@@ -24,7 +24,8 @@ RUN_LOG_SCHEMA = (
 def save_metrics(metrics: DataFrame, path: str) -> None:
     """Overwrite ``path`` with the metrics of all models and ``path``-best with the best one."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
-    best_model(metrics).write.mode("overwrite").json(best_path(path))
+    stored = load_metrics(metrics.sparkSession, path)
+    best_model(stored).write.mode("overwrite").json(best_path(path))
 
 
 def best_path(path: str) -> str:

@@ -20,9 +20,9 @@ def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.options(**options).text(path)
 
 
-def topic_rows(spark: SparkSession, servers: str, topic: str, spec: SurveySpec) -> DataFrame:
-    """Survey rows of a topic as a streaming frame."""
-    return parse_records(stream_topic(spark, servers, topic), survey_schema(spec.columns))
+def topic_rows(spark: SparkSession, servers: str, topic: str, spec: SurveySpec, **options: str) -> DataFrame:
+    """Survey rows of a topic as a streaming frame; ``maxOffsetsPerTrigger`` bounds a batch."""
+    return parse_records(stream_topic(spark, servers, topic, **options), survey_schema(spec.columns))
 
 
 def start_ingest(
