@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """New folder name below the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only in local mode with the setting unset.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallyframe-")
+    """New folder name below the shared folder the cluster names in ``spark.checkpoint.dir``; below the warehouse if that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
