@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import line_dedup, mixing, quality
+from tallyframe.llm import line_dedup, mixing, packing, quality
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +31,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op5_line_dedup": op5_line_dedup,
+    "op9_packing": op9_packing,
 }
