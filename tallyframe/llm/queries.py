@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import line_dedup, mixing, near_dedup, packing, quality
+from tallyframe.llm import line_dedup, mixing, near_dedup, packing, quality, secrets
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,13 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"), shingle=3, percent=85)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.with_secrets(_documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS]
+    base, every = secrets.written(F.col("base")), secrets.written(F.array_sort(F.concat("base", "added")))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir))
 
@@ -44,5 +51,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op5_line_dedup": op5_line_dedup,
     "op7_near_dedup": op7_near_dedup,
+    "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
 }
