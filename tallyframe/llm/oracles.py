@@ -36,3 +36,19 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+ORACLES["op6_substring_dedup"] = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS key
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+firsts AS (SELECT key, min(doc_id) AS source FROM wins GROUP BY key),
+cut AS (SELECT w.doc_id, w.i FROM wins w JOIN firsts f ON w.key = f.key WHERE w.doc_id > f.source),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM cut),
+word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs),
+kept AS (
+  SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.pos) AS text
+  FROM word x LEFT JOIN gone g ON x.doc_id = g.doc_id AND x.pos = g.pos WHERE g.pos IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
