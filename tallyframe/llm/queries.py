@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import fingerprints, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup
+from tallyframe.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return language_id.with_language(docs.drop("lang"), language_id.learned(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
@@ -64,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_dedup": op7_near_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
+    "op10_language_id": op10_language_id,
 }
