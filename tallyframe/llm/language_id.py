@@ -212,16 +212,17 @@ def with_language(docs: DataFrame, network: Network | None = None) -> DataFrame:
     docs = docs.select(*[c for c in docs.columns if c.lower() not in ("held_out", "lang_pred", "score")])
     docs = docs.withColumn("held_out", held_out(F.col("doc_id")))
     schema = T.StructType([f for f in docs.schema.fields if f.name != "text"] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    model = docs.sparkSession.sparkContext.broadcast(network)
+    model = docs.sparkSession.sparkContext.broadcast(vars(network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array(model.value.languages or [UNKNOWN], object)
+        own_network = Network(**model.value)
+        names = np.array(own_network.languages or [UNKNOWN], object)
         for batch in batches:
             texts = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
             for a, b in W.text_slices(texts):
                 own = texts.slice(a, b - a)
-                known = _has_letter(own) & bool(model.value.languages)
-                p = pooled(own, model.value) if model.value.languages else np.ones((b - a, 1))
+                known = _has_letter(own) & bool(own_network.languages)
+                p = pooled(own, own_network) if own_network.languages else np.ones((b - a, 1))
                 best = p.argmax(axis=1)
                 pred = np.where(known, names[best], UNKNOWN)
                 score = np.where(known, np.clip(p[np.arange(b - a), best], 0, 1), 0.0)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup
+from tallyframe.llm import class_lm, fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return class_lm.scored(docs, *class_lm.learned(docs))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -63,6 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
+    "op3_class_lm": op3_class_lm,
     "op4_fingerprints": op4_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op6_substring_dedup": op6_substring_dedup,
