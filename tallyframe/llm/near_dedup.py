@@ -19,8 +19,7 @@ from tallyframe.llm.components import components
 SHINGLE = 5
 PERCENT = 80
 SKETCH = 256  # smallest hashes kept of a document, for estimates
-LISTED = 16  # of these, how many take part in inverted lists,
-SPARED = 3  # without so many that stand in the most documents
+LISTED = 24  # of these, how many take part in inverted lists, which are kept for pairs of neighbours among them
 BLOCK = 256  # documents of a list that are compared in one block
 CELLS_AT_ONCE = 4_000  # rows that one group of blocks holds, about
 SIGMAS = 5.0
@@ -45,7 +44,8 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 def sketches(docs: DataFrame, shingle: int = SHINGLE, sketch: int = SKETCH, listed: int = LISTED) -> DataFrame:
     """(doc_id, n, set_a, set_b, sketch, listed): size of the shingle set, 128 bits of it, and its smallest hashes.
 
-    ``sketch`` holds the upper halves of the smallest hashes as bytes, ``listed`` the first of them whole.
+    ``sketch`` holds the upper halves of the smallest hashes as bytes. ``listed`` has one number for each two neighbours among the first
+    ``listed`` of them: a pair of neighbours is shared by chance far more rarely than one frequent shingle.
     """
     kind = docs.schema["doc_id"].dataType
     longs = T.LongType()
@@ -60,7 +60,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, sketch: int = SKETCH, list
                     digest = xxhash.xxh3_128_digest(own.tobytes())
                     a, b = np.frombuffer(digest, np.int64).tolist()
                     low = (own[:sketch] >> np.uint64(32)).astype(np.uint32)
-                    rows.append((len(own), a, b, low.tobytes(), own[:listed].view(np.int64)))
+                    rows.append((len(own), a, b, low.tobytes(), W.mix(own[: listed - 1][: max(len(own) - 1, 0)] * _MARK + own[1:listed]).view(np.int64)))
                 columns = list(zip(*rows))
                 arrays = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *arrays], names=schema.names)
@@ -210,23 +210,20 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return saved(pairs.join(one, "a").join(other, "b").mapInArrow(check, "a long, b long"), "confirmed")
 
 
-def _lists(reps: DataFrame, spared: int) -> DataFrame:
-    """(rep, value, many) for each representative's listed hashes without its ``spared`` most frequent, where another has the hash as well."""
-    rows = reps.select("rep", F.explode("listed").alias("value"))
-    counts = rows.groupBy("value").agg(F.count("*").alias("many"))
-    hottest = Window.partitionBy("rep").orderBy(F.col("many").desc(), F.col("value"))
-    ranked = rows.join(counts, "value").withColumn("place", F.row_number().over(hottest)).withColumn("of", F.count("*").over(Window.partitionBy("rep")))
-    kept = ranked.where((F.col("place") > spared) | (F.col("of") <= spared)).where("many > 1").select("rep", "value")
-    again = kept.groupBy("value").agg(F.count("*").alias("many"), F.min("rep").alias("hub")).where("many > 1")
-    return saved(kept.join(again, "value"), "lists")
+def _lists(reps: DataFrame) -> DataFrame:
+    """(value, rep, many, hub) for each representative's listed numbers that another has as well, with the list's length and least member."""
+    rows = reps.select("rep", F.explode(F.array_distinct("listed")).alias("value"))
+    shared = rows.groupBy("value").agg(F.count("*").alias("many"), F.min("rep").alias("hub")).where("many > 1")
+    return saved(rows.join(shared, "value"), "lists")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): the near-duplicate class of each document.
 
-    Documents whose sets of ``shingle``-word shingles are equal collapse into one representative first. Its ``LISTED`` smallest hashes, less the
-    ``SPARED`` most frequent of them, go into inverted lists. Of the smallest hashes in the union of two similar sets, each is common with the
-    probability of the similarity, so a pair at 0.85 misses all its lists with a probability of 7e-9, one at 0.8 of 3e-7. Documents of a list are
+    Documents whose sets of ``shingle``-word shingles are equal collapse into one representative first. Each two neighbours
+    among its ``LISTED`` smallest hashes name an inverted list. Of the smallest hashes in the union of two similar sets, each is common with the
+    probability of the similarity, and two common ones in a row are neighbours in both sets, so a pair at 0.85 misses all its lists with
+    a probability of 5e-09, one at 0.8 of 2e-07; sets of up to ``LISTED`` shingles miss none. Documents of a list are
     compared in blocks; long lists first link to their least member, which joins most of a large group of copies, and then only members
     outside the largest component of the list are compared with all. The estimate from the union of both sketches drops pairs
     ``SIGMAS`` standard errors below the threshold; the rest is confirmed on whole sets.
@@ -241,7 +238,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
     classes = saved(classes, "classes")
     reps = classes.select("rep", "n", "sketch")
-    lists = _lists(classes, SPARED)
+    lists = _lists(classes)
     star = lists.where((F.col("many") > BLOCK) & (F.col("rep") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     sides = [reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab"]
 
