@@ -76,12 +76,17 @@ def _pair(value: Column, i: Column) -> Column:
     return one(i) * STATES + one(i + 1)
 
 
-def log_ratios(random: dict[int, int], ordinary: dict[int, int], smooth: float = 0.5) -> list[float]:
-    """For each pair of states, the log-likelihood ratio of the second given the first; at most ``STATES`` squared numbers."""
+def log_ratios(random: dict[int, int], ordinary: dict[int, int], backing: float = 5.0, smooth: float = 0.5) -> list[float]:
+    """For each pair of states, the log-likelihood ratio of the second given the first; at most ``STATES`` squared numbers.
+
+    A state seen rarely falls back on how often the second occurs at all, with the weight of ``backing`` observations.
+    """
 
     def model(counts: dict[int, int]) -> list[float]:
-        rows = [[counts.get(a * STATES + b, 0) + smooth for b in range(STATES)] for a in range(STATES)]
-        return [math.log(x / sum(row)) for row in rows for x in row]
+        rows = [[counts.get(a * STATES + b, 0) for b in range(STATES)] for a in range(STATES)]
+        second = [sum(row[b] for row in rows) + smooth for b in range(STATES)]
+        total = sum(second)
+        return [math.log((x + backing * second[b] / total) / (sum(row) + backing)) for row in rows for b, x in enumerate(row)]
 
     return [a - b for a, b in zip(model(random), model(ordinary))]
 
