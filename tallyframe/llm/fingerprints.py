@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import fresh, saved
+from tallyframe.llm.base import saved
 
 TABLES = 3
 SLOTS = 8
-ROUNDS = 8
-LOAD = 4  # paragraphs of both versions per part at the first retry
-RETRIES = 3  # each with four times as many parts as the one before
-CELL = "struct<n:int,key:bigint,check:bigint>"
+ROUNDS = 6
+LEVELS = 3  # sizes of sketches that are tried
 
 
 def digests(text: Column) -> Column:
@@ -47,59 +45,78 @@ def cells(keys: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(TABLES * SLOTS - 1)), one)
 
 
-def subtracted(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
+def _places(key: Column, size: Column, level: Column) -> list[Column]:
+    """Cell of a digest in each table of a sketch of ``size`` slots a table; level 0 is the fingerprint itself."""
+    out = []
+    for t in range(TABLES):
+        own = _slot(key, F.lit(t)).cast("long")
+        out.append(F.lit(t) * size + F.when(level == 0, own).otherwise(F.pmod(F.xxhash64(level, key, F.lit(t)), size)))
+    return out
 
 
-def peeled(difference: Column) -> Column:
-    """How many digests peeling recovers from a subtracted sketch; null if some cells stay filled.
+def _peeling_round(cells_: DataFrame) -> DataFrame:
+    """One round over rows (row, kind, size, level, cell, n, key, check).
 
-    A cell with one digest more on one side, whose hash agrees, shows that digest. All digests shown are taken out of their cells, which
-    shows further ones, until nothing changes.
+    A cell with one digest more on one side, whose hash agrees, shows that digest. Each digest shown, by one cell or more, is taken out
+    of all its cells once, and counted in cell -1. Cells that have become empty go.
     """
-    start = F.struct(difference.alias("cells"), F.lit(0).alias("found"))
-
-    def round_(state: Column, _: Column) -> Column:
-        pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == F.xxhash64(c["key"])))
-        shown = F.array_distinct(F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-
-        def rest(cell: Column, i: Column) -> Column:
-            out = F.filter(shown, lambda s: _hits(s["key"], i))
-            n = F.aggregate(out, cell["n"], lambda total, s: total - s["n"])
-            keys = F.transform(out, lambda s: s["key"])
-            return _cell(n, cell["key"].bitwiseXOR(_xor(keys)), cell["check"].bitwiseXOR(_xor(keys, lambda k: F.xxhash64(k))))
-
-        after = F.struct(F.transform(state["cells"], rest).alias("cells"), (state["found"] + F.size(shown)).alias("found"))
-        return F.when(F.size(pure) == 0, state).otherwise(after)
-
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
-    done = F.forall(end["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0))
-    return F.when(done, end["found"])
-
-
-def _in_parts(a: Column, b: Column, parts: Column) -> Column:
-    """As ``peeled``, with a sketch for each part of the digests; null if one of them fails. Each part takes the digests with its remainder."""
+    key = ["row", "kind", "size", "level"]
+    pure = (F.col("cell") >= 0) & (F.abs("n") == 1) & (F.col("check") == F.xxhash64("key"))
+    entry = lambda cell, n, digest, check, shown: F.struct(
+        cell.cast("long").alias("cell"), n.cast("long").alias("n"), digest.alias("key"), check.alias("check"), shown.alias("shown")
+    )
+    none = F.lit(None).cast("long")
+    own = entry(F.col("cell"), F.col("n"), F.col("key"), F.col("check"), none)
+    out = [entry(place, -F.col("n"), F.col("key"), F.col("check"), F.col("key")) for place in _places(F.col("key"), F.col("size"), F.col("level"))]
+    counted = entry(F.lit(-1), F.lit(1), F.lit(0).cast("long"), F.lit(0).cast("long"), F.col("key"))
+    rows = cells_.select(*key, F.inline(F.when(pure, F.array(own, *out, counted)).otherwise(F.array(own))))
+    once = rows.groupBy(*key, "cell", "shown").agg(F.max("n").alias("n"), F.max("key").alias("key"), F.max("check").alias("check"))
+    return _summed(once)
 
-    def of_part(part: Column) -> Column:
-        own = lambda keys: F.filter(keys, lambda k: F.pmod(F.call_function("shiftright", k, F.lit(16)), parts) == part)
-        return peeled(subtracted(cells(own(a)), cells(own(b))))
 
-    found = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), of_part)
-    whole = F.forall(found, lambda n: n.isNotNull())
-    return F.when(whole, F.aggregate(found, F.lit(0), lambda total, n: total + n))
+def _summed(rows: DataFrame) -> DataFrame:
+    sums = rows.groupBy("row", "kind", "size", "level", "cell").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    return sums.where("cell = -1 OR n <> 0 OR key <> 0 OR check <> 0")
 
 
-def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
-    """Shared paragraphs of all paragraphs of two versions, from the digests that their subtracted sketches give.
+def peeled(pairs: DataFrame) -> DataFrame:
+    """(row, kind, found) from rows (row, kind, size, level, a, b): how many digests peeling recovers from the difference of two sketches.
 
-    If peeling fails, sketches of more parts are made from the digests, each retry with four times as many; what fails even then is
-    compared digest by digest.
+    ``found`` is null if cells stay filled. Adding the digests of ``a`` and taking away those of ``b`` gives the subtracted sketch, as sketches are
+    sums. The pairs are dealt out once; all rounds keep that partitioning, so nothing is shuffled between them.
     """
-    total = F.size(a) + F.size(b)
-    parts = F.ceil(total / LOAD)
-    tries = [peeled(subtracted(sketch_a, sketch_b)), *[_in_parts(a, b, parts * 4**i) for i in range(RETRIES)]]
-    different = F.coalesce(*tries, F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
-    return (total - different) / (total + different)
+    signed = lambda c, n: F.transform(c, lambda k: F.struct(k.alias("key"), F.lit(n).cast("long").alias("n")))
+    dealt = pairs.repartition("row", "kind")
+    rows = dealt.select("row", "kind", "size", "level", F.inline(F.concat(signed("a", 1), signed("b", -1))))
+    placed = rows.select("*", F.explode(F.array(*_places(F.col("key"), F.col("size"), F.col("level")))).alias("cell"), F.xxhash64("key").alias("check"))
+    cells_ = _summed(placed)
+    for _ in range(ROUNDS):
+        cells_ = _peeling_round(cells_)
+    ends = cells_.groupBy("row", "kind").agg(F.max(F.when(F.col("cell") == -1, F.col("n"))).alias("n"), F.count_if(F.col("cell") >= 0).alias("filled"))
+    return ends.select("row", "kind", F.when(F.col("filled") == 0, F.coalesce("n", F.lit(0))).alias("found"))
+
+
+def likeness(pairs: DataFrame) -> DataFrame:
+    """(row, kind, likeness) from rows (row, kind, a, b) of digest arrays: shared paragraphs of all paragraphs of two versions.
+
+    First the fingerprints are subtracted and peeled. Pairs on which that fails are tried again with sketches of as many slots a table as both
+    have paragraphs, then with four times as many, and what fails even then is compared digest by digest.
+    """
+    total = F.size("a") + F.size("b")
+    left, done = pairs, []
+    for level in range(LEVELS):
+        size = F.lit(SLOTS) if level == 0 else total * 4 ** (level - 1)
+        tried = peeled(left.withColumn("size", size.cast("long")).withColumn("level", F.lit(level)))
+        # a pair without rows left was equal from the start
+        both = left.join(tried.withColumn("tried", F.lit(True)), ["row", "kind"], "left")
+        both = saved(both.withColumn("found", F.when(F.col("tried").isNull(), F.lit(0)).otherwise(F.col("found"))).drop("tried"), "peeled")
+        done.append(both.where("found IS NOT NULL").select("row", "kind", "found", total.alias("total")))
+        left = both.where("found IS NULL").drop("found")
+    exact = F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a"))
+    found = left.select("row", "kind", exact.cast("long").alias("found"), total.alias("total"))
+    for part in done:
+        found = found.union(part)
+    return found.select("row", "kind", ((F.col("total") - F.col("found")) / (F.col("total") + F.col("found"))).alias("likeness"))
 
 
 def written(sketch: Column) -> Column:
@@ -124,16 +141,19 @@ def previous_ids(docs: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text): each row of ``docs`` with the text of the next larger ``doc_id``; null texts are empty.
+    """(doc_id, text, head, next_digests): each row of ``docs`` with the first code points of the next larger ``doc_id``'s text, half as many as
+    its own, and the digests of that text; null texts are empty.
 
-    Of rows that share a ``doc_id``, the least text is the one that others see.
+    Of rows that share a ``doc_id``, the least text is the one that others see. Only the head of a text moves to its neighbour.
     """
     base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    before = previous_ids(docs)
-    once = base if docs.select("doc_id").count() == before.count() else base.groupBy("doc_id").agg(F.min("text").alias("text"))
-    key = fresh(docs, "key")
-    before = before.withColumnRenamed("doc_id", key)
-    following = once.join(before, once["doc_id"].eqNullSafe(before[key])).select("prev_id", F.col("text").alias("next_text"))
+    ids = previous_ids(docs).withColumnRenamed("doc_id", "id")
+    sizes = base.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("prev_size"), F.count("*").alias("rows"))
+    sizes = saved(sizes, "sizes")
+    before = saved(ids.join(sizes.drop("rows"), ids["prev_id"].eqNullSafe(sizes["doc_id"])).select("id", "prev_id", "prev_size"), "before")
+    once = base if not sizes.where("rows > 1").limit(1).count() else base.groupBy("doc_id").agg(F.min("text").alias("text"))
+    head = F.substr("text", F.lit(1), F.floor(F.col("prev_size") / 2).cast("int"))
+    following = once.join(before, once["doc_id"].eqNullSafe(before["id"])).select("prev_id", head.alias("head"), digests(F.col("text")).alias("next_digests"))
     return base.join(following, base["doc_id"].eqNullSafe(following["prev_id"]), "left").drop("prev_id")
 
 
@@ -152,22 +172,21 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     Null or empty text is one empty paragraph. A null ``doc_id`` comes before all others. A single document follows itself. Repeated rows give
     equal results. An empty table gives an empty table. Other columns are not returned.
     """
-    pairs = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    names = {"text": "a", "edited": "e", "next_text": "x"}
+    pairs = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("head")))
     keyed = pairs.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        *[digests(F.col(c)).alias(n) for c, n in names.items()],
+        digests(F.col("text")).alias("own"),
+        digests(F.col("edited")).alias("edited"),
+        F.col("next_digests").alias("next"),
     )
-    sketched = keyed.select("*", *[cells(F.col(n)).alias(f"{n}_cells") for n in names.values()])
-    near = lambda n: likeness(F.col("a"), F.col(n), F.col("a_cells"), F.col(f"{n}_cells"))
-    return sketched.select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        written(F.col("a_cells")).alias("fingerprint"),
-        written(F.col("e_cells")).alias("edited_fingerprint"),
-        near("e").alias("near_edited"),
-        near("x").alias("near_next"),
+    keyed = saved(keyed, "digests")
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col("own").alias("a"), F.col(c).alias("b")) for i, c in enumerate(("edited", "next"))])
+    near = likeness(keyed.select("row", F.inline(kinds)))
+    near = near.groupBy("row").agg(*[F.max(F.when(F.col("kind") == i, F.col("likeness"))).alias(f"near_{n}") for i, n in enumerate(("edited", "next"))])
+    prints = keyed.select(
+        "row", "doc_id", "n_chars", "edited_sha256", written(cells(F.col("own"))).alias("fingerprint"), written(cells(F.col("edited"))).alias("edited_fingerprint")
     )
+    return prints.join(near, "row").drop("row")

@@ -148,12 +148,15 @@ def test_fingerprints(which, request):
 
 
 def test_peeling_recovers_or_fails(spark):
-    rows = [(k, [f"a{i}" for i in range(40)], [f"a{i}" for i in range(k, 40)] + [f"b{i}" for i in range(k)]) for k in (0, 1, 2, 4, 200)]
-    frame = spark.createDataFrame(rows, "k int, a array<string>, b array<string>")
-    keys = lambda c: fingerprints.F.transform(c, lambda x: fingerprints.F.xxhash64(x))
-    sketches = [fingerprints.cells(keys(fingerprints.F.col(c))) for c in "ab"]
-    found = {r["k"]: r["found"] for r in frame.select("k", fingerprints.peeled(fingerprints.subtracted(*sketches)).alias("found")).collect()}
-    assert found[0] == 0 and found[1] == 2 and found[2] == 4 and found[4] == 8 and found[200] is None
+    rows = [(k, 0, [f"a{i}" for i in range(400)], [f"a{i}" for i in range(k, 400)] + [f"b{i}" for i in range(k)]) for k in (0, 1, 2, 4, 200)]
+    frame = spark.createDataFrame(rows, "row long, kind int, a array<string>, b array<string>")
+    keys = lambda c: fingerprints.F.transform(c, lambda x: fingerprints.F.xxhash64(x)).alias(c)
+    frame = frame.select("row", "kind", keys("a"), keys("b"))
+    sized = lambda size, level: frame.selectExpr("*", f"{size}L AS size", f"{level} AS level")
+    small = {r["row"]: r["found"] for r in fingerprints.peeled(sized(8, 0)).collect()}
+    assert small.get(0, 0) == 0 and small[1] == 2 and small[2] == 4 and small[200] is None
+    large = {r["row"]: r["found"] for r in fingerprints.peeled(sized(800, 1)).collect()}
+    assert {k: v for k, v in large.items() if k} == {1: 2, 2: 4, 4: 8, 200: 400}
 
 
 def test_fingerprints_one_and_none(spark, none):
