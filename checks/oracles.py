@@ -46,6 +46,8 @@ ORACLES["json_decode_events"] = (
     "SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events"
 )
 ORACLES["stream_ingest"] = f"{SURVEY_SQL} SELECT {RECORDS} FROM survey"
+ORACLES["stream_malformed"] = """SELECT count(*) AS n, count(*) FILTER (event_id % 9 = 0) AS malformed,
+sum(CASE WHEN event_id % 9 <> 0 THEN CAST(json_extract(props, '$.k') AS DOUBLE) END) AS k FROM events"""
 ORACLES["clean"] = GAP_FREE + (
     " SELECT genhlth, age, physhlth, sparse, price, CAST(label AS INTEGER) AS target FROM filled"
 )
@@ -99,9 +101,9 @@ ORACLES["median_fill"] = GAP_FREE + " SELECT row_key, genhlth, physhlth, sparse
 ORACLES["mean_impute"] = (
     LABELED_SQL
     + """, m AS (SELECT avg(genhlth) AS genhlth, avg(physhlth) AS physhlth, avg(sparse) AS sparse
-  FROM labeled WHERE row_key % 10 < 8)
+  FROM labeled WHERE (row_key // 20) % 10 < 8)
 SELECT row_key, round(coalesce(l.genhlth, m.genhlth), 6) AS genhlth, round(coalesce(l.physhlth, m.physhlth), 6) AS physhlth,
-  round(coalesce(l.sparse, m.sparse), 6) AS sparse FROM labeled l CROSS JOIN m WHERE row_key % 10 >= 8"""
+  round(coalesce(l.sparse, m.sparse), 6) AS sparse FROM labeled l CROSS JOIN m WHERE (row_key // 20) % 10 >= 8"""
 )
 
 
@@ -136,22 +138,31 @@ ORACLES["column_profile"] = SURVEY_SQL + "".join(
 )
 
 
-def _information(table: str, tail: str = "") -> str:
-    """Plug-in mutual information; price has more than 256 values and is binned."""
-    return f""", span AS (SELECT min(price) AS lo, max(price) AS hi FROM {table}),
-binned AS (SELECT genhlth, age, physhlth, label,
-  CASE WHEN price IS NULL THEN NULL ELSE least(49, floor((price - lo) / (hi - lo) * 50.0::DOUBLE)) END AS price
-  FROM {table} CROSS JOIN span),
-cells AS ({long_form("binned", ["genhlth", "age", "physhlth", "price"], ", label")}),
+def _information(cells: str, tail: str = "") -> str:
+    """Plug-in mutual information of (feature, value, label) rows; price is binned unless named otherwise."""
+    return f""", cells AS ({cells}),
 c AS (SELECT feature, value, label, CAST(count(*) AS DOUBLE) AS n FROM cells WHERE value IS NOT NULL GROUP BY ALL),
 w AS (SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS t, sum(n) OVER (PARTITION BY feature, value) AS nv,
   sum(n) OVER (PARTITION BY feature, label) AS ny FROM c)
-SELECT feature, round(sum(n / t * ln(n * t / (nv * ny))), 6) AS mi FROM w GROUP BY feature ORDER BY mi DESC {tail}"""
+SELECT feature, round(sum(n / t * ln(n * t / (nv * ny))), 6) AS mi, feature = 'price' AS binned FROM w
+GROUP BY feature ORDER BY mi DESC {tail}"""
+
+
+def _binned_information(table: str, tail: str = "") -> str:
+    binned = f""", span AS (SELECT min(price) AS lo, max(price) AS hi FROM {table}),
+binned AS (SELECT genhlth, age, physhlth, label,
+  CASE WHEN price IS NULL THEN NULL ELSE least(49, floor((price - lo) / (hi - lo) * 50.0::DOUBLE)) END AS price
+  FROM {table} CROSS JOIN span)"""
+    return binned + _information(long_form("binned", ["genhlth", "age", "physhlth", "price"], ", label"), tail)
 
 
-ORACLES["mutual_information"] = LABELED_SQL + _information("labeled")
-ORACLES["feature_ranking"] = GAP_FREE + _information("filled")
-ORACLES["top_features"] = GAP_FREE + _information("filled", "LIMIT 3")
+ORACLES["mutual_information"] = LABELED_SQL + _binned_information("labeled")
+ORACLES["feature_ranking"] = GAP_FREE + _binned_information("filled")
+ORACLES["top_features"] = GAP_FREE + _binned_information("filled", "LIMIT 3")
+ORACLES["information_many_values"] = (
+    f"{LABELED_SQL}, keyed AS (SELECT *, row_key % 5000 AS key_part FROM labeled)"
+    + _information(long_form("keyed", ["price", "key_part", "age"], ", label")).replace("feature = 'price'", "FALSE")
+)
 
 
 def _pairs(names: list[str], keep) -> str:
@@ -207,9 +218,12 @@ SELECT feature AS "column", round(q1, 4) AS q1, round(median, 4) AS median, roun
   round(greatest(q3, max(CASE WHEN value <= hi THEN value END)), 4) AS upper_whisker,
   count(CASE WHEN value < lo OR value > hi THEN 1 END) AS outliers
 FROM cells JOIN fence USING (feature) GROUP BY feature, q1, median, q3"""
-ORACLES["box_outliers"] = f"""WITH squares AS (SELECT o_orderkey, o_totalprice * o_totalprice / 1e6 AS squared FROM orders),
-cells AS (SELECT 'squared' AS feature, squared AS value FROM squares){_HAZEN}
-SELECT o_orderkey, round(squared, 4) AS squared FROM squares CROSS JOIN fence WHERE squared < lo OR squared > hi"""
+ORACLES["box_stats_events"] = ORACLES["box_stats"].replace(
+    f"{LABELED_SQL}, cells AS ({long_form('labeled', ['age', 'physhlth', 'price'])})",
+    f"WITH cells AS ({long_form('events', ['value', 'user_id'])})",
+)
+ORACLES["box_outliers"] = f"""WITH cells AS (SELECT 'value' AS feature, value FROM events){_HAZEN}
+SELECT event_id, round(value, 4) AS value FROM events CROSS JOIN fence WHERE value < lo OR value > hi"""
 ORACLES["ols_trend"] = f"""{LABELED_SQL} SELECT round(regr_slope(price, age), 4) AS slope,
 round(regr_intercept(price, age), 4) AS intercept, round(regr_r2(price, age), 4) AS r2, count(*) AS n
 FROM labeled WHERE age IS NOT NULL AND price IS NOT NULL"""
@@ -251,9 +265,10 @@ auc AS (SELECT model, sum(p * (lower_n + n / 2)) / (sum(p) * sum(n)) AS roc_auc
 
 
 METRICS = (
-    f"{CELLS}, {_auc('scored')}, metrics AS (SELECT model, accuracy, f1, roc_auc FROM m JOIN auc USING (model))"
+    f"{CELLS}, {_auc('scored')}, metrics AS (SELECT m.*, roc_auc FROM m JOIN auc USING (model))"
 )
-ROUNDED = "model, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, round(roc_auc, 6) AS roc_auc"
+NAMES = ("accuracy", "precision", "recall", "f1", "roc_auc", "specificity")
+ROUNDED = "model, " + ", ".join(f"round({n}, 6) AS {n}" for n in NAMES)
 BEST = "ORDER BY metrics.f1 DESC, metrics.roc_auc DESC, metrics.accuracy DESC, model"
 
 ORACLES["rank_models"] = f"{METRICS} SELECT {ROUNDED} FROM metrics {BEST}"
@@ -273,6 +288,8 @@ ORACLES["metric_f1"] = f"{CELLS} SELECT model, round(f1, 6) AS f1 FROM m"
 ORACLES["metric_auc"] = f"{SCORED_SQL}, {_auc('scored')} SELECT model, round(roc_auc, 6) AS roc_auc FROM auc"
 ORACLES["metric_auc_distinct_scores"] = f"""{LABELED_SQL}, priced AS (SELECT 'price' AS model, label,
 price + row_key * 1e-6::DOUBLE AS score FROM labeled), {_auc('priced')} SELECT model, round(roc_auc, 6) AS roc_auc FROM auc"""
+ORACLES["metric_auc_gaps"] = f"""{LABELED_SQL}, gaps AS (SELECT 'gaps' AS model, label, age AS score FROM labeled
+WHERE row_key % 7 <> 0 AND row_key % 11 <> 0), {_auc('gaps')} SELECT model, round(roc_auc, 6) AS roc_auc FROM auc"""
 ORACLES["confusion_matrix"] = (
     f"{SCORED_SQL} SELECT model, label, prediction, count(*) AS n FROM scored GROUP BY model, label, prediction"
 )
@@ -285,19 +302,47 @@ CASE WHEN accuracy >= 0.8 THEN 'excellent' WHEN accuracy >= 0.7 THEN 'good' ELSE
 CASE WHEN accuracy > 0.8 THEN 'good' ELSE 'needs improvement' END AS verdict, accuracy > 0.75 AS satisfactory FROM m"""
 ORACLES["metric_bars"] = METRICS + " UNION ALL ".join(
     f" SELECT model, '{name}' AS metric, round({name}, 6) AS height, format('{{:.3f}}', {name}) AS label FROM metrics"
-    for name in ("accuracy", "f1", "roc_auc")
+    for name in NAMES
 )
 
 # --- splitting and assembly
 ORACLES["split_counts"] = (
-    f"{LABELED_SQL} SELECT CASE WHEN row_key % 10 < 8 THEN 'train' ELSE 'test' END AS side, count(*) AS n "
+    f"{LABELED_SQL} SELECT CASE WHEN (row_key // 20) % 10 < 8 THEN 'train' ELSE 'test' END AS side, count(*) AS n "
     "FROM labeled GROUP BY 1"
 )
 ORACLES["assemble"] = (
     LABELED_SQL
     + """, m AS (SELECT avg(genhlth) AS genhlth, avg(age) AS age, avg(physhlth) AS physhlth, avg(price) AS price
-  FROM labeled WHERE row_key % 10 < 8)
+  FROM labeled WHERE (row_key // 20) % 10 < 8)
 SELECT row_key, label, round(coalesce(l.genhlth, m.genhlth), 6) AS genhlth, round(coalesce(l.age, m.age), 6) AS age,
   round(coalesce(l.physhlth, m.physhlth), 6) AS physhlth, round(coalesce(l.price, m.price), 6) AS price
-FROM labeled l CROSS JOIN m WHERE row_key % 10 >= 8"""
+FROM labeled l CROSS JOIN m WHERE (row_key // 20) % 10 >= 8"""
+)
+ORACLES["split_by_key"] = f"""{LABELED_SQL} SELECT count(*) AS n, count(DISTINCT row_key) AS keys, CAST(1 AS BIGINT) AS sides,
+TRUE AS near_share FROM labeled"""
+
+# --- models
+_TRAIN = "(row_key // 20) % 10 < 8"
+_CODED = f"""{LABELED_SQL}, coded AS (SELECT row_key, genhlth, label, {_TRAIN} AS train FROM labeled WHERE genhlth IS NOT NULL)"""
+_WEIGHTS = {"intercept": "1.0::DOUBLE", **{f: f"coalesce(l.{f}, m.{f})" for f in ("genhlth", "age", "physhlth", "price")}}
+ORACLES["model_logistic"] = (
+    f"{LABELED_SQL}, m AS (SELECT avg(genhlth) AS genhlth, avg(age) AS age, avg(physhlth) AS physhlth, avg(price) AS price FROM labeled WHERE {_TRAIN}) "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, round(avg({w} * label), 4) AS mean_y, TRUE AS agrees FROM labeled l CROSS JOIN m WHERE {_TRAIN}"
+        for name, w in _WEIGHTS.items()
+    )
 )
+ORACLES["model_tree"] = f"""{_CODED}, half AS (SELECT genhlth > 3 AS upper, avg(label) AS score FROM coded WHERE train GROUP BY 1)
+SELECT DISTINCT genhlth, CASE WHEN upper THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(score, 6) AS score
+FROM coded JOIN half ON (genhlth > 3) = upper WHERE train"""
+ORACLES["model_forest"] = f"""{_CODED} SELECT 'random_forest' AS model, CASE WHEN genhlth > 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+CASE WHEN genhlth > 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, count(*) AS n FROM coded WHERE NOT train GROUP BY 2"""
+ORACLES["predictions"] = f"""{_CODED}, half AS (SELECT genhlth > 3 AS upper, sum(label) AS score FROM coded WHERE train GROUP BY 1)
+SELECT 'decision_tree' AS model, label, row_key, CASE WHEN upper THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, score
+FROM coded JOIN half ON (genhlth > 3) = upper WHERE NOT train"""
+# all three models part the codes in the middle; only the logistic scores differ within a half
+_SAME = METRICS.replace(SCORED_SQL, _CODED + ", scored AS (" + " UNION ALL ".join(
+    f"SELECT '{model}' AS model, label, CASE WHEN genhlth > 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, {score} AS score FROM coded WHERE NOT train"
+    for model, score in {"logistic_regression": "genhlth", "random_forest": "CAST(genhlth > 3 AS DOUBLE)", "decision_tree": "CAST(genhlth > 3 AS DOUBLE)"}.items()
+) + ")")
+ORACLES["model_compare"] = f"{_SAME} SELECT {ROUNDED} FROM metrics"

@@ -37,7 +37,8 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def in_train():
-    return F.col("row_key") % 10 < 8
+    # the label of the fixture depends on the last digits of the key, so the side depends on others
+    return F.expr("(row_key DIV 20) % 10 < 8")
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -105,6 +106,20 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(f"{base}/rows")
 
 
+@query
+def stream_malformed(spark, sf_dir):
+    """Malformed records are kept as text beside the good ones."""
+    base = scratch_dir(spark, "malformed")
+    events = tables.load_table(spark, f"{sf_dir}/events.parquet")
+    cut = F.when(F.col("event_id") % 9 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    events.select(cut.alias("value")).write.text(f"{base}/lines")
+    streaming.ingest(
+        streaming.stream_lines(spark, f"{base}/lines"), "k double, bad string", f"{base}/rows", f"{base}/checkpoint",
+        available_now=True, timeout_seconds=600, corrupt="bad",
+    )
+    return spark.read.parquet(f"{base}/rows").agg(F.count("*").alias("n"), F.count("bad").alias("malformed"), F.sum(F.when(F.col("bad").isNull(), F.col("k"))).alias("k"))
+
+
 @query
 def metrics_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "metrics")
@@ -267,7 +282,14 @@ def column_profile(spark, sf_dir):
 @query
 def mutual_information(spark, sf_dir):
     rows = labeled(spark, sf_dir)
-    return rounded(information.mutual_information(rows, FEATURES, "label"), 6, "mi")
+    return rounded(information.mutual_information(rows, FEATURES, "label", continuous=SPEC.continuous), 6, "mi")
+
+
+@query
+def information_many_values(spark, sf_dir):
+    """Thousands of values, all of them counted."""
+    rows = labeled(spark, sf_dir).withColumn("key_part", F.col("row_key") % 5000)
+    return rounded(information.mutual_information(rows, ["price", "key_part", "age"], "label"), 6, "mi")
 
 
 @query
@@ -308,11 +330,16 @@ def box_stats(spark, sf_dir):
     return rounded(table, 4, "q1", "median", "q3", "lower_whisker", "upper_whisker")
 
 
+@query
+def box_stats_events(spark, sf_dir):
+    table = distribution.box_stats(tables.load_table(spark, f"{sf_dir}/events.parquet"), ["value", "user_id"])
+    return rounded(table, 4, "q1", "median", "q3", "lower_whisker", "upper_whisker")
+
+
 @query
 def box_outliers(spark, sf_dir):
-    orders = tables.load_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
-    value = F.col("o_totalprice") * F.col("o_totalprice") / 1e6
-    return rounded(distribution.box_outliers(orders.select("o_orderkey", value.alias("squared")), "squared"), 4, "squared")
+    events = tables.load_table(spark, f"{sf_dir}/events.parquet").select("event_id", "value")
+    return rounded(distribution.box_outliers(events, "value"), 4, "value")
 
 
 @query
@@ -381,6 +408,14 @@ def metric_auc_distinct_scores(spark, sf_dir):
     return rounded(metrics.roc_auc(rows), 6, "roc_auc")
 
 
+@query
+def metric_auc_gaps(spark, sf_dir):
+    """Null and NaN scores rank nowhere."""
+    nan, null = F.lit(float("nan")), F.lit(None).cast("double")
+    score = F.when(F.col("row_key") % 7 == 0, nan).when(F.col("row_key") % 11 == 0, null).otherwise(F.col("age"))
+    return rounded(metrics.roc_auc(labeled(spark, sf_dir).select(F.lit("gaps").alias("model"), "label", score.alias("score"))), 6, "roc_auc")
+
+
 @query
 def confusion_matrix(spark, sf_dir):
     return metrics.confusion_matrix(scored(spark, sf_dir))
@@ -421,36 +456,65 @@ def assemble(spark, sf_dir):
     return rounded(rows, 6, *layout.features)
 
 
-def _compared(spark, sf_dir, *names):
-    train, test = models.split_by(labeled(spark, sf_dir), in_train())
-    chosen = models.default_estimators()
-    return models.compare_models(train, test, FEATURES, {n: chosen[n] for n in names or chosen})
+@query
+def split_by_key(spark, sf_dir):
+    """The library's own split by a key: every copy of a key lies on one side."""
+    train, test = models.split(labeled(spark, sf_dir).select("row_key"), "row_key")
+    sides = train.withColumn("side", F.lit(1)).union(test.withColumn("side", F.lit(0)))
+    keys = sides.groupBy("row_key").agg(F.count_distinct("side").alias("sides"), F.count("*").alias("n"), F.avg("side").alias("train"))
+    return keys.agg(
+        F.sum("n").alias("n"), F.count("*").alias("keys"), F.max("sides").alias("sides"), F.avg("train").between(0.77, 0.83).alias("near_share")
+    )
+
+
+def _coded(spark, sf_dir):
+    """Rows with one coded feature; the label follows it but for some noise."""
+    return models.split_by(labeled(spark, sf_dir).where("genhlth IS NOT NULL").select("row_key", "genhlth", "label"), in_train())
 
 
 @query
 def model_logistic(spark, sf_dir):
-    return _compared(spark, sf_dir, "logistic_regression")
+    """Score equations: over the training rows, predicted and true labels agree in sum, and in sum with each feature as weight."""
+    train, _ = models.split_by(labeled(spark, sf_dir), in_train())
+    layout = models.fit_features(train, FEATURES)
+    rows = layout.assemble(train, "row_key", "label")
+    fitted = models.fit_models(rows.select("label", "features"), {"logistic_regression": models.default_estimators()["logistic_regression"]})
+    scored_rows = fitted["logistic_regression"].transform(rows)
+    x, p = vector_to_array("features"), vector_to_array("probability")[1]
+    weights = {"intercept": F.lit(1.0), **{f: x[i] for i, f in enumerate(layout.features)}}
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), (w * F.col("label")).alias("y"), (w * p).alias("p"), F.abs(w).alias("size")) for n, w in weights.items()]))
+    sums = scored_rows.select(each.alias("s")).groupBy("s.feature").agg(F.avg("s.y").alias("y"), F.avg("s.p").alias("p"), F.avg("s.size").alias("size"))
+    return sums.select("feature", F.round("y", 4).alias("mean_y"), (F.abs(F.col("y") - F.col("p")) < F.col("size") * 1e-4).alias("agrees"))
 
 
 @query
-def model_forest(spark, sf_dir):
-    return _compared(spark, sf_dir, "random_forest")
+def model_tree(spark, sf_dir):
+    """A tree over one code whose halves differ: the probability is the share of positives in the half."""
+    train, _ = _coded(spark, sf_dir)
+    train = train.withColumn("code", F.col("genhlth"))
+    rows = models.fit_features(train, ["genhlth"]).assemble(train, "code", "label")
+    tree = models.fit_models(rows.select("label", "features"), {"decision_tree": models.default_estimators()["decision_tree"]})
+    scored_rows = models.score(rows, tree, "code", by="probability")
+    return rounded(scored_rows.groupBy(F.col("code").alias("genhlth")).agg(F.max("prediction").alias("prediction"), F.max("score").alias("score")), 6, "score")
 
 
 @query
-def model_tree(spark, sf_dir):
-    return _compared(spark, sf_dir, "decision_tree")
+def model_forest(spark, sf_dir):
+    """A label without noise is predicted without error."""
+    train, test = (side.withColumn("label", (F.col("genhlth") > 3).cast("double")) for side in _coded(spark, sf_dir))
+    layout = models.fit_features(train, ["genhlth"])
+    forest = models.fit_models(layout.assemble(train, "label"), {"random_forest": models.default_estimators()["random_forest"]})
+    return metrics.confusion_matrix(models.score(layout.assemble(test, "label"), forest))
 
 
 @query
 def model_compare(spark, sf_dir):
-    return _compared(spark, sf_dir)
+    return rounded(models.compare_models(*_coded(spark, sf_dir), ["genhlth"]), 6, *metrics.METRIC_NAMES)
 
 
 @query
 def predictions(spark, sf_dir):
-    train, test = models.split_by(labeled(spark, sf_dir), in_train())
-    layout = models.fit_features(train, FEATURES)
-    logistic = {"logistic_regression": models.default_estimators()["logistic_regression"]}
-    fitted = models.fit_models(layout.assemble(train, "label"), logistic)
-    return models.score(layout.assemble(test, "row_key", "label"), fitted, "row_key")
+    train, test = _coded(spark, sf_dir)
+    layout = models.fit_features(train, ["genhlth"])
+    tree = models.fit_models(layout.assemble(train, "label"), {"decision_tree": models.default_estimators()["decision_tree"]})
+    return models.score(layout.assemble(test, "row_key", "label"), tree, "row_key")

@@ -41,6 +41,7 @@ LABELED_SQL = SURVEY_SQL + (
 SPEC = SurveySpec(
     target="target",
     columns=("genhlth", "age", "physhlth", "sparse", "konst", "price", "flag", "not_asked", "target"),
+    continuous={"price": 50},
 )
 FEATURES = ["genhlth", "age", "physhlth", "price"]
 

@@ -5,38 +5,31 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, functions as F
 
-# Partitions per core up to which a table is copied to executor memory for
-# repeated scans.  A scan partition is at most 128 MB by default.
-CACHED_PARTITIONS_PER_CORE = 4
+from tallyframe.functions.numbers import ref
 
+PARTITIONS = 64
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over all cores when the input has fewer partitions than cores.
 
-    Meant before work that costs far more per row than moving it (fitting,
-    kernel sums).  Large tables come in many partitions and pass unchanged.
+def dealt(df: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+    """Rows dealt by a hash of all their cells into ``partitions``, sorted by it within each.
+
+    The layout depends on the rows and ``partitions`` alone, not on cores, files or the order of arrival, so an algorithm that draws
+    rows by partition and position draws the same ones everywhere.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cells = F.struct(*[ref(c) for c in df.columns])
+    key = F.xxhash64(F.to_json(cells))
+    keyed = df.withColumn("__key", key)
+    return keyed.repartition(partitions, "__key").sortWithinPartitions("__key").drop("__key")
 
 
 @contextmanager
 def repeated(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` laid out for a block that scans it several times.
-
-    Small tables are spread over all cores and cached.  Tables with many
-    partitions per core are read again by each scan: the columns come back from
-    a compressed source cheaper than from a row copy spilled to executor disk.
-    """
-    df = spread(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > CACHED_PARTITIONS_PER_CORE * cores:
-        yield df
-        return
-    df = df.persist()
+    """``df`` kept for a block that scans it several times; what does not fit in memory goes to disk."""
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield df
+        yield rows
     finally:
-        df.unpersist()
+        rows.unpersist()

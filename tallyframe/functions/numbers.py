@@ -74,8 +74,8 @@ def pair_correlation(x: Column, y: Column) -> Column:
     """
     both = x.isNotNull() & y.isNotNull()
     px, py = F.when(both, x), F.when(both, y)
-    spread = F.stddev_samp(px) * F.stddev_samp(py)
-    return F.try_divide(F.covar_samp(px, py), spread)
+    varies = (F.min(px) < F.max(px)) & (F.min(py) < F.max(py))
+    return F.when(varies, F.try_divide(F.covar_samp(px, py), F.stddev_samp(px) * F.stddev_samp(py)))
 
 
 def one_row_per_column(stats: DataFrame, entries: Sequence[Column]) -> DataFrame:

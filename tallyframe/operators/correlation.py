@@ -11,10 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyframe.functions.numbers import as_double, doubles, numeric_columns, pair_correlation
 from tallyframe.operators.quantiles import means
 
-# A side whose spread is below this share of its second moment is constant up
-# to rounding; its correlation is null.
-_CONSTANT = 1e-12
-_SUMS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+_SUMS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double, xl double, xh double, yl double, yh double"
 
 
 def pair_corr(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -28,6 +25,7 @@ def _cross_sums(centre: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k = len(centre)
         n, sx, sxx, sxy = (np.zeros((k, k)) for _ in range(4))
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
         for batch in batches:
             values = batch.to_numpy(dtype="float64", na_value=np.nan) - centre
             filled = ~np.isnan(values)
@@ -37,6 +35,10 @@ def _cross_sums(centre: np.ndarray):
             sx += values.T @ mask
             sxx += (values * values).T @ mask
             sxy += values.T @ values
+            for other in range(k):
+                both = filled & filled[:, [other]]
+                low[:, other] = np.minimum(low[:, other], np.where(both, values, np.inf).min(axis=0, initial=np.inf))
+                high[:, other] = np.maximum(high[:, other], np.where(both, values, -np.inf).max(axis=0, initial=-np.inf))
         i, j = np.triu_indices(k)
         yield pd.DataFrame(
             {
@@ -48,6 +50,10 @@ def _cross_sums(centre: np.ndarray):
                 "sxx": sxx[i, j],
                 "syy": sxx[j, i],
                 "sxy": sxy[i, j],
+                "xl": low[i, j],
+                "xh": high[i, j],
+                "yl": low[j, i],
+                "yh": high[j, i],
             }
         )
 
@@ -69,12 +75,17 @@ def corr_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         data.toDF(*[f"c{i}" for i in range(len(names))])
         .mapInPandas(_cross_sums(shift), _SUMS)
         .groupBy("i", "j")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+        .agg(
+            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+            *[F.min(c).alias(c) for c in ("xl", "yl")],
+            *[F.max(c).alias(c) for c in ("xh", "yh")],
+        )
     )
     n = F.col("n")
     vx = n * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = n * F.col("syy") - F.col("sy") * F.col("sy")
-    varies = (vx > _CONSTANT * n * F.col("sxx")) & (vy > _CONSTANT * n * F.col("syy"))
+    # constant is what has one value in the rows of the pair, as in pair_correlation
+    varies = (F.col("xl") < F.col("xh")) & (F.col("yl") < F.col("yh")) & (vx > 0) & (vy > 0)
     cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
     r = F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy))
     # rounding can leave r just outside its range

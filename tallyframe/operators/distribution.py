@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.layout import spread
 from tallyframe.functions.numbers import as_double, doubles, numeric_columns, ref
-from tallyframe.operators.columns import ColumnStats, column_stats
-from tallyframe.operators.information import BINS, continuous_columns, equal_width_bin
+from tallyframe.operators.columns import column_stats
+from tallyframe.operators.information import BINS, equal_width_bin
 from tallyframe.operators.quantiles import EXACT_ROWS, exact_quantiles, midpoint_rank
 
 GRID = 200
@@ -85,28 +83,18 @@ def _density_sums(shapes: dict[int, tuple[float, float, float]], points: int):
 def kde(df: DataFrame, columns: Sequence[str], points: int = GRID) -> DataFrame:
     """Gaussian kernel density per column on an even grid from minimum to maximum.
 
-    Bandwidth is the sample deviation times ``n ** (-1/5)``.  Coded columns are
-    counted per value first; columns with many values are summed where they are
-    read, so only ``points`` rows per column and task are shuffled either way.
-    Every row contributes to every grid point, nothing is binned or cut off.
+    Bandwidth is the sample deviation times ``n ** (-1/5)``.  Rows are counted per
+    value first, which also deals the kernel sums over all tasks; after that only
+    ``points`` rows per column and task move.  Every row contributes to every grid point, nothing is binned or cut off.
     Constant columns have no density and are left out.
     """
     names = list(columns)
     data = doubles(df, names)
-    figures = {
-        "n": F.count,
-        "lo": F.min,
-        "hi": F.max,
-        "s": F.stddev_samp,
-        "w": lambda v: F.bool_and(v == F.rint(v)),
-    }
+    figures = {"n": F.count, "lo": F.min, "hi": F.max, "s": F.stddev_samp}
     row = data.agg(
         *[figure(ref(c)).alias(f"{key}{i}") for i, c in enumerate(names) for key, figure in figures.items()]
     ).first()
 
-    def by_name(key):
-        return {c: row[f"{key}{i}"] for i, c in enumerate(names)}
-
     shapes, scales = {}, {}
     for i in range(len(names)):
         n, low, high, deviation = (row[f"{key}{i}"] for key in ("n", "lo", "hi", "s"))
@@ -117,24 +105,10 @@ def kde(df: DataFrame, columns: Sequence[str], points: int = GRID) -> DataFrame:
     if not shapes:
         return df.sparkSession.createDataFrame([], "column string, point int, x double, density double")
 
-    stats = ColumnStats(0, by_name("n"), by_name("lo"), by_name("hi"), by_name("w"))
-    many = set(continuous_columns(data, [names[i] for i in shapes], stats=stats))
-
-    def long(chosen: list[int]) -> DataFrame:
-        numbered = data.select(*[ref(names[i]).alias(str(i)) for i in chosen])
-        cells = numbered.unpivot([], [str(i) for i in chosen], "c", "value").where("value IS NOT NULL")
-        return cells.withColumn("c", F.col("c").cast("int"))
-
-    coded = [i for i in shapes if names[i] not in many]
-    direct = [i for i in shapes if names[i] in many]
-    parts = []
-    if coded:
-        parts.append(long(coded).groupBy("c", "value").agg(F.count(F.lit(1)).cast("double").alias("weight")))
-    if direct:
-        parts.append(spread(long(direct)).withColumn("weight", F.lit(1.0)))
-    sums = reduce(DataFrame.unionByName, parts).mapInPandas(
-        _density_sums(shapes, points), "c int, point int, s double"
-    )
+    numbered = data.select(*[ref(names[i]).alias(str(i)) for i in shapes])
+    cells = numbered.unpivot([], [str(i) for i in shapes], "c", "value").where("value IS NOT NULL")
+    counted = cells.groupBy(F.col("c").cast("int").alias("c"), "value").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    sums = counted.mapInPandas(_density_sums(shapes, points), "c int, point int, s double")
 
     return (
         sums.groupBy("c", "point")

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.numbers import as_double, doubles, ref
 from tallyframe.operators.columns import ColumnStats, column_stats
 
 BINS = 50
-MAX_CODES = 256
 
 
-def equal_width_bin(value, low: float, high: float, bins: int = BINS):
+def equal_width_bin(value: Column, low: float | None, high: float | None, bins: int = BINS) -> Column:
     """0-based bin of ``value`` among ``bins`` equal slices of ``[low, high]``."""
     if low is None or high is None or low == high:
         return F.when(value.isNotNull(), F.lit(0)).cast("int")
@@ -22,61 +21,22 @@ def equal_width_bin(value, low: float, high: float, bins: int = BINS):
     return F.when(value.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(bins - 1), place))).cast("int")
 
 
-def continuous_columns(
-    df: DataFrame,
-    columns: Sequence[str],
-    max_codes: int = MAX_CODES,
-    stats: ColumnStats | None = None,
-) -> list[str]:
-    """Columns with more than ``max_codes`` distinct values.
-
-    Whole numbers in a narrow range are codes without looking further.  For the
-    others a sketch settles the clear cases in one scan; only columns whose
-    estimate lies close to the limit are counted exactly, and those are known
-    to have few values.
-    """
-    open_columns = [c for c in columns if stats is None or not stats.is_coded(c, max_codes)]
-    if not open_columns:
-        return []
-    data = doubles(df, open_columns)
-    row = data.agg(
-        *[F.approx_count_distinct(ref(c)).alias(f"d{i}") for i, c in enumerate(open_columns)]
-    ).first()
-    estimate = {c: row[f"d{i}"] for i, c in enumerate(open_columns)}
-    # the sketch has 5 % standard error; the band is five times that
-    unclear = [c for c in open_columns if 0.75 * max_codes <= estimate[c] <= 1.33 * max_codes]
-    exact = {}
-    if unclear:
-        counted = (
-            data.select(*map(ref, unclear))
-            .unpivot([], [ref(c) for c in unclear], "column", "value")
-            .where("value IS NOT NULL")
-            .groupBy("column", "value")
-            .agg(F.lit(1).alias("one"))
-            .groupBy("column")
-            .count()
-        )
-        exact = {r["column"]: r["count"] for r in counted.collect()}
-    return [c for c in open_columns if exact.get(c, estimate[c]) > max_codes]
-
-
 def value_counts(
     df: DataFrame,
     columns: Sequence[str],
     label: str,
     *,
-    binned: Mapping[str, tuple[float, float]] | None = None,
-    bins: int = BINS,
+    binned: Mapping[str, tuple[float, float, int]] | None = None,
 ) -> DataFrame:
     """Rows per (feature, value, label), nulls of the feature left out.
 
-    Columns named in ``binned`` are counted per equal-width bin of the given
-    range.  The result has at most ``codes * labels`` rows per feature: every
-    task adds up its own rows first, so a dominant value costs one shuffle row.
+    Columns named in ``binned`` are counted per equal-width bin: lower end, upper
+    end and number of bins.  Every task adds up its own rows first, so a dominant
+    value costs one shuffle row.
     """
     binned = binned or {}
     projected = [
-        equal_width_bin(as_double(df, c), *binned[c], bins).cast("double").alias(c)
+        equal_width_bin(as_double(df, c), *binned[c]).cast("double").alias(c)
         if c in binned
         else as_double(df, c).alias(c)
         for c in columns
@@ -90,19 +50,26 @@ def value_counts(
     )
 
 
+def _n_ln_n(n: Column) -> Column:
+    return n * F.ln(n)
+
+
 def information_from_counts(counts: DataFrame) -> DataFrame:
-    """Plug-in mutual information in nats from (feature, value, label, n)."""
-    feature = Window.partitionBy("feature")
+    """Plug-in mutual information in nats from (feature, value, label, n).
+
+    With n rows of a value and label, nv of a value, ny of a label and t in all,
+    it is (S(n ln n) - S(nv ln nv) - S(ny ln ny) + t ln t) / t: sums of sums, so
+    values are spread by hash and no feature is ever gathered.
+    """
     n = F.col("n").cast("double")
-    joint = counts.select(
-        "feature",
-        n.alias("n"),
-        F.sum(n).over(feature).alias("t"),
-        F.sum(n).over(Window.partitionBy("feature", "value")).alias("nv"),
-        F.sum(n).over(Window.partitionBy("feature", "label")).alias("ny"),
+    by_value = counts.groupBy("feature", "value").agg(F.sum(n).alias("nv"), F.sum(_n_ln_n(n)).alias("joint"))
+    values = by_value.groupBy("feature").agg(
+        F.sum("joint").alias("joint"), F.sum(_n_ln_n(F.col("nv"))).alias("values"), F.sum("nv").alias("t")
     )
-    term = F.col("n") / F.col("t") * F.ln(F.col("n") * F.col("t") / (F.col("nv") * F.col("ny")))
-    return joint.groupBy("feature").agg(F.sum(term).alias("mi")).orderBy(F.desc("mi"), "feature")
+    by_label = counts.groupBy("feature", "label").agg(F.sum(n).alias("ny"))
+    labels = by_label.groupBy("feature").agg(F.sum(_n_ln_n(F.col("ny"))).alias("labels"))
+    mi = (F.col("joint") - F.col("values") - F.col("labels") + _n_ln_n(F.col("t"))) / F.col("t")
+    return values.join(labels, "feature").select("feature", F.greatest(mi, F.lit(0.0)).alias("mi"))
 
 
 def mutual_information(
@@ -110,23 +77,23 @@ def mutual_information(
     features: Sequence[str],
     label: str,
     *,
-    continuous: Sequence[str] | None = None,
+    continuous: Mapping[str, int] | Sequence[str] = (),
     stats: ColumnStats | None = None,
-    bins: int = BINS,
-    max_codes: int = MAX_CODES,
 ) -> DataFrame:
-    """Features with their mutual information with ``label``, most informative first.
+    """(feature, mi, binned), most informative first.
 
-    Features with more than ``max_codes`` values (or those named in
-    ``continuous``) are cut into equal-width bins before counting.
+    Every value of a feature is counted, however many there are, except for the
+    features named in ``continuous``: these are cut into equal-width bins first,
+    as many as the mapping says or ``BINS``.  ``binned`` tells which they are.
     """
     features = list(features)
-    if continuous is None:
-        continuous = continuous_columns(df, features, max_codes, stats)
-    if continuous and stats is None:
-        stats = column_stats(df, continuous)
-    ranges = {c: (stats.low[c], stats.high[c]) for c in continuous}
-    return information_from_counts(value_counts(df, features, label, binned=ranges, bins=bins))
+    bins = dict(continuous) if isinstance(continuous, Mapping) else dict.fromkeys(continuous, BINS)
+    bins = {c: n for c, n in bins.items() if c in features}
+    if bins and stats is None:
+        stats = column_stats(df, list(bins))
+    ranges = {c: (stats.low[c], stats.high[c], n) for c, n in bins.items()}
+    table = information_from_counts(value_counts(df, features, label, binned=ranges))
+    return table.withColumn("binned", F.col("feature").isin(*bins)).orderBy(F.desc("mi"), "feature")
 
 
 def top_features(ranking: DataFrame, n: int = 10) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe.functions.numbers import share
 
-METRICS_SCHEMA = "model string, accuracy double, f1 double, roc_auc double"
-METRIC_NAMES = ("accuracy", "f1", "roc_auc")
+METRIC_NAMES = ("accuracy", "precision", "recall", "f1", "roc_auc", "specificity")
+METRICS_SCHEMA = "model string, " + ", ".join(f"{name} double" for name in METRIC_NAMES)
 _BEST_FIRST = ("f1", "roc_auc", "accuracy")
 
 
@@ -92,10 +92,10 @@ def _ranked_totals(scored: DataFrame, cells: Sequence[Column]) -> DataFrame:
     Equal scores are added up before the shuffle, the distinct scores are range
     partitioned, and each range is folded on its own in score order.  What is
     left is one row per range, whose offsets a small window adds.  No task sees
-    all scores and no sort is global.  Rows without a score count in the cells
-    only.
+    all scores and no sort is global.  Rows without a score, NaN included, count
+    in the cells only.
     """
-    score = F.col("score").cast("double")
+    score = F.nanvl(F.col("score").cast("double"), F.lit(None).cast("double"))
     ranked = score.isNotNull() & F.col("label").isNotNull()
     by_score = scored.groupBy("model", score.alias("score")).agg(
         F.count_if(ranked & (F.col("label") == 1)).cast("double").alias("p"),
@@ -117,21 +117,19 @@ def _ranked_totals(scored: DataFrame, cells: Sequence[Column]) -> DataFrame:
 
 
 def _auc() -> Column:
-    return F.try_divide(F.col("u"), F.col("p") * F.col("n")).alias("roc_auc")
+    return F.try_divide(F.col("u"), F.col("p") * F.col("n"))
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
     """Exact area under the ROC curve per model, by ranks with ties counted half."""
     none = [F.lit(0.0).alias(c) for c in _CELLS]
-    return _ranked_totals(scored, none).select("model", _auc())
+    return _ranked_totals(scored, none).select("model", _auc().alias("roc_auc"))
 
 
 def model_metrics(scored: DataFrame) -> DataFrame:
-    """Accuracy, weighted F1 and exact ROC AUC, one row per model, from one pass over the rows."""
-    values = _cell_metrics()
-    return _ranked_totals(scored, _cell_counts()).select(
-        "model", values["accuracy"].alias("accuracy"), values["f1"].alias("f1"), _auc()
-    )
+    """``METRIC_NAMES``, one row per model, from one pass over the rows; F1 is label-weighted, ROC AUC exact."""
+    values = {**_cell_metrics(), "roc_auc": _auc()}
+    return _ranked_totals(scored, _cell_counts()).select("model", *[values[n].alias(n) for n in METRIC_NAMES])
 
 
 def rank_models(metrics: DataFrame) -> DataFrame:

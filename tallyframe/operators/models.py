@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.layout import repeated
+from tallyframe.functions.layout import dealt, repeated
 from tallyframe.functions.numbers import doubles, ref
 from tallyframe.operators.columns import fill_missing
 from tallyframe.operators.metrics import METRICS_SCHEMA, model_metrics, rank_models
@@ -146,7 +146,9 @@ def compare_models(
     are scored side by side and measured together in one pass of the test rows.
     """
     layout = fit_features(train, features, strategy)
-    models = fit_models(layout.assemble(train, "label"), estimators)
+    # dealt by the raw cells: fill values are sums, whose last digits depend on the order of adding
+    rows = dealt(train.select("label", *[ref(f) for f in layout.features if f != "label"]))
+    models = fit_models(layout.assemble(rows, "label"), estimators)
     scored = score(layout.assemble(test, "label"), models)
     rows = rank_models(model_metrics(scored)).collect()  # one row per model
     return train.sparkSession.createDataFrame(rows, METRICS_SCHEMA)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions.numbers import as_double, doubles, numeric_columns, one_row_per_column, ref, share
 from tallyframe.operators.quantiles import EXACT_ROWS, exact_quantiles
+from tallyframe.operators.metrics import best_model
 from tallyframe.operators.columns import ColumnStats
 
 
@@ -77,13 +78,10 @@ def overview(df: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
     if metrics is None:
         figures = table.withColumns({"accuracy": F.lit(None).cast("double"), "models": F.lit(0)})
     else:
-        best_first = [F.coalesce(c, F.lit(-1.0)) for c in ("f1", "roc_auc", "accuracy")]
-        models = metrics.agg(
-            F.max_by("accuracy", F.struct(*best_first)).alias("accuracy"),
-            F.count(F.lit(1)).alias("models"),
-        )
-        # two one-row tables side by side
-        figures = table.unionByName(models, allowMissingColumns=True).agg(
+        # one-row tables side by side
+        best = best_model(metrics).select("accuracy")
+        models = metrics.agg(F.count(F.lit(1)).alias("models"))
+        figures = table.unionByName(models, allowMissingColumns=True).unionByName(best, allowMissingColumns=True).agg(
             *[F.max(c).alias(c) for c in ("records", "features", "accuracy", "models")]
         )
     return figures.select(

@@ -1,12 +1,11 @@
 """Exact quantiles that hold at any row count.
 
-The built-in exact ``percentile`` keeps every distinct value of a column in one
-task.  It is used only where that state is proven small: by the row count, or
-because the column holds whole numbers in a narrow range.  Otherwise the wanted
-order statistics are bracketed by counting rows per equal-width slice: one scan
-narrows every open bracket by a factor of ``slices``, each task sends at most
-``slices`` rows per bracket, and a bracket closes as soon as its slice holds a
-single value or few enough rows for the built-in aggregate.
+Wanted are order statistics: the rows at given ranks of a column.  A scan of
+mergeable sketches brackets each rank by two values, a second scan counts the
+rows below and inside every bracket, and the rows inside are counted per value,
+spread by hash.  The counts decide, so a sketch that errs costs a repetition and
+never a digit.  Columns whose values are few by their range, or short columns,
+are counted per value at once.  No task ever holds the values of a column.
 """
 
 from __future__ import annotations
@@ -15,14 +14,15 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe.functions.numbers import as_double, doubles, ref
 from tallyframe.operators.columns import ColumnStats, column_stats
 
 EXACT_ROWS = 50_000
-SLICES = 512
-_FINITE = 1.7e308
+SKETCH_SIZE = 2048
+MARGIN = 0.004  # ranks are off by less than a quarter of this with nearly all sketches
+MERGE_GROUPS = 256
 
 
 def linear_rank(n: int, q: float) -> float:
@@ -38,9 +38,9 @@ def midpoint_rank(n: int, q: float) -> float:
     return min(max(n * q - 0.5, 0.0), n - 1.0)
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Bracket:
-    """Closed value range known to hold the row of 0-based ``rank``."""
+    """Closed value range known to hold the row of 0-based ``rank``; ``below`` rows lie below it, ``rows`` inside."""
 
     column: str
     rank: int
@@ -58,7 +58,6 @@ def exact_quantiles(
     rank: Callable[[int, float], float] = linear_rank,
     stats: ColumnStats | None = None,
     exact_rows: int = EXACT_ROWS,
-    slices: int = SLICES,
 ) -> dict[str, list[float | None]]:
     """Quantiles of the non-null values of each column, in order of ``probabilities``."""
     columns = list(columns)
@@ -67,135 +66,110 @@ def exact_quantiles(
     data = doubles(df, columns)
     stats = stats or column_stats(data, columns)
     counts = {c: stats.non_null[c] for c in columns}
-    few = {c: n for c, n in counts.items() if n <= exact_rows or stats.is_coded(c, exact_rows)}
-    result = _by_builtin(data, few, probabilities, rank) if few else {}
-    counts = {c: n for c, n in counts.items() if c not in few}
-    if not counts:
-        return result
-
-    wanted: dict[str, set[int]] = {}
+    brackets = []
     for c, n in counts.items():
-        places = [rank(n, q) for q in probabilities]
-        wanted[c] = {int(math.floor(p)) for p in places} | {int(math.ceil(p)) for p in places}
-    brackets = [
-        _Bracket(c, r, float(stats.low[c]), float(stats.high[c]), 0, counts[c])
-        for c in counts
-        for r in sorted(wanted[c])
-    ]
-    found = _order_statistics(data, brackets, exact_rows, slices)
-
+        places = [rank(n, q) for q in probabilities] if n else []
+        for r in sorted({math.floor(p) for p in places} | {math.ceil(p) for p in places}):
+            brackets.append(_Bracket(c, int(r), float(stats.low[c]), float(stats.high[c]), 0, n))
+    coded = {c for c in columns if stats.is_coded(c, exact_rows)}
+    found = _order_statistics(data, brackets, coded, exact_rows)
+    result: dict[str, list[float | None]] = {}
     for c, n in counts.items():
-        result[c] = []
-        for q in probabilities:
+        result[c] = [None] * len(probabilities) if not n else []
+        for q in probabilities if n else []:
             place = rank(n, q)
             lower, part = math.floor(place), place - math.floor(place)
-            a = found[c, int(lower)]
-            b = found[c, int(math.ceil(place))]
+            a, b = found[c, int(lower)], found[c, int(math.ceil(place))]
             result[c].append(a if a == b else a * (1.0 - part) + b * part)
     return result
 
 
-def _by_builtin(data, counts, probabilities, rank):
-    aggregates = []
-    for i, (c, n) in enumerate(counts.items()):
-        # `percentile` interpolates at q * (n - 1); other rank rules are
-        # expressed as the q that lands on the same place.
-        points = [rank(n, q) / (n - 1) if n > 1 else 0.0 for q in probabilities]
-        if rank is linear_rank:
-            points = list(probabilities)
-        points = F.array(*[F.lit(float(p)) for p in points])
-        aggregates.append(F.percentile(ref(c), points).alias(f"p{i}"))
-    row = data.agg(*aggregates).first()
-    return {
-        c: list(row[f"p{i}"]) if row[f"p{i}"] is not None else [None] * len(probabilities)
-        for i, c in enumerate(counts)
-    }
-
-
-def _order_statistics(data, brackets, exact_rows, slices):
+def _order_statistics(
+    data: DataFrame, brackets: list[_Bracket], coded: set[str], exact_rows: int
+) -> dict[tuple[str, int], float]:
     found: dict[tuple[str, int], float] = {}
-    small: list[_Bracket] = []
+    ready: list[_Bracket] = []
     while brackets:
-        open_brackets = []
+        wide = []
         for b in brackets:
             if b.low == b.high:
                 found[b.column, b.rank] = b.low
-            elif b.rows <= exact_rows:
-                small.append(b)
+            elif b.rows <= exact_rows or b.column in coded:
+                ready.append(b)
             else:
-                open_brackets.append(b)
-        brackets = _narrow(data, open_brackets, slices) if open_brackets else []
-    if small:
-        found.update(_read_small(data, small))
+                wide.append(b)
+        brackets = []
+        if wide:
+            for before, after in zip(wide, _narrowed(data, wide)):
+                # what does not shrink any more is held up by values that many rows share, and these are few
+                (brackets if after.rows <= before.rows // 2 or after.low == after.high else ready).append(after)
+    if ready:
+        found.update(_read(data, ready))
     return found
 
 
-def _narrow(data: DataFrame, brackets: list[_Bracket], slices: int) -> list[_Bracket]:
-    """One scan: count rows per slice of every distinct open range, keep the right slice."""
-    ranges = sorted({(b.column, b.low, b.high) for b in brackets})
+def _ranges(brackets: Sequence[_Bracket]) -> list[tuple[str, float, float]]:
+    return sorted({(b.column, b.low, b.high) for b in brackets})
 
-    def bound(pick) -> Column:
-        """Constant per range, looked up by the range number of the row."""
-        return F.element_at(F.array(*[F.lit(float(pick(r))) for r in ranges]), F.col("range") + 1)
 
-    # One long column of (range, value), so the slice is computed by one
-    # expression however many ranges are open.
-    long = (
-        data.select(*[ref(c).alias(str(i)) for i, (c, _, _) in enumerate(ranges)])
-        .unpivot([], [str(i) for i in range(len(ranges))], "range", "value")
-        .withColumn("range", F.col("range").cast("int"))
-        .where(F.col("value").between(bound(lambda r: r[1]), bound(lambda r: r[2])))
-    )
-    value = F.col("value")
-    # halves keep high - low finite for the widest possible range
-    start = bound(lambda r: max(r[1], -_FINITE) / 2)
-    width = bound(lambda r: min(r[2], _FINITE) / 2 - max(r[1], -_FINITE) / 2)
-    place = F.floor((value / 2 - start) / width * F.lit(float(slices)))
-    inside = F.greatest(F.lit(0), F.least(F.lit(slices - 1), place))
-    slot = (
-        F.when(value == F.lit(float("-inf")), F.lit(-1))
-        .when(value == F.lit(float("inf")), F.lit(slices))
-        .otherwise(inside)
-        .cast("int")
-    )
-    counted = (
-        long.groupBy("range", slot.alias("slice"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()  # at most len(ranges) * (slices + 2) rows
-    )
-    by_range: dict[int, list] = {}
-    for row in sorted(counted, key=lambda r: (r["range"], r["slice"])):
-        by_range.setdefault(row["range"], []).append(row)
+def _inside(column: str, low: float, high: float) -> Column:
+    return ref(column).between(F.lit(low), F.lit(high))
+
+
+def _narrowed(data: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
+    """Each bracket cut to about ``MARGIN`` of its rows: one scan of sketches, one of counts."""
+    ranges = _ranges(brackets)
+    sketches = [
+        F.kll_sketch_agg_double(F.when(_inside(*r), ref(r[0])), F.lit(SKETCH_SIZE)).alias(f"s{i}") for i, r in enumerate(ranges)
+    ]
+    # sketches are merged in two steps, so no task takes one from every task of the scan
+    grouped = data.withColumn("__part", F.spark_partition_id() % MERGE_GROUPS).groupBy("__part").agg(*sketches)
+    merged = grouped.agg(*[F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(ranges))])
     index = {r: i for i, r in enumerate(ranges)}
-    narrowed = []
-    for b in brackets:
-        below = b.below
-        for row in by_range[index[b.column, b.low, b.high]]:
-            if b.rank < below + row["n"]:
-                narrowed.append(_Bracket(b.column, b.rank, row["low"], row["high"], below, row["n"]))
-                break
-            below += row["n"]
-    return narrowed
-
-
-def _read_small(data: DataFrame, brackets: list[_Bracket]):
-    """Order statistics inside ranges already shown to hold few rows."""
-    aggregates = []
+    asked = []
     for i, b in enumerate(brackets):
         share = (b.rank - b.below + 0.5) / b.rows
-        name = "`" + b.column.replace("`", "``") + "`"
-        aggregates.append(
-            F.expr(
-                f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY {name}) "
-                f"FILTER (WHERE {name} BETWEEN {_literal(b.low)} AND {_literal(b.high)})"
-            ).alias(f"v{i}")
-        )
-    row = data.agg(*aggregates).first()
-    return {(b.column, b.rank): row[f"v{i}"] for i, b in enumerate(brackets)}
-
-
-def _literal(value: float) -> str:
-    return f"CAST('{value!r}' AS DOUBLE)"
+        sketch = F.col(f"s{index[b.column, b.low, b.high]}")
+        for side, q in (("l", share - MARGIN / 2), ("h", share + MARGIN / 2)):
+            asked.append(F.kll_sketch_get_quantile_double(sketch, F.lit(min(max(q, 0.0), 1.0))).alias(f"{side}{i}"))
+    guess = merged.select(*asked).first()
+    spans = [(b.column, max(guess[f"l{i}"], b.low), min(guess[f"h{i}"], b.high)) for i, b in enumerate(brackets)]
+    tallies = []
+    for i, (column, low, high) in enumerate(spans):
+        tallies += [F.count_if(ref(column) < low).alias(f"b{i}"), F.count_if(_inside(column, low, high)).alias(f"n{i}")]
+        # the nearest values outside, in case the rank lies there
+        tallies += [F.max(F.when(ref(column) < low, ref(column))).alias(f"p{i}"), F.min(F.when(ref(column) > high, ref(column))).alias(f"q{i}")]
+    seen = data.agg(*tallies).first()
+    out = []
+    for i, (b, (column, low, high)) in enumerate(zip(brackets, spans)):
+        below, inside = seen[f"b{i}"], seen[f"n{i}"]
+        if b.rank < below:
+            out.append(_Bracket(column, b.rank, b.low, seen[f"p{i}"], b.below, below - b.below))
+        elif b.rank >= below + inside:
+            out.append(_Bracket(column, b.rank, seen[f"q{i}"], b.high, below + inside, b.below + b.rows - below - inside))
+        else:
+            out.append(_Bracket(column, b.rank, low, high, below, inside))
+    return out
+
+
+def _read(data: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
+    """Order statistics of brackets from the counts of their values.
+
+    Counting is spread by range and value; a window then runs over the different values of one range.
+    """
+    ranges = _ranges(brackets)
+    pairs = F.array(*[F.when(_inside(*r), F.struct(F.lit(i).alias("range"), ref(r[0]).alias("value"))) for i, r in enumerate(ranges)])
+    rows = data.select(F.explode(F.array_compact(pairs)).alias("v")).groupBy("v.range", "v.value").agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("range").orderBy("value")
+    placed = rows.withColumn("upto", F.sum("n").over(own))
+    index = {r: i for i, r in enumerate(ranges)}
+    wanted = sorted({(index[b.column, b.low, b.high], b.rank - b.below) for b in brackets})
+    hits = F.filter(
+        F.array(*[F.struct(F.lit(i).alias("range"), F.lit(r).cast("long").alias("rank")) for i, r in wanted]),
+        lambda w: (w["range"] == F.col("range")) & (w["rank"] < F.col("upto")) & (w["rank"] >= F.col("upto") - F.col("n")),
+    )
+    values = {(r["range"], r["rank"]): r["value"] for r in placed.select("value", F.inline(hits)).collect()}
+    return {(b.column, b.rank): values[index[b.column, b.low, b.high], b.rank - b.below] for b in brackets}
 
 
 def medians(df: DataFrame, columns: Sequence[str], **options) -> dict[str, float | None]:

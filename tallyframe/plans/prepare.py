@@ -83,13 +83,13 @@ class Prepared:
     rules: FittedRules
     own_stats: bool
 
-    def ranking(self, continuous: list[str] | None = None) -> DataFrame:
+    def ranking(self) -> DataFrame:
         """Features by mutual information with the target, most informative first."""
         target = self.rules.spec.target
         features = [c for c in self.rules.columns if c != target]
         # filling a gap with a median or mean does not widen a column's range
         stats = self.rules.stats if self.own_stats else None
-        return mutual_information(self.table, features, target, continuous=continuous, stats=stats)
+        return mutual_information(self.table, features, target, continuous=self.rules.spec.continuous, stats=stats)
 
 
 def prepare(df: DataFrame, spec: SurveySpec, *, fit_on: DataFrame | None = None) -> Prepared:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml import Estimator
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyframe.operators.columns import rename_label, require_features
 from tallyframe.operators.models import compare_models, split
@@ -32,34 +32,50 @@ def train_and_compare(
 def run(
     spark: SparkSession,
     spec: SurveySpec,
-    source: str,
+    source: str | DataFrame,
     prepared_path: str,
     metrics_path: str,
     run_log_path: str,
     *,
     schema: T.StructType | str | None = None,
+    key: str | None = None,
+    fit_on_train: bool = False,
+    ranking_path: str | None = None,
     servers: str | None = None,
     topic: str | None = None,
     estimators: Mapping[str, Estimator] | None = None,
 ) -> DataFrame:
     """Prepare ``source``, publish it when ``topic`` is given, train from the prepared table.
 
-    Returns the ranked metrics.  The prepared table is written once and read by
+    ``source`` is a path or a table, such as the rows of an ingest.  With ``key``, one of the spec's columns and never a feature, the split depends on
+    the key alone; ``fit_on_train`` then learns column choice and fill values from
+    training rows only.  ``ranking_path`` receives the features ranked by
+    information.  Returns the ranked metrics.  The prepared table is written once and read by
     the later steps, so a lost executor never repeats the preparation.  Give
     ``schema`` for a large CSV source: inferring types takes a scan of its own.
     """
     parameters = {
-        "source": source,
+        "source": source if isinstance(source, str) else "table",
+        "key": key,
         "prepared_path": prepared_path,
         "metrics_path": metrics_path,
         "use_kafka": topic is not None,
         "topic": topic,
         "servers": servers,
     }
+    if key is not None and key not in (spec.columns or [key]):
+        raise ValueError(f"key {key!r} is not in the column list")
+    if fit_on_train and key is None:
+        raise ValueError("learning from training rows needs a key to split by")
     with recorded_run(spark, run_log_path, parameters) as record:
         with record.step("prepare"):
-            prepared = prepare(load_table(spark, source, schema, nan_as_null=False), spec)
+            raw = load_table(spark, source, schema, nan_as_null=False) if isinstance(source, str) else source
+            prepared = prepare(raw, spec, fit_on=split(raw, key)[0] if fit_on_train else None)
             save_table(prepared.table, prepared_path)
+        if ranking_path is not None:
+            with record.step("rank_features"):
+                ranking = prepared.ranking()
+                save_table(ranking.where(F.col("feature") != key) if key else ranking, ranking_path)
         if topic is None:
             record.skip("publish")
         else:
@@ -67,7 +83,7 @@ def run(
                 publish(load_table(spark, prepared_path, prepared.table.schema), servers, topic)
         with record.step("train"):
             metrics = train_and_compare(
-                load_training_frame(spark, prepared_path, spec, prepared.table.schema), spec, estimators=estimators
+                load_training_frame(spark, prepared_path, spec, prepared.table.schema), spec, key=key, estimators=estimators
             )
         with record.step("save_metrics"):
             save_metrics(metrics, metrics_path)

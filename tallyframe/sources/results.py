@@ -10,20 +10,21 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.operators.metrics import METRICS_SCHEMA, best_model
+from tallyframe.operators.metrics import METRIC_NAMES, METRICS_SCHEMA, best_model
 
+# The field names are an outside format that readers of the log rely on.
 # Undefined values leave the library as null, which JSON omits, never as NaN.
 RUN_LOG_SCHEMA = (
     "status string, started_at_utc string, finished_at_utc string, duration_seconds double, "
     "parameters map<string,string>, model_count int, models array<string>, "
-    "best_model struct<model:string,accuracy:double,f1:double,roc_auc:double>, "
-    "step_durations_seconds map<string,double>, chart_paths array<string>, error_message string"
+    "best_model struct<model:string," + ",".join(f"{n}:double" for n in METRIC_NAMES) + ">, "
+    "step_durations_seconds map<string,double>, error_message string"
 )
 
 
 def save_metrics(metrics: DataFrame, path: str) -> None:
     """Overwrite ``path`` with the metrics of all models and ``path``-best with the best one."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    metrics.write.mode("overwrite").json(path)
     stored = load_metrics(metrics.sparkSession, path)
     best_model(stored).write.mode("overwrite").json(best_path(path))
 
@@ -40,12 +41,11 @@ def load_metrics(spark: SparkSession, path: str) -> DataFrame:
 class RunRecord:
     """What one run did; filled while it runs, appended to the log when it ends."""
 
-    parameters: Mapping[str, str] = field(default_factory=dict)
-    status: str = "success"
+    parameters: Mapping[str, str | None] = field(default_factory=dict)
+    status: str = "failed"
     models: list[str] = field(default_factory=list)
     best_model: dict | None = None
     steps: dict[str, float] = field(default_factory=dict)
-    chart_paths: list[str] = field(default_factory=list)
     error_message: str | None = None
 
     @contextmanager
@@ -68,15 +68,14 @@ class RunRecord:
 
 @contextmanager
 def recorded_run(spark: SparkSession, path: str, parameters: Mapping[str, object]) -> Iterator[RunRecord]:
-    """Append one record to the run log at ``path``, whether the block succeeds or raises."""
-    record = RunRecord({k: str(v) for k, v in parameters.items()})
+    """Append one record to the run log at ``path``, whether the block succeeds, raises or is interrupted.
+
+    Absent parameters are null.  If the block raises and the log cannot be written either, the first error is the one raised.
+    """
+    record = RunRecord({k: None if v is None else str(v) for k, v in parameters.items()})
     started, clock = datetime.now(timezone.utc), time.perf_counter()
-    try:
-        yield record
-    except Exception as error:
-        record.status, record.error_message = "failed", str(error)
-        raise
-    finally:
+
+    def append() -> None:
         row = (
             record.status,
             started.isoformat(),
@@ -87,10 +86,21 @@ def recorded_run(spark: SparkSession, path: str, parameters: Mapping[str, object
             record.models,
             record.best_model,
             record.steps,
-            record.chart_paths,
             record.error_message,
         )
-        spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").json(path)
+        spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").json(path)
+
+    try:
+        yield record
+    except BaseException as error:
+        record.error_message = str(error) or type(error).__name__
+        try:
+            append()
+        except Exception as second:
+            error.add_note(f"the run log could not be written: {second}")
+        raise
+    record.status = "success"
+    append()
 
 
 def load_run_log(spark: SparkSession, path: str) -> DataFrame:

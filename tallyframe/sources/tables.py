@@ -20,10 +20,9 @@ def is_csv(path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header line.  Without ``schema`` the types are inferred by an extra scan."""
+    """CSV with a header line.  Without ``schema`` all columns of the header are doubles, and cells that are none are null."""
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(str(path))
+    return reader.schema(survey_schema(reader.csv(str(path)).columns) if schema is None else schema).csv(str(path))
 
 
 def load_table(

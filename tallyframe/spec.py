@@ -13,6 +13,8 @@ class SurveySpec:
     ``columns`` lists features and target in output order; names missing from
     the data are skipped, except the target.  ``recode`` maps raw outcome codes
     to analysis codes, ``unknown`` lists raw codes that mean "no answer".
+    ``continuous`` names measured features, which are ranked by so many
+    equal-width bins; all other features are ranked by their values.
     """
 
     target: str
@@ -20,6 +22,7 @@ class SurveySpec:
     recode: Mapping[float, float] = field(default_factory=lambda: {2: 0})
     unknown: Sequence[float] = (7, 9)
     max_missing_pct: float = 40.0
+    continuous: Mapping[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
         unknown = set(self.unknown)

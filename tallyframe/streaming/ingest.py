@@ -6,6 +6,9 @@ a folder of JSON lines share the same code.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,15 +35,17 @@ def start_ingest(
     checkpoint_path: str,
     *,
     available_now: bool = False,
+    corrupt: str | None = None,
 ) -> StreamingQuery:
     """Append parsed records to a parquet table.
 
-    The checkpoint makes a restarted query continue where the last one stopped.
+    ``corrupt`` names a string column of ``schema`` that keeps the text of malformed
+    records, so they can be counted and read again.  The checkpoint makes a restarted query continue where the last one stopped.
     With ``available_now`` the query ends once everything present at its start
     is stored.
     """
     writer = (
-        parse_records(records, schema)
+        parse_records(records, schema, corrupt=corrupt)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", output_path)
@@ -51,14 +56,13 @@ def start_ingest(
     return writer.start()
 
 
-def wait(query: StreamingQuery, timeout_seconds: float | None = None) -> None:
-    """Wait for ``query``; stop it and raise ``TimeoutError`` after ``timeout_seconds``."""
-    if timeout_seconds is None:
-        query.awaitTermination()
-        return
-    if not query.awaitTermination(timeout_seconds):
+@contextmanager
+def bounded(query: StreamingQuery, timeout_seconds: float | None = None) -> Iterator[bool]:
+    """Run until ``query`` ends, or for ``timeout_seconds``; tells whether it ended. The query never outlives the block."""
+    try:
+        yield True if timeout_seconds is None and query.awaitTermination() is None else bool(query.awaitTermination(timeout_seconds))
+    finally:
         query.stop()
-        raise TimeoutError(f"ingest did not finish within {timeout_seconds} seconds")
 
 
 def ingest(
@@ -69,15 +73,20 @@ def ingest(
     *,
     available_now: bool = False,
     timeout_seconds: float | None = None,
+    corrupt: str | None = None,
 ) -> None:
-    """Start an ingest and wait for it."""
-    wait(
-        start_ingest(records, schema, output_path, checkpoint_path, available_now=available_now),
-        timeout_seconds,
-    )
+    """Start an ingest and wait for it; ``TimeoutError`` if it takes longer than ``timeout_seconds``."""
+    query = start_ingest(records, schema, output_path, checkpoint_path, available_now=available_now, corrupt=corrupt)
+    with bounded(query, timeout_seconds) as ended:
+        if not ended:
+            raise TimeoutError(f"records were still arriving after {timeout_seconds} s; ingest stopped")
 
 
-def ingest_topic_snapshot(spark: SparkSession, servers: str, topic: str, spec: SurveySpec, output_path: str) -> None:
-    """Replace the parquet table by everything in the topic now, without a checkpoint."""
-    rows = parse_records(read_topic(spark, servers, topic), survey_schema(spec.columns))
-    rows.write.mode("overwrite").parquet(output_path)
+def ingest_topic_snapshot(
+    spark: SparkSession, servers: str, topic: str, spec: SurveySpec, output_path: str, *, corrupt: str | None = None
+) -> None:
+    """Replace the parquet table by everything in the topic now, without a checkpoint; ``corrupt`` as for a stream."""
+    schema = survey_schema(spec.columns)
+    if corrupt:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
+    parse_records(read_topic(spark, servers, topic), schema, corrupt=corrupt).write.mode("overwrite").parquet(output_path)

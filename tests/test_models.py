@@ -1,3 +1,9 @@
+import json
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +13,9 @@ from pyspark.sql import functions as F
 from tallyframe.operators import metrics, models
 
 
+THREE = "model string, accuracy double, f1 double, roc_auc double"
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     rng = np.random.default_rng(3)
@@ -55,6 +64,23 @@ def test_auc_does_not_depend_on_ranges(spark, scored, partitions):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("partitions", ["1", "8", "40"])
+def test_auc_ignores_missing_scores(spark, partitions):
+    rng = np.random.default_rng(8)
+    rows = [(float(rng.random() < 0.4), float(rng.random())) for _ in range(40)]
+    gaps = [(1.0, float("nan"))] * 6 + [(0.0, float("nan"))] * 4 + [(1.0, None)] * 3
+    df = spark.createDataFrame([("m", y, 1.0, s) for y, s in rows + gaps], "model string, label double, prediction double, score double")
+    up, down = [s for y, s in rows if y], [s for y, s in rows if not y]
+    want = sum((a > b) + 0.5 * (a == b) for a in up for b in down) / (len(up) * len(down))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        row = metrics.model_metrics(df).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert row["roc_auc"] == pytest.approx(want) and row["recall"] == 1.0
+
+
 def test_auc_edge_cases(spark):
     rows = [("one", 1.0, 1.0, 0.3), ("one", 1.0, 0.0, 0.4), ("gap", 1.0, 1.0, None), ("gap", 1.0, 1.0, 0.9), ("gap", 0.0, 0.0, 0.1)]
     df = spark.createDataFrame(rows, "model string, label double, prediction double, score double")
@@ -65,14 +91,14 @@ def test_auc_edge_cases(spark):
 
 def test_ranking_breaks_ties_and_puts_undefined_last(spark):
     rows = [("d", 0.9, None, 0.9), ("b", 0.8, 0.7, 0.6), ("c", 0.9, 0.7, float("nan")), ("a", 0.8, 0.7, 0.7), ("e", 0.9, 0.7, 0.6)]
-    df = spark.createDataFrame(rows, metrics.METRICS_SCHEMA)
+    df = spark.createDataFrame(rows, THREE)
     assert [r["model"] for r in metrics.rank_models(df).collect()] == ["a", "e", "b", "c", "d"]
     assert metrics.best_model(df).first()["model"] == "a"
 
 
 def test_bars_and_grades(spark):
-    df = spark.createDataFrame([("a", 0.8, 0.75, float("nan")), ("b", 0.7, None, 0.5), ("c", None, 0.1, 0.2)], metrics.METRICS_SCHEMA)
-    bars = {(r["model"], r["metric"]): (r["height"], r["label"]) for r in metrics.metric_bars(df).collect()}
+    df = spark.createDataFrame([("a", 0.8, 0.75, float("nan")), ("b", 0.7, None, 0.5), ("c", None, 0.1, 0.2)], THREE)
+    bars = {(r["model"], r["metric"]): (r["height"], r["label"]) for r in metrics.metric_bars(df, ["accuracy", "f1", "roc_auc"]).collect()}
     assert bars["a", "accuracy"] == (0.8, "0.800") and bars["a", "roc_auc"] == (0.0, "nan") and bars["b", "f1"] == (0.0, "nan")
     grades = {r["model"]: (r["grade"], r["verdict"], r["satisfactory"]) for r in metrics.metric_grade(df).collect()}
     assert grades == {
@@ -123,3 +149,32 @@ def test_three_models_are_compared(spark):
     auc = BinaryClassificationEvaluator(numBins=0).evaluate(expected)
     row = next(r for r in rows if r["model"] == "decision_tree")
     assert (row["accuracy"], row["roc_auc"]) == (pytest.approx(accuracy), pytest.approx(auc))
+
+
+CHILD = """
+import json, sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master(f"local[{sys.argv[2]}]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+from tallyframe.operators import metrics, models
+rows = spark.range(1500).selectExpr("double(id * 37 % 11) AS a", "double(id * 53 % 17) AS b", "id")
+rows = rows.withColumn("label", (F.col("a") + F.col("b") > 13).cast("double"))
+found = []
+for parts in json.loads(sys.argv[3]):
+    train, test = models.split(rows.repartition(parts), "id")
+    forest = {"random_forest": models.default_estimators()["random_forest"].setNumTrees(5)}
+    found.append([round(x, 9) for x in models.compare_models(train, test, ["a", "b"], forest).first()[1:]])
+print("FOUND", json.dumps(found))
+"""
+
+
+def test_forest_does_not_depend_on_cores_partitions_or_folder(tmp_path):
+    """Run from another folder with only the driver's path set: code reaches the workers, and the layout is the same everywhere."""
+    found = []
+    for cores, parts in (("4", "[1, 4, 7]"), ("8", "[4]")):
+        command = [sys.executable, "-c", CHILD, str(Path(__file__).resolve().parent.parent), cores, parts]
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        done = subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
+        assert "FOUND" in done.stdout, done.stderr[-2000:]
+        found += json.loads(done.stdout.split("FOUND")[1])
+    assert len(found) == 4 and all(f == found[0] for f in found)

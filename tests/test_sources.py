@@ -98,7 +98,7 @@ def test_rules_learned_on_a_table_apply_to_a_stream(spark, tmp_path):
 
 def test_metrics_round_trip(spark, tmp_path):
     path = str(tmp_path / "m")
-    df = spark.createDataFrame([("a", 0.5, 0.4, None), ("b", 0.6, 0.7, 0.8)], METRICS_SCHEMA)
+    df = spark.createDataFrame([("a", 0.5, 0.1, 0.2, 0.4, None, 0.3), ("b", 0.6, 0.1, 0.2, 0.7, 0.8, None)], METRICS_SCHEMA)
     results.save_metrics(df, path)
     assert sorted(results.load_metrics(spark, path).collect()) == sorted(df.collect())
     assert results.load_metrics(spark, results.best_path(path)).first()["model"] == "b"
@@ -112,7 +112,13 @@ def test_run_log_keeps_success_and_failure(spark, tmp_path):
         with results.recorded_run(spark, path, {}) as record:
             with record.step("train"):
                 raise RuntimeError("no luck")
-    rows = {r["status"]: r for r in results.load_run_log(spark, path).collect()}
+    with pytest.raises(KeyboardInterrupt):
+        with results.recorded_run(spark, path, {"topic": None}):
+            raise KeyboardInterrupt
+    logged = results.load_run_log(spark, path).collect()
+    stopped = next(r for r in logged if r["error_message"] == "KeyboardInterrupt")
+    assert stopped["status"] == "failed" and stopped["parameters"] == {"topic": None}
+    rows = {r["status"]: r for r in logged if r is not stopped}
     assert rows["success"]["step_durations_seconds"] == {"publish": 0.0} and rows["success"]["error_message"] is None
     assert rows["failed"]["error_message"] == "no luck" and "train" in rows["failed"]["step_durations_seconds"]
 
@@ -137,6 +143,30 @@ def test_full_run(spark, tmp_path, suffix):
     assert set(logged["step_durations_seconds"]) == {"prepare", "publish", "train", "save_metrics"}
 
 
+def test_first_error_survives_an_unwritable_log(spark, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("x")
+    with pytest.raises(RuntimeError, match="first"):
+        with results.recorded_run(spark, str(blocked / "log"), {}):
+            raise RuntimeError("first")
+
+
+def test_run_on_a_table_with_a_key(spark, tmp_path):
+    data = [(1 + (i * 7 % 10 > 5), float(i * 7 % 10), float(i % 4) if i % 5 else None, float(i)) for i in range(900)]
+    table = spark.createDataFrame(data, "y int, a double, b double, id double")
+    spec = SurveySpec(target="y", columns=("a", "b", "id", "y"), recode={2: 0}, unknown=(7, 9))
+    paths = [str(tmp_path / n) for n in ("prepared", "metrics", "log")]
+    tree = {"tree": DecisionTreeClassifier(maxDepth=3, seed=1)}
+    metrics = run(spark, spec, table, *paths, key="id", fit_on_train=True, ranking_path=str(tmp_path / "ranking"), estimators=tree)
+    assert metrics.first()["accuracy"] > 0.9 and metrics.columns[1:] == ["accuracy", "precision", "recall", "f1", "roc_auc", "specificity"]
+    ranked = [r["feature"] for r in spark.read.parquet(str(tmp_path / "ranking")).collect()]
+    assert sorted(ranked) == ["a", "b"]
+    again = run(spark, spec, table.repartition(5), *paths, key="id", fit_on_train=True, estimators=tree)
+    assert again.collect() == metrics.collect()
+    with pytest.raises(ValueError):
+        run(spark, spec, table, *paths, key="missing", estimators=tree)
+
+
 def test_scratch_folder_follows_the_cluster_setting(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared) and scratch_dir(spark, "x") != scratch_dir(spark, "x")

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 from tallyframe.operators import correlation, distribution, information, profile
+from tallyframe.operators import quantiles
 from tallyframe.operators.quantiles import exact_quantiles, linear_rank, means, medians, midpoint_rank
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -30,10 +31,9 @@ def mixed():
 
 
 @pytest.mark.parametrize("exact_rows", [100_000, 40])
-@pytest.mark.parametrize("slices", [4, 512])
-def test_quantiles_equal_pandas(spark, mixed, exact_rows, slices):
+def test_quantiles_equal_pandas(spark, mixed, exact_rows):
     df, pdf = frame(spark, mixed)
-    got = exact_quantiles(df, list(mixed), PROBS, exact_rows=exact_rows, slices=slices)
+    got = exact_quantiles(df, list(mixed), PROBS, exact_rows=exact_rows)
     for c in mixed:
         want = pdf[c].quantile(PROBS).tolist()
         if pdf[c].notna().any():
@@ -47,10 +47,43 @@ def test_quantiles_of_infinite_values(spark):
     random.Random(1).shuffle(values)
     df, _ = frame(spark, {"v": values})
     ordered = sorted(values)
-    got = exact_quantiles(df, ["v"], [0.05, 0.5, 0.95], exact_rows=5, slices=4, rank=lambda n, q: round(q * (n - 1)))
+    got = exact_quantiles(df, ["v"], [0.05, 0.5, 0.95], exact_rows=5, rank=lambda n, q: round(q * (n - 1)))
     assert got["v"] == [ordered[round(q * (len(values) - 1))] for q in (0.05, 0.5, 0.95)]
 
 
+def test_quantiles_take_few_scans(spark, tmp_path, monkeypatch):
+    """Values over 300 orders of magnitude: the scans do not depend on the distribution."""
+    rng = np.random.default_rng(9)
+    values = 10.0 ** rng.uniform(-150, 150, 20_000)
+    spark.createDataFrame(pd.DataFrame({"v": values})).write.parquet(f"{tmp_path}/v")
+    df = spark.read.parquet(f"{tmp_path}/v")
+    scans = []
+    for name in ("_narrowed", "_read", "column_stats"):
+        inner = getattr(quantiles, name)
+        monkeypatch.setattr(quantiles, name, lambda *a, _f=inner, _n=name, **k: (scans.append(_n), _f(*a, **k))[1])
+    got = exact_quantiles(df, ["v"], PROBS, exact_rows=500)["v"]
+    assert got == pytest.approx(np.quantile(values, PROBS).tolist(), rel=1e-12)
+    assert sum(2 if n == "_narrowed" else 1 for n in scans) <= 4
+
+
+def test_no_task_gathers_values(spark):
+    """Only one row of counts or a sketch per group of tasks meets in a single task."""
+    df = spark.range(5000).selectExpr("double(id % 97) AS coded", "rand(3) AS free")
+    plans = []
+    for column, rows in (("coded", 10), ("free", 100_000)):
+        stats = quantiles.column_stats(df, [column])
+        bracket = quantiles._Bracket(column, 2500, stats.low[column], stats.high[column], 0, rows)
+        collected = []
+        frame_collect = type(df).collect
+        try:
+            type(df).collect = lambda self: (collected.append(self._jdf.queryExecution().executedPlan().toString()), frame_collect(self))[1]
+            quantiles._read(df, [bracket])
+        finally:
+            type(df).collect = frame_collect
+        plans += collected
+    assert plans and all("SinglePartition" not in p and "hashpartitioning(range" in p for p in plans)
+
+
 def test_rank_rules():
     assert linear_rank(5, 0.25) == 1.0
     assert midpoint_rank(4, 0.25) == 0.5
@@ -136,15 +169,26 @@ def test_information_equals_brute_force(spark, mixed):
     df, pdf = frame(spark, {"code": mixed["code"], "gappy": gappy, "label": label})
     low, high = pdf["gappy"].min(), pdf["gappy"].max()
     binned = np.minimum(49, np.floor((pdf["gappy"] - low) / (high - low) * 50))
-    got = {r["feature"]: r["mi"] for r in information.mutual_information(df, ["code", "gappy"], "label").collect()}
+    got = {r["feature"]: r["mi"] for r in information.mutual_information(df, ["code", "gappy"], "label", continuous=["gappy"]).collect()}
     assert got["code"] == pytest.approx(brute_mi(pdf["code"], pdf["label"]), abs=1e-12)
     assert got["gappy"] == pytest.approx(brute_mi(binned, pdf["label"]), abs=1e-12)
 
 
-def test_continuous_columns_are_counted_exactly_near_the_limit(spark):
-    data = [(float(i % 20) / 7, float(i % 21) / 7, float(i)) for i in range(2000)]
-    df = spark.createDataFrame(data, "at double, above double, many double")
-    assert information.continuous_columns(df, ["at", "above", "many"], max_codes=20) == ["above", "many"]
+def test_information_does_not_depend_on_how_many_values_there_are(spark):
+    def mi(codes):
+        rows = [(float(i % codes), float((i % codes) * 7919 % 97 < 50)) for i in range(20_000)]
+        df = spark.createDataFrame(rows, "code double, label double")
+        row = information.mutual_information(df, ["code"], "label").first()
+        assert not row["binned"]
+        return row["mi"]
+
+    assert mi(256) == pytest.approx(mi(257), abs=0.01) and mi(257) > 0.6
+
+
+def test_overview_takes_the_best_model(spark):
+    rows = [("a", 0.9, float("nan")), ("b", 0.7, 0.5)]
+    table = spark.createDataFrame(rows, "model string, accuracy double, f1 double").withColumn("roc_auc", quantiles.F.lit(0.5))
+    assert profile.overview(spark.range(3).toDF("a"), table).first()["accuracy"] == 0.7
 
 
 def test_histogram_keeps_every_value(spark, mixed):
