@@ -4,9 +4,22 @@ import brute
 import corpus_pipeline
 import pytest
 
+import __spark_entry__ as entry
+from checks.compare import differences, duck
+from tallyframe.llm.oracles import ORACLES
+from tallyframe.llm.queries import QUERIES
 from tallyframe.llm.base import saved
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, docs, name):
+    assert differences(QUERIES[name](spark, "/root/testdata/sf0.001"), duck("/root/testdata/sf0.001"), ORACLES[name]) == []
+
+
+def test_registered():
+    assert {"pipeline", *QUERIES} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_stages(spark, docs):
     frame, before = docs, None
     for name, stage in corpus_pipeline.STAGES:
