@@ -52,3 +52,66 @@ kept AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+_FEATURES = {
+    "symbol_share": ("n_symbols::DOUBLE / nullif(word_chars, 0)", 0.02),
+    "dup_line_share": ("n_dup_lines::DOUBLE / n_lines", 0.15),
+    "repeat_share": ("n_repeat_words::DOUBLE / nullif(n_words, 0)", 0.07),
+    "word_length": ("word_chars::DOUBLE / nullif(n_words, 0)", 0.5),
+}
+_CELLS = " UNION ALL ".join(
+    f"SELECT doc_id, lang, source, base_failed, '{name}' AS feature, coalesce({sql}, 0.0::DOUBLE) AS value, {least}::DOUBLE AS least FROM base"
+    for name, (sql, least) in _FEATURES.items()
+)
+
+
+def _quartiles(name: str, keys: str) -> str:
+    """Quartiles of one level of merged sketches."""
+    by = f"{keys}, feature" if keys else "feature"
+    return f"""{name}_m AS (SELECT {by}, bucket, sum(n) AS n FROM sketch GROUP BY {by}, bucket),
+{name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket NULLS FIRST) AS upto, sum(n) OVER (PARTITION BY {by}) AS total,
+  CASE WHEN bucket IS NULL THEN 0.0::DOUBLE ELSE 2 * power(1.02::DOUBLE, bucket) / 2.02::DOUBLE END AS mid FROM {name}_m),
+{name} AS (SELECT {by}, min(CASE WHEN upto >= total * 0.25::DOUBLE THEN mid END) AS q25, min(CASE WHEN upto >= total * 0.75::DOUBLE THEN mid END) AS q75,
+  max(total) AS total FROM {name}_r GROUP BY {by})"""
+
+
+ORACLES["op1_quality_rules"] = rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+per_line AS (SELECT doc_id, line, count(*) AS n FROM lines GROUP BY doc_id, line),
+dup AS (SELECT doc_id, sum(n) AS n_lines, sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') THEN n - 1 ELSE 0 END) AS n_dup FROM per_line GROUP BY doc_id),
+wins AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+rep AS (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM wins) WHERE c > 1),
+nrep AS (SELECT doc_id, count(*) AS n FROM rep GROUP BY doc_id),
+counted AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, n_dup::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, n_lines
+  FROM d JOIN dup USING (doc_id) LEFT JOIN nrep USING (doc_id)),
+base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted),
+cells AS ({_CELLS}),
+sketch AS (SELECT lang, source, feature, CASE WHEN value > 0 THEN ceil(ln(value) / ln(1.02::DOUBLE)) END AS bucket, count(*) AS n
+  FROM cells WHERE NOT base_failed GROUP BY ALL),
+{_quartiles("own", "lang, source")}, {_quartiles("lan", "lang")}, {_quartiles("everyone", "")},
+picked AS (SELECT o.lang, o.source, o.feature,
+  CASE WHEN o.total >= 200 THEN o.q25 WHEN l.total >= 200 THEN l.q25 ELSE a.q25 END AS q25,
+  CASE WHEN o.total >= 200 THEN o.q75 WHEN l.total >= 200 THEN l.q75 ELSE a.q75 END AS q75
+  FROM own o JOIN lan l ON o.feature = l.feature AND o.lang IS NOT DISTINCT FROM l.lang JOIN everyone a ON o.feature = a.feature),
+verdict AS (SELECT c.doc_id, bool_and(coalesce(value <= q75 + greatest(q75 - q25, least) * 4, TRUE)
+    AND (c.feature <> 'word_length' OR coalesce(value >= q25 - greatest(q75 - q25, least) * 4, TRUE))) AS inside
+  FROM cells c LEFT JOIN picked p ON c.feature = p.feature AND c.lang IS NOT DISTINCT FROM p.lang AND c.source IS NOT DISTINCT FROM p.source GROUP BY c.doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept
+FROM base b JOIN verdict v ON b.doc_id = v.doc_id
+"""
+
+ORACLES["op7_near_dedup"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * c >= 85 * (p.n + q.n - c)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN least USING (doc_id) LEFT JOIN n ON d.doc_id = n.doc_id
+"""
