@@ -76,7 +76,7 @@ SELECT CASE WHEN feature = 'label' THEN 'target' ELSE feature END AS "column", n
   is_constant, feature = 'label' OR NOT (missing_pct > 40 OR is_constant) AS kept FROM facts"""
 ORACLES["drop_sparse"] = f"{LABELED_SQL} SELECT genhlth, age, physhlth, konst, price, label AS target FROM labeled"
 ORACLES["drop_constant"] = f"{LABELED_SQL} SELECT genhlth, age, physhlth, sparse, price, label AS target FROM labeled"
-ORACLES["numeric_columns"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
+ORACLES["numeric_columns"] = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem"
 ORACLES["training_frame"] = (
     f"{LABELED_SQL} SELECT genhlth, age, physhlth, sparse, konst, price, TRY_CAST(flag AS DOUBLE) AS flag, label FROM labeled"
 )

@@ -199,8 +199,8 @@ def label_int(spark, sf_dir):
 
 @query
 def numeric_columns(spark, sf_dir):
-    orders = tables.load_table(spark, f"{sf_dir}/orders.parquet")
-    return orders.select(*numeric_names(orders)[:4])
+    lineitem = tables.load_table(spark, f"{sf_dir}/lineitem.parquet")
+    return lineitem.select(*numeric_names(lineitem)[:4])
 
 
 @query
