@@ -56,7 +56,7 @@ FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 _FEATURES = {
     "symbol_share": ("n_symbols::DOUBLE / nullif(word_chars, 0)", 0.02),
     "dup_line_share": ("n_dup_lines::DOUBLE / n_lines", 0.15),
-    "repeat_share": ("n_repeat_words::DOUBLE / nullif(n_words, 0)", 0.07),
+    "repeat_share": ("n_repeat_words::DOUBLE / nullif(n_words, 0)", 0.075),
     "word_length": ("word_chars::DOUBLE / nullif(n_words, 0)", 0.5),
 }
 _CELLS = " UNION ALL ".join(

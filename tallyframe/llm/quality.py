@@ -25,7 +25,7 @@ REACH = 4.0  # a fence lies this many spreads beyond the upper or lower quartile
 MIN_GROUP = 200  # smaller groups use the merged sketch of their language, then that of all documents
 BROADCAST_GROUPS = 10_000
 # Least spread of each feature, so that a group of equal values does not reject the first that differs.
-FEATURES = {"symbol_share": 0.02, "dup_line_share": 0.15, "repeat_share": 0.07, "word_length": 0.5}
+FEATURES = {"symbol_share": 0.02, "dup_line_share": 0.15, "repeat_share": 0.075, "word_length": 0.5}
 LOW_SIDE = ("word_length",)
 
 
