@@ -17,7 +17,8 @@ from tallyframe.llm.base import saved, worker_state
 
 CAPACITY = 4096
 END = 2
-CACHED_WORDS = 600_000  # most words whose ids a Python worker remembers
+CACHED_WORDS = 400_000  # most words whose ids a Python worker remembers
+SLICE_BYTES = 16 << 20
 RANK_ROWS = 20_000  # pieces that one window numbers, about
 TOKENIZER = "word_bpe_49k.json"
 _RANK_BITS = 44
@@ -106,7 +107,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in W.text_slices(batch.column(1), 32 << 20):
+            for start, stop in W.text_slices(batch.column(1), SLICE_BYTES):
                 rows = np.array(list(of_slice(batch.column(1).slice(start, stop - start))), np.int64).reshape(-1, 5)
                 ids = batch.column(0).slice(start, stop - start).take(pa.array(rows[:, 0]))
                 yield pa.RecordBatch.from_arrays([ids, *map(pa.array, rows[:, 1:].T.copy())], names=schema.names)
