@@ -14,6 +14,7 @@ SHARE = 1.5
 MOST = 2
 SEED = "mix"
 BROADCAST_SOURCES = 10_000
+ADDED = ("size", "source_size", "target", "copies")
 
 
 def word_count(text: Column) -> Column:
@@ -61,8 +62,7 @@ def with_copies(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
     Null text has size 0. Null sources are one source, the last. Rows with the same ``doc_id``, null included, share their draw. A source
     of size 0 has rate 0, so its documents are not taken. An empty table gives an empty table. Columns of these four names are replaced.
     """
-    added = ("size", "source_size", "target", "copies")
-    docs = docs.select(*[c for c in docs.columns if c.lower() not in added])
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in ADDED])
     rates = source_rates(docs.select("source", word_count(F.col("text")).alias("size")), weights, share, most)
     key, rate = fresh(docs, "rate_source"), fresh(docs, "rate")
     rates = bounded_broadcast(rates.withColumnsRenamed({"source": key, "rate": rate}), BROADCAST_SOURCES)
@@ -74,6 +74,7 @@ def with_copies(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``with_copies`` says, columns unchanged."""
-    index, copies = fresh(docs, "copy"), with_copies(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns if c in ("size", "source_size", "target", "copies")}), **options)
-    taken = copies.withColumn(index, F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
-    return taken.select(*[F.col(f"in_{c}" if f"in_{c}" in taken.columns and c in ("size", "source_size", "target", "copies") else c).alias(c) for c in docs.columns])
+    inner = docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns if c.lower() in ADDED})
+    copies = with_copies(inner, **options)
+    taken = copies.withColumn(fresh(copies, "copy"), F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return taken.select(*[F.col(i).alias(c) for i, c in zip(inner.columns, docs.columns)])
