@@ -100,6 +100,20 @@ def word_counts(training: DataFrame) -> DataFrame:
     return saved(training.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
 
 
+def head_cutoff(counts: DataFrame, head: int) -> int:
+    """Least count that at most ``head`` words reach, by a few aggregates over ``counts``; no task sorts or gathers words."""
+    row = counts.agg(F.count("*"), F.max("c")).first()
+    low, high = 0, 1
+    if row[0] > head:
+        low, high = 1, row[1] + 1
+    while high - low > 1:
+        points = sorted({p for p in map(int, np.geomspace(low + 1, high, 64)) if low < p < high})
+        reach = counts.agg(*[F.count_if(F.col("c") >= p).alias(f"p{i}") for i, p in enumerate(points)]).first()
+        low = max([low, *(p for p, n in zip(points, reach) if n > head)])
+        high = min([high, *(p for p, n in zip(points, reach) if n <= head)])
+    return high
+
+
 def _summed(frame: DataFrame, size: int) -> np.ndarray:
     """Counts (code, n) of at most ``size`` codes as an array."""
     out = np.zeros(size, np.int64)
@@ -181,7 +195,7 @@ def exchanged(pairs: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarr
 def learned(docs: DataFrame, classes: int = CLASSES, core: int = CORE, placed: int = PLACED, head: int = HEAD) -> tuple[Model, DataFrame]:
     """The model and the table (word, c), from all documents that are not held out.
 
-    The counts of all words stay a table. To the driver come the ``head`` most frequent words, the pairs of the ``core`` words, and the classes
+    The counts of all words stay a table. To the driver come up to ``head`` most frequent words (all that reach a common count), the pairs of the ``core`` words, and the classes
     that ``placed`` words and ``ENDINGS`` endings have beside them: tables whose sizes do not depend on the data. Each statistic is
     a sum over all training texts.
     """
@@ -189,7 +203,8 @@ def learned(docs: DataFrame, classes: int = CLASSES, core: int = CORE, placed: i
     counts = word_counts(training)
     total = counts.agg(F.sum("c"), F.count("*")).first()
     ends = training.count()
-    top = counts.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.col("c").desc(), "word").limit(head).toArrow()
+    frequent = counts.where((F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= head_cutoff(counts, head)))
+    top = frequent.toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     words = pa.concat_arrays(top.column("word").chunks) if top.num_rows else pa.array([], pa.string())
     words = words.cast(pa.string())
     model = Model(words, np.asarray(top.column("c")).astype(np.int64), (total[0] or 0) + ends, total[1] + (ends > 0), ends)

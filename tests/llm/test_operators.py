@@ -422,3 +422,11 @@ def test_pooling_is_per_text():
     whole = language_id.pooled(pa.array(texts), network)
     assert np.allclose(whole, [language_id.pooled(pa.array([t]), network)[0] for t in texts], atol=1e-6)
     assert np.allclose(whole.sum(axis=1), [1, 0, 1, 1], atol=1e-5)
+
+
+def test_head_cutoff(spark):
+    counts = [1] * 500 + [2] * 90 + [3] * 30 + [700, 900, 900, 10**9]
+    frame = spark.createDataFrame([(f"w{i}", c) for i, c in enumerate(counts)], "word string, c long")
+    for head in (0, 1, 2, 3, 4, 33, 34, 35, 124, 623, 624, 5000):
+        cutoff = class_lm.head_cutoff(frame, head)
+        assert sum(c >= cutoff for c in counts) <= head and (cutoff == 1 or sum(c >= cutoff - 1 for c in counts) > head)
