@@ -34,6 +34,15 @@ def bounded_broadcast(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def among_first(key: Column, wanted: int, rows: Column) -> Column:
+    """Whether a hashed key, even over all longs, may be among the ``wanted`` least of ``rows``: true for about twice as many.
+
+    Filters a table before its least keys are picked, so that tasks do not each send ``wanted`` rows to one. That fewer than ``wanted``
+    pass has a probability of less than 1e-20.
+    """
+    return (key.cast("double") / float(1 << 63) + 1) / 2 * rows <= 2 * wanted + 200
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front as long as ``df`` has such a column in any case."""
     taken = {c.lower() for c in df.columns}

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import words as W
-from tallyframe.llm.base import bounded_broadcast, saved
+from tallyframe.llm.base import among_first, bounded_broadcast, saved
 
 HIDDEN = 6
 SPAN = 64  # bytes that the network reads at once; a text is cut into as many spans as it needs
 SAMPLE = 96  # documents per language that it learns from
 SPANS = 8  # of each of these, so many evenly spaced spans
+BROADCAST_LANGUAGES = 10_000
 BATCH = 128
 STEPS = 300
 RATE = 0.02
@@ -152,8 +153,12 @@ def _span_table(sizes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.nd
 def learned(docs: DataFrame, sample: int = SAMPLE, hidden: int = HIDDEN, steps: int = STEPS) -> Network:
     """Network learned from at most ``sample`` documents of each language, those with the least hashed ids, and ``SPANS`` spans of each."""
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != UNKNOWN))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
+    key = F.xxhash64("doc_id", F.lit(10))
+    order = Window.partitionBy("lang").orderBy(key, "doc_id")
+    sizes = saved(rows.groupBy("lang").agg(F.count("*").alias("rows")).withColumnRenamed("lang", "language"), "languages")
+    counted = rows.select("doc_id", "lang").join(bounded_broadcast(sizes, BROADCAST_LANGUAGES), F.col("lang") == F.col("language"))
+    few = counted.where(among_first(key, sample, F.col("rows"))).select("doc_id", "lang")
+    ids = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
     ids = saved(ids.select(F.col("doc_id").alias("id"), F.col("lang").alias("language")), "sample").distinct()
     picked = rows.select("doc_id", "lang", "text").join(bounded_broadcast(ids, 1_000_000), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("language")))
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import bounded_broadcast, fresh, saved
+from tallyframe.llm.base import among_first, bounded_broadcast, fresh, saved
 
 # kind: (pattern, least characters of the whole match, least characters of group 2)
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -95,7 +95,8 @@ def trained(docs: DataFrame, found: DataFrame, sample: int = SAMPLE) -> list[flo
     """Both models. Random strings: the values of all spans of the fixed patterns in ``found``. Ordinary ones: words and numbers of the ``sample``
     documents with the least hashed ids, after the spans are cut out. Only counts per pair of characters reach the driver."""
     random = found.select(F.explode("base.value").alias("value")).where(F.char_length("value") > 1)
-    ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id").limit(sample)
+    key = F.xxhash64("doc_id", F.lit(8))
+    ids = docs.select("doc_id").where(among_first(key, sample, F.lit(docs.count()))).distinct().orderBy(key, "doc_id").limit(sample)
     own = docs.select(F.col("doc_id").alias("id"), "text").join(bounded_broadcast(saved(ids, "sample"), sample), F.col("id").eqNullSafe(F.col("doc_id")))
     text = F.coalesce(F.col("text"), F.lit(""))
     for pattern, _, _ in (KINDS["assign"], KINDS["access"], ("[0-9a-f]{16,}", 0, 0)):
