@@ -115,8 +115,8 @@ def _common_counts(sets: list[np.ndarray]) -> np.ndarray:
 def _block_pairs(rep: np.ndarray, n: np.ndarray, group: np.ndarray, packed: list, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """Pairs of a block that may reach ``percent``: one document from each side, not yet in one component.
 
-    Pairs whose sketches are whole sets are certain; of these, only as many as connect the block. The others are first held against
-    the least number of common hashes that the estimate can need.
+    Pairs whose sketches are whole sets are certain, and so are estimates ``SIGMAS`` standard errors above the threshold; of these, only as
+    many as connect the block. The others are first held against the least number of common hashes that the estimate can need.
     """
     sets = _unpacked(packed)
     held = np.array([len(s) for s in sets])
@@ -138,6 +138,8 @@ def _block_pairs(rep: np.ndarray, n: np.ndarray, group: np.ndarray, packed: list
             seen, error = estimate(sets[i], sets[j], n[i], n[j])
             if 100 * (seen + SIGMAS * error) >= percent:
                 yield int(rep[i]), int(rep[j])
+            if 100 * (seen - SIGMAS * error) >= percent:
+                forest.join(i, j)
 
 
 def block_candidates(rows: DataFrame, percent: int) -> DataFrame:
