@@ -101,15 +101,22 @@ class _Forest:
         return i != j
 
 
-def _common_counts(sets: list[np.ndarray]) -> np.ndarray:
+def _common_counts(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Common values of all pairs of sets, by products of 0/1 tables of at most ``width`` values, so memory is bounded."""
     values, where = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     shared = np.bincount(where, minlength=len(values)) > 1
-    place = np.cumsum(shared) - 1
-    picked = shared[where]
-    table = np.zeros((len(sets), int(shared.sum())), np.float32)
-    table[owner[picked], place[where[picked]]] = 1
-    return table @ table.T
+    place = (np.cumsum(shared) - 1)[where]
+    picked = np.flatnonzero(shared[where])
+    picked = picked[np.argsort(place[picked], kind="stable")]
+    row, column = owner[picked], place[picked]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(shared.sum()), width):
+        low, high = np.searchsorted(column, [first, first + width])
+        table = np.zeros((len(sets), min(width, int(shared.sum()) - first)), np.float32)
+        table[row[low:high], column[low:high] - first] = 1
+        common += table @ table.T
+    return common
 
 
 def _block_pairs(rep: np.ndarray, n: np.ndarray, group: np.ndarray, packed: list, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
