@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,16 +16,21 @@ from pyspark.sql import types as T
 from tallyframe.llm import words as W
 from tallyframe.llm.base import saved
 
-CLASSES = 24
-CORE = 512  # most frequent words, clustered by exchange until nothing moves
-PLACED = 1 << 15  # most frequent words that are placed one by one by the contexts they have with the core
-HEAD = 1 << 18  # most frequent words whose counts go to every task; the counts of all others are joined
+CLASSES = 24  # least number of classes; more words have words ** GROWTH of them
+GROWTH = 0.3
+CORE = 512  # most frequent words: clustered first, and the only ones whose contexts are not gathered in one task
+PLACED = 1 << 21  # up to so many words the table of classes is broadcast in each round; beyond it Spark shuffles, with the same result
+HEAD = 1 << 18  # most frequent words whose counts and classes go to every task; those of all others are joined
 HEAD_BYTES = 64  # longer words are never in the head, which bounds its size
-ENDINGS = 1 << 12  # all other words share the class of their ending, hashed to so many values
+ENDINGS = 1 << 12  # words that training has not seen take the commonest class of their ending, hashed to so many values
 ENDING = 3  # code points
-ROUNDS = 12
+EPS = 1e-4  # gains in log-likelihood up to this are rounding
+SHARE = 0.5  # of the words that would gain, at most so many move at once, as neighbours that move together undo each other's gain
+LOCAL = 1 << 21  # up to so many different bigrams the rounds run on the driver; beyond it as Spark jobs, with the same result
+END = 0  # key of a text's end
 SMOOTH = 0.5
 _SLICE = 24 << 20
+_ROWS = 1 << 15
 
 
 @dataclass
@@ -71,14 +76,6 @@ def _coded(words: pa.Array, head: pa.Array) -> np.ndarray:
     return np.asarray(pc.fill_null(pc.index_in(words, value_set=head), -1)).astype(np.int64)
 
 
-def _units(words: pa.Array, head: pa.Array, placed: int) -> np.ndarray:
-    """Number of what each word is clustered as: itself, or after all placed words its ending."""
-    code = _coded(words, head.slice(0, placed))
-    other = np.flatnonzero(code < 0)
-    code[other] = placed + ending_of(words.take(pa.array(other)))
-    return code
-
-
 def _stream(codes: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all texts with ``end`` after each, and the code before each of them; a text follows an end."""
     all_ = np.insert(codes, starts[1:], end)
@@ -88,16 +85,41 @@ def _stream(codes: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray
     return all_, before
 
 
+def keys(words: pa.Array) -> np.ndarray:
+    """64-bit key of each word; words that share one by chance share a class."""
+    out = W.hash_strings(words).astype(np.int64)
+    out[out == END] = 1
+    return out
+
+
 def word_counts(training: DataFrame) -> DataFrame:
-    """(word, c) over all words of all training texts; each task adds up its slices before the shuffle."""
+    """(word, c, key, ending) over all words of all training texts; each task adds up its slices before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, words, _ in _slices(batches):
             coded = words.dictionary_encode()
             n = np.bincount(np.asarray(coded.indices), minlength=len(coded.dictionary))
-            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(n.astype(np.int64))], names=["word", "n"])
+            found = coded.dictionary.cast(pa.string())
+            yield pa.RecordBatch.from_arrays([found, pa.array(n.astype(np.int64)), pa.array(keys(found)), pa.array(ending_of(found))], names=["word", "n", "key", "ending"])
+
+    rows = training.select("text").mapInArrow(run, "word string, n bigint, key bigint, ending bigint")
+    return saved(rows.groupBy("word").agg(F.sum("n").alias("c"), F.first("key").alias("key"), F.first("ending").alias("ending")), "word-counts")
+
+
+def bigram_counts(training: DataFrame) -> DataFrame:
+    """(a, b, n) over all neighbours in all training texts, as keys; a text's end stands before its first word too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, words, starts in _slices(batches):
+            coded = words.dictionary_encode()
+            found = np.append(keys(coded.dictionary), END)
+            size = len(found)
+            now, before = _stream(np.asarray(coded.indices).astype(np.int64), starts, size - 1)
+            pair, n = np.unique(before * size + now, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found[pair // size]), pa.array(found[pair % size]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
 
-    return saved(training.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+    rows = training.select("text").mapInArrow(run, "a bigint, b bigint, n bigint")
+    return saved(rows.groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
 
 
 def head_cutoff(counts: DataFrame, head: int) -> int:
@@ -114,140 +136,309 @@ def head_cutoff(counts: DataFrame, head: int) -> int:
     return high
 
 
-def _summed(frame: DataFrame, size: int) -> np.ndarray:
-    """Counts (code, n) of at most ``size`` codes as an array."""
-    out = np.zeros(size, np.int64)
-    table = frame.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    out[np.asarray(table.column("code"))] = np.asarray(table.column("n"))
-    return out
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
 
 
-def _counted(training: DataFrame, codes, size: int) -> np.ndarray:
-    """Sum over all training texts of the codes that ``codes(words, starts)`` gives; each task sends its own counts once."""
+def likelihood(pairs: np.ndarray) -> float:
+    """Log-likelihood of the classes of all texts, up to what does not depend on the classes."""
+    return float(_xlogx(pairs).sum() - _xlogx(pairs.sum(axis=1)).sum() - _xlogx(pairs.sum(axis=0)).sum())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for _, words, starts in _slices(batches):
-            total += np.bincount(codes(words, starts), minlength=size)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["code", "n"])
 
-    return _summed(training.select("text").mapInArrow(run, "code bigint, n bigint"), size)
+def best_moves(unit: np.ndarray, side: np.ndarray, near: np.ndarray, n: np.ndarray, own: np.ndarray, old: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class where each unit raises the likelihood most while all others stay, and the gain; its old class if nothing is gained.
+
+    Rows (unit, side, near, n) count the class ``near`` after (side 0) or before (1) a unit, pairs with itself left out: those are ``own``.
+    ``pairs`` holds all pairs of classes, ends last; ``old`` is -1 for units that are in no class and not counted there.
+    """
+    side_, classes, units = len(pairs), len(pairs) - 1, len(old)
+    f, every, has = _xlogx, np.arange(units), old >= 0
+    seen = np.bincount((unit * 2 + side) * side_ + near, weights=n, minlength=units * 2 * side_).reshape(units, 2, side_)
+    right, left = seen[:, 0], seen[:, 1]
+    gains = np.zeros((units, classes))
+
+    # pairs with classes other than the old and the new one: few different (side, class, count), so each is computed once
+    u, s, c = np.nonzero(seen)
+    other = c != old[u]
+    u, s, c = u[other], s[other], c[other]
+    if len(u):
+        kinds, which = np.unique(np.stack([s, c, seen[u, s, c].astype(np.int64)]), axis=1, return_inverse=True)
+        with_ = np.where(kinds[0][:, None] == 0, pairs.T[kinds[1], :classes], pairs[kinds[1], :classes])
+        more = f(with_ + kinds[2][:, None]) - f(with_)
+        inner = np.flatnonzero(kinds[1] < classes)
+        more[inner, kinds[1][inner]] = 0
+        first = np.flatnonzero(np.append(True, u[1:] != u[:-1]))
+        gains[u[first]] = np.add.reduceat(more[which.ravel()], first, axis=0)
+
+    from_ = np.where(has, old, 0)
+    row, column = pairs[from_], pairs.T[from_]
+    away = np.where(has[:, None], f(row - right) - f(row) + f(column - left) - f(column), 0)
+    away[every, from_] = 0
+    gains += away.sum(axis=1, keepdims=True) - away[:, :classes]
+    old_right, old_left = (np.where(has, v[every, from_], 0)[:, None] for v in (right, left))
+    row, column, to_right, to_left = row[:, :classes], column[:, :classes], right[:, :classes], left[:, :classes]
+    gains += np.where(has[:, None], f(column + old_right - to_left) - f(column) + f(row + old_left - to_right) - f(row), 0)
+    inside = pairs.diagonal()[:classes][None]
+    gains += f(inside + to_right + to_left + own[:, None]) - f(inside)
+    inside = pairs.diagonal()[from_]
+    gains += np.where(has, f(inside - old_right[:, 0] - old_left[:, 0] - own) - f(inside), 0)[:, None]
+    for total, part in ((pairs.sum(axis=1), right.sum(axis=1) + own), (pairs.sum(axis=0), left.sum(axis=1) + own)):
+        gains -= f(total[None, :classes] + part[:, None]) - f(total[None, :classes])
+        gains -= np.where(has, f(total[from_] - part) - f(total[from_]), 0)[:, None]
+    gains[every[has], old[has]] = 0
+    best = gains.argmax(axis=1)
+    gain = gains[every, best]
+    stay = has & (gain <= EPS)
+    return np.where(stay, old, best), np.where(stay, 0.0, gain)
+
+
+def _whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by the first of them, cut between its values."""
+    held, rows, least = [], 0, _ROWS
+    for batch in batches:
+        held.append([np.asarray(c) for c in batch.columns])
+        rows += batch.num_rows
+        if rows >= least:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            if cut:
+                yield [c[:cut] for c in columns]
+            held, rows = [[c[cut:] for c in columns]], rows - cut
+            least = max(_ROWS, 2 * rows)
+    if rows:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _near_classes(rows: DataFrame, classes: DataFrame, few: DataFrame, small: bool) -> DataFrame:
+    """``rows`` (w, v, ...) with the class ``near`` of v, null for none. The ``few`` hot keys never meet in one task."""
+    if small:
+        return rows.join(F.broadcast(classes.select(F.col("key").alias("v"), F.col("class").alias("near"))), "v", "left")
+    hot = rows.join(F.broadcast(few.select(F.col("key").alias("v"), F.col("class").alias("near"))), "v", "left")
+    met = hot.where("near IS NULL").drop("near").join(classes.select(F.col("key").alias("v"), F.col("class").alias("near")), "v", "left")
+    return hot.where("near IS NOT NULL").unionByName(met)
+
+
+def _moved(rest: DataFrame, classes: DataFrame, few: DataFrame, pairs: np.ndarray, small: bool, turn: int) -> DataFrame:
+    """(key, old, best, gain, draw) for every word of ``rest``: where it would go. ``rest`` is sorted by word within partitions."""
+    rows = _near_classes(rest, classes, few, small)
+    own_class = classes.select(F.col("key").alias("w"), F.col("class").alias("old"))
+    if small:
+        rows = rows.join(F.broadcast(own_class), "w", "left")
+    else:
+        rows = rows.repartition("w").join(own_class, "w", "left").sortWithinPartitions("w")
+    none = lambda c: F.coalesce(c, F.lit(-1)).cast("long").alias(c)
+    rows = rows.select("w", "v", F.col("side").cast("long").alias("side"), "n", none("near"), none("old"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for w, v, side, n, near, old in _whole_words(batches):
+            first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            unit = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(w))))
+            self_ = w == v
+            own = np.bincount(unit, weights=n * (self_ & (side == 0)), minlength=len(first))
+            use = ~self_ & (near >= 0)
+            best, gain = best_moves(unit[use], side[use], near[use], n[use], own, old[first], pairs)
+            alone = (old[first] < 0) & (np.bincount(unit, weights=use, minlength=len(first)) == 0)
+            best = np.where(alone, w[first] % (len(pairs) - 1), best)
+            yield pa.RecordBatch.from_arrays([pa.array(w[first]), pa.array(old[first]), pa.array(best.astype(np.int64)), pa.array(gain), pa.array(_draws(w[first], turn))], names=["key", "old", "best", "gain", "draw"])
+
+    return saved(rows.mapInArrow(run, "key bigint, old bigint, best bigint, gain double, draw double"), "class-moves")
+
+
+def _class_pairs(bigrams: DataFrame, classes: DataFrame, few: DataFrame, side: int, small: bool) -> np.ndarray:
+    rows = bigrams.withColumnsRenamed({"a": "w", "b": "v"})
+    rows = _near_classes(rows, classes, few, small).select(F.col("w").alias("v"), F.col("near").alias("right"), "n")
+    found = _near_classes(rows, classes, few, small).groupBy("near", "right").agg(F.sum("n").alias("n")).where("near IS NOT NULL AND right IS NOT NULL").toArrow()
+    out = np.zeros((side, side))
+    out[np.asarray(found.column("near")).astype(np.int64), np.asarray(found.column("right")).astype(np.int64)] = np.asarray(found.column("n"))
+    return out
 
-def _xlogx(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1e-300))
+
+def _draws(keys_: np.ndarray, turn: int) -> np.ndarray:
+    """Number from 0 to 1 of each key in each round."""
+    return W.mix(keys_.astype(np.int64).view(np.uint64) + W.mix(np.array([turn + 1]))) / 2.0**64
 
 
-def move_gains(right: np.ndarray, left: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """Gain in log-likelihood of putting each unit into each class.
+def _settled(state, pairs_of, propose, move):
+    """Rounds of moves until no word alone can raise the likelihood; the last state and its class pairs.
 
-    ``right`` and ``left`` (units, classes) count the classes after and before each unit, ``own`` its pairs with itself, and ``pairs``
-    (classes, classes) all pairs of classes without these units.
+    Of all that would gain, ``SHARE`` move at once, chosen by a hash, if that raises the likelihood; else half as many, down to the one
+    that gains most. So the likelihood rises in each round.
     """
-    rows, columns = pairs.sum(axis=1), pairs.sum(axis=0)
-    all_right, all_left = right.sum(axis=1) + own, left.sum(axis=1) + own
-    gains = np.empty_like(right, dtype=np.float64)
-    for g in range(len(pairs)):
-        after = _xlogx(pairs[g] + right) - _xlogx(pairs[g])
-        before = _xlogx(pairs[:, g] + left) - _xlogx(pairs[:, g])
-        both = _xlogx(pairs[g, g] + right[:, g] + left[:, g] + own) - _xlogx(pairs[g, g])
-        total = after.sum(axis=1) - after[:, g] + before.sum(axis=1) - before[:, g] + both
-        total -= _xlogx(rows[g] + all_right) - _xlogx(rows[g]) + _xlogx(columns[g] + all_left) - _xlogx(columns[g])
-        gains[:, g] = total
-    return gains
-
-
-def exchanged(pairs: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Class of each word from the counts of word pairs: every word in turn moves to the class where the likelihood is highest."""
-    words = len(pairs)
-    pairs = pairs.astype(np.float64)
-    group = np.arange(words) % classes
-    member = np.eye(classes)[group]
-    to, of = pairs @ member, pairs.T @ member
-    between = member.T @ to
-    for _ in range(rounds):
-        moved = 0
-        for w in range(words):
-            old, own = group[w], pairs[w, w]
-            right, left = to[w].copy(), of[w].copy()
-            right[old] -= own
-            left[old] -= own
-            between[old] -= right
-            between[:, old] -= left
-            between[old, old] -= own
-            new = int(move_gains(right[None], left[None], np.array([own]), between)[0].argmax())
-            between[new] += right
-            between[:, new] += left
-            between[new, new] += own
-            if new != old:
-                group[w] = new
-                to[:, old] -= pairs[:, w]
-                to[:, new] += pairs[:, w]
-                of[:, old] -= pairs[w]
-                of[:, new] += pairs[w]
-                moved += 1
-        if not moved:
-            break
-    return group
-
-
-def learned(docs: DataFrame, classes: int = CLASSES, core: int = CORE, placed: int = PLACED, head: int = HEAD) -> tuple[Model, DataFrame]:
-    """The model and the table (word, c), from all documents that are not held out.
-
-    The counts of all words stay a table. To the driver come up to ``head`` most frequent words (all that reach a common count), the pairs of the ``core`` words, and the classes
-    that ``placed`` words and ``ENDINGS`` endings have beside them: tables whose sizes do not depend on the data. Each statistic is
-    a sum over all training texts.
+    between, share, turn, moving = pairs_of(state), SHARE, 0, True
+    while moving:
+        moves, movers = propose(state, between, turn)
+        moving, turn = False, turn + 1
+        while movers and not moving:
+            alone = share * movers < 1
+            tried = move(state, moves, None if alone else share)
+            after = pairs_of(tried)
+            if likelihood(after) > likelihood(between):
+                state, between, share, moving = tried, after, min(SHARE, 2 * share), True
+            elif alone:  # the gain is below what sums of this size resolve
+                break
+            else:
+                share /= 2
+    return state, between
+
+
+def exchanged_rows(a: np.ndarray, b: np.ndarray, n: np.ndarray, keys_: np.ndarray, group: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes after exchange from ``group``, and their pairs, for bigrams (a, b, n) of units; the unit after the last one is the end."""
+    units, side_ = len(group), classes + 1
+    w, v, side = np.concatenate([a, b]), np.concatenate([b, a]), np.repeat([0, 1], len(a))
+    order = np.flatnonzero(w < units)
+    order = order[np.argsort(w[order], kind="stable")]
+    w, v, side, count = w[order], v[order], side[order], np.tile(n, 2)[order]
+    self_ = w == v
+    own = np.bincount(w, weights=count * (self_ & (side == 0)), minlength=units)
+    w, v, side, count = (x[~self_] for x in (w, v, side, count))
+    blocks = [(i, min(i + 4096, units)) for i in range(0, units, 4096)]
+    cuts = [np.searchsorted(w, i) for i in blocks]
+    ended = lambda g: np.append(g, classes)
+
+    def pairs_of(g: np.ndarray) -> np.ndarray:
+        g = ended(g)
+        return np.bincount(g[a] * side_ + g[b], weights=n, minlength=side_ * side_).reshape(side_, side_)
+
+    def propose(g: np.ndarray, between: np.ndarray, turn: int):
+        near = ended(g)[v]
+        found = [best_moves(w[x:y] - i, side[x:y], near[x:y], count[x:y], own[i:j], g[i:j], between) for (i, j), (x, y) in zip(blocks, cuts)]
+        best, gain = (np.concatenate([f[k] for f in found]) if found else np.zeros(0) for k in (0, 1))
+        return (best, gain, _draws(keys_, turn)), np.count_nonzero(gain)
+
+    def move(g: np.ndarray, moves, share: float | None) -> np.ndarray:
+        best, gain, draw = moves
+        picked = np.lexsort((keys_, gain))[-1:] if share is None else np.flatnonzero(draw < share)
+        g = g.copy()
+        g[picked] = best[picked]
+        return g
+
+    return _settled(group, pairs_of, propose, move)
+
+
+def exchanged(pairs: np.ndarray, classes: int) -> np.ndarray:
+    """Class of each word from the counts of word pairs: words move to the class where the likelihood is highest, until none moves."""
+    a, b = np.nonzero(pairs)
+    at = np.arange(len(pairs))
+    return exchanged_rows(a, b, pairs[a, b], at, at % classes, classes)[0]
+
+
+def clustered(bigrams: DataFrame, core: np.ndarray, classes: int, small: bool, local: int) -> tuple[DataFrame, np.ndarray]:
+    """(key, class) of every word, and the counts of all class pairs, ends last: exchange over all bigrams until no word moves.
+
+    The most frequent words (``core``) are clustered first, and all others begin where they fit those best. Up to ``local`` bigrams the
+    rounds run on the driver.
+    """
+    spark, side = bigrams.sparkSession, classes + 1
+    core = np.sort(core)
+    core_table = F.broadcast(spark.createDataFrame([(int(k), i) for i, k in enumerate(core)] + [(END, len(core))], "key bigint, id bigint"))
+    ids = lambda name, at: core_table.select(F.col("key").alias(at), F.col("id").alias(name))
+    found = bigrams.join(ids("i", "a"), "a").join(ids("j", "b"), "b").select("i", "j", "n").toArrow()
+    i, j, n = (np.asarray(found.column(c)).astype(np.int64) for c in ("i", "j", "n"))
+    group, core_pairs = exchanged_rows(i, j, n, core, np.arange(len(core)) % classes, classes)
+
+    if bigrams.limit(local + 1).count() <= local:
+        table = bigrams.toArrow()
+        a, b, n = (np.asarray(table.column(c)).astype(np.int64) for c in ("a", "b", "n"))
+        known = np.unique(np.concatenate([a, b]))
+        known = known[known != END]
+        end = len(known)
+        code = lambda k: np.where(k == END, end, np.searchsorted(known, k))
+        a, b = code(a), code(b)
+        near = np.full(end + 1, -1)
+        near[code(core)], near[end] = group, classes
+        w, v, at = np.concatenate([a, b]), np.concatenate([b, a]), np.repeat([0, 1], len(a))
+        use = (near[v] >= 0) & (near[w] < 0)
+        order = np.flatnonzero(use)[np.argsort(w[use], kind="stable")]
+        w, v, at, m = w[order], v[order], at[order], np.tile(n, 2)[order]
+        first = known % classes
+        for x in range(0, end, 4096):
+            p, q = np.searchsorted(w, (x, min(x + 4096, end)))
+            some = np.unique(w[p:q])
+            unit = np.searchsorted(some, w[p:q])
+            first[some] = best_moves(unit, at[p:q], near[v[p:q]], m[p:q], np.zeros(len(some)), np.full(len(some), -1), core_pairs)[0]
+        first[code(core)] = group
+        last, between = exchanged_rows(a, b, n, known, first, classes)
+        rows = pa.table({"key": pa.array(known, pa.int64()), "class": pa.array(last.astype(np.int64))})
+        return spark.createDataFrame(rows), between
+
+    both = bigrams.select(F.col("a").alias("w"), F.col("b").alias("v"), F.lit(0).alias("side"), "n")
+    both = both.unionAll(bigrams.select(F.col("b").alias("w"), F.col("a").alias("v"), F.lit(1).alias("side"), "n"))
+    hot = both.join(ids("i", "w"), "w").where(F.col("i") < len(core))
+    rest = both.join(ids("i", "w"), "w", "left_anti").repartition("w").sortWithinPartitions("w").persist(StorageLevel.DISK_ONLY)
+
+    def with_core(words: DataFrame, group: np.ndarray) -> tuple[DataFrame, DataFrame, np.ndarray]:
+        few = spark.createDataFrame([(int(k), int(g)) for k, g in zip([*core, END], [*group, classes])], "key bigint, class bigint")
+        return words.unionByName(few), few, group
+
+    def pairs_of(state) -> np.ndarray:
+        return _class_pairs(bigrams, state[0], state[1], side, small)
+
+    def propose(state, between: np.ndarray, turn: int):
+        now, few, group = state
+        moves = _moved(rest, now, few, between, small, turn)
+        met = _near_classes(hot, now, few, small)
+        met = met.groupBy("i", "side", "near", (F.col("w") == F.col("v")).alias("own")).agg(F.sum("n").alias("n")).toArrow()
+        i, at, near, n = (np.asarray(met.column(c)).astype(np.int64) for c in ("i", "side", "near", "n"))
+        self_ = np.asarray(met.column("own")).astype(bool)
+        own = np.bincount(i, weights=n * (self_ & (at == 0)), minlength=len(core))
+        best, gain = best_moves(i[~self_], at[~self_], near[~self_], n[~self_], own, group, between)
+        some = moves.agg(F.count_if(F.col("gain") > 0), F.max(F.when(F.col("gain") > 0, F.struct("gain", "key")))).first()
+        return (moves, best, gain, some[1], _draws(core, turn)), some[0] + np.count_nonzero(gain)
+
+    def move(state, found, share: float | None):
+        moves, best, gain, top, draw = found
+        if share is None:
+            ours = max(((g, k) for g, k in zip(gain, core) if g > 0), default=(0.0, 0))
+            theirs = (top["gain"], top["key"]) if top else (0.0, 0)
+            picked, mine = (F.lit(False), core == ours[1]) if ours > theirs else (F.col("key") == theirs[1], np.zeros(len(core), bool))
+        else:
+            picked, mine = F.col("draw") < share, draw < share
+        words = moves.select("key", F.when(picked, F.col("best")).otherwise(F.col("old")).alias("class"))
+        return with_core(words, np.where(mine, best, state[2]))
+
+    few = with_core(spark.createDataFrame([], "key bigint, class bigint"), group)[1]
+    seed = _moved(rest, few, few, core_pairs, True, 0)
+    state, between = _settled(with_core(seed.select("key", F.col("best").alias("class")), group), pairs_of, propose, move)
+    now = saved(state[0], "classes")
+    rest.unpersist()
+    return now, between
+
+
+def learned(docs: DataFrame, classes: int | None = None, core: int = CORE, placed: int = PLACED, head: int = HEAD, local: int = LOCAL) -> tuple[Model, DataFrame]:
+    """The model and the table (word, c, class), from all documents that are not held out.
+
+    The counts and classes of all words stay tables, and so do the bigrams; ``classes`` follows the number of words unless given. To the
+    driver come up to ``head`` most frequent words (all that reach a common count), the contexts of ``core`` words in terms of classes, the
+    pairs of classes, and one class for each of ``ENDINGS`` endings. With up to ``placed`` words the table of classes is broadcast,
+    and up to ``local`` bigrams come to the driver whole.
     """
     training = docs.where(~held_out(F.col("doc_id"))).select("text")
     counts = word_counts(training)
     total = counts.agg(F.sum("c"), F.count("*")).first()
     ends = training.count()
-    frequent = counts.where((F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= head_cutoff(counts, head)))
-    top = frequent.toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+    if classes is None:
+        classes = max(CLASSES, round(total[1] ** GROWTH))
+    in_head = (F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= head_cutoff(counts, head))
+    top = counts.where((F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= head_cutoff(counts, core))).select("key").distinct().toArrow()
+    table, pairs = clustered(bigram_counts(training), np.asarray(top.column("key")), classes, total[1] <= placed, local)
+    counts = saved(counts.join(table, "key").select("word", "c", "ending", "class"), "word-classes")
+    top = counts.where(in_head).select("word", "c", "class").toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     words = pa.concat_arrays(top.column("word").chunks) if top.num_rows else pa.array([], pa.string())
-    words = words.cast(pa.string())
-    model = Model(words, np.asarray(top.column("c")).astype(np.int64), (total[0] or 0) + ends, total[1] + (ends > 0), ends)
-    core, placed = min(core, len(words)), min(placed, len(words))
-    send = docs.sparkSession.sparkContext.broadcast
-
-    held = send(words)
-
-    def core_pairs(words_: pa.Array, starts: np.ndarray) -> np.ndarray:
-        now, before = _stream(_coded(words_, held.value.slice(0, core)), starts, core)
-        both = (now >= 0) & (before >= 0)
-        return before[both] * (core + 1) + now[both]
-
-    pairs = _counted(training, core_pairs, (core + 1) ** 2).reshape(core + 1, core + 1)
-    core_class = exchanged(pairs[:core, :core], classes)
-    core_class = np.append(core_class, classes)  # an end is a class of its own
-    member = np.eye(classes + 1)[core_class]
-    between = member.T @ pairs @ member
-
-    side = classes + 1
-    units = placed + ENDINGS
-
-    def contexts(words_: pa.Array, starts: np.ndarray) -> np.ndarray:
-        now, before = _stream(_units(words_, held.value, placed), starts, units)
-        near = np.full(units + 1, -1)
-        near[:core], near[units] = core_class[:core], classes
-        left, right = (before >= core) & (before < units) & (near[now] >= 0), (now >= core) & (now < units) & (near[before] >= 0)
-        return np.concatenate([before[left] * 2 * side + near[now[left]], now[right] * 2 * side + side + near[before[right]]])
-
-    seen = _counted(training, contexts, units * 2 * side).reshape(units, 2, side)
-    group = np.empty(units, np.int64)
-    for a in range(0, units, 4096):
-        part = seen[a : a + 4096].astype(np.float64)
-        gains = move_gains(part[:, 0], part[:, 1], np.zeros(len(part)), between)[:, :classes]
-        group[a : a + 4096] = gains.argmax(axis=1)
-    group[:core] = core_class[:core]
-    model.ending_class = group[placed:]
-    model.head_class = np.concatenate([group[:placed], model.ending_class[ending_of(words.slice(placed))]])
-    _add_totals(model, training, counts, classes)
-    return model, counts
+    model = Model(words.cast(pa.string()), np.asarray(top.column("c")).astype(np.int64), (total[0] or 0) + ends, total[1] + (ends > 0), ends)
+    model.head_class = np.asarray(top.column("class")).astype(np.int64)
+    found = counts.groupBy("ending", "class").agg(F.sum("c").alias("c"), F.count("*").alias("n")).toArrow()
+    ending, group, c, n = (np.asarray(found.column(x)).astype(np.int64) for x in ("ending", "class", "c", "n"))
+    model.class_tokens = np.bincount(group, weights=c, minlength=classes + 1)
+    model.class_words = np.bincount(group, weights=n, minlength=classes + 1)
+    model.ending_class = np.full(ENDINGS, int(model.class_words[:classes].argmax()))
+    order = np.lexsort((-group, n))  # the last of an ending stays: the class of most of its words
+    model.ending_class[ending[order]] = group[order]
+    model.transition = np.log10((pairs + SMOOTH) / (pairs.sum(axis=1, keepdims=True) + SMOOTH * (classes + 1)))
+    return model, counts.select("word", "c", "class")
 
 
 def _class_of(words: pa.Array, code: np.ndarray, model: Model) -> np.ndarray:
+    """Class of each word of the head; of others the class that they have if training has not seen them."""
     out = np.empty(len(code), np.int64)
     known = code >= 0
     out[known] = model.head_class[code[known]]
@@ -256,38 +447,12 @@ def _class_of(words: pa.Array, code: np.ndarray, model: Model) -> np.ndarray:
     return out
 
 
-def _add_totals(model: Model, training: DataFrame, counts: DataFrame, classes: int) -> None:
-    held = training.sparkSession.sparkContext.broadcast(vars(model))
-    side = classes + 1
-
-    def transitions(words: pa.Array, starts: np.ndarray) -> np.ndarray:
-        m = Model(**held.value)
-        now, before = _stream(_class_of(words, _coded(words, m.words), m), starts, classes)
-        return before * side + now
-
-    pairs = _counted(training, transitions, side * side).reshape(side, side)
-
-    def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(**held.value)
-        total = np.zeros((2, side), np.int64)
-        for batch in batches:
-            words = batch.column(0).cast(pa.string())
-            group = _class_of(words, _coded(words, m.words), m)
-            total[0] += np.bincount(group, weights=np.asarray(batch.column(1)), minlength=side).astype(np.int64)
-            total[1] += np.bincount(group, minlength=side)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * side)), pa.array(total.ravel())], names=["code", "n"])
-
-    totals = _summed(counts.select("word", "c").mapInArrow(by_class, "code bigint, n bigint"), 2 * side).reshape(2, side)
-    model.class_tokens, model.class_words = totals[0].astype(np.float64), totals[1].astype(np.float64)
-    model.transition = np.log10((pairs + SMOOTH) / (pairs.sum(axis=1, keepdims=True) + SMOOTH * side))
-
-
 def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """``docs`` without ``text`` but with ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``perplexity``.
 
     ``score`` is the model's log10 probability of the text: of each word's class after the class before it, and of the word in its class.
-    Words of the head are scored where the text is read. The others, which are rare and so never hot, go out as rows, meet their counts
-    in a join, and come back as sums per text.
+    Words of the head are scored where the text is read. The others, which are rare and so never hot, go out as rows with the word before,
+    meet their counts and classes in joins, and come back as sums per text. A word that training has not seen has the class of its ending.
 
     Null or empty text is one end. Repeated rows have equal scores. A null ``doc_id`` belongs to training. Without training tokens every
     count is 0. Other columns pass through, and those of the added names are replaced. An empty table gives an empty table.
@@ -295,7 +460,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     added = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
     docs = docs.select(*[c for c in docs.columns if c.lower() not in added])
     kept = [f for f in docs.schema.fields if f.name != "text"]
-    extra = T.StructType.fromDDL("row_ bigint, n_ bigint, known_ bigint, base_ double, score_ double, words_ array<string>, times_ array<bigint>, classes_ array<bigint>")
+    extra = T.StructType.fromDDL("row_ bigint, n_ bigint, known_ bigint, base_ double, score_ double, befores_ array<string>, words_ array<string>, from_ array<bigint>, to_ array<bigint>")
     schema = T.StructType([T.StructField(f"in_{i}", f.dataType) for i, f in enumerate(kept)] + extra.fields)
     held = docs.sparkSession.sparkContext.broadcast(vars(model))
     text_at = docs.columns.index("text")
@@ -307,38 +472,53 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         for part, words, starts in _slices(batches, text_at):
             rows = part.num_rows
             code = _coded(words, m.words)
+            inside = code >= 0
             group = _class_of(words, code, m)
             now, before = _stream(group, starts, end)
-            move = np.bincount(np.repeat(np.arange(rows), np.diff(starts) + 1), weights=m.transition[before, now], minlength=rows)
+            place = np.insert(np.arange(len(code)), starts[1:], -1)  # of each word or end of the stream among the words
+            rare = (place >= 0) & np.append(~inside, False)[place]
+            rare_before = np.append(False, rare[:-1])
+            of = np.repeat(np.arange(rows), np.diff(starts) + 1)
+            sure = ~(rare | rare_before)
+            move = np.bincount(of[sure], weights=m.transition[before[sure], now[sure]], minlength=rows)
             owner = W.owners(starts)
-            inside = code >= 0
             count = m.counts[code[inside]]
             sums = lambda v: np.bincount(owner[inside], weights=v, minlength=rows)
             base = sums(m.base(count)) + m.base(np.array([m.ends]))[0]
             score = sums(m.emission(count, group[inside])) + move
             known = np.bincount(owner[inside], minlength=rows) + (m.ends > 0)
-            outside = np.flatnonzero(~inside)
-            bounds = pa.array(np.searchsorted(outside, starts).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(bounds, v) for v in (words.take(pa.array(outside)).cast(pa.string()), pa.array(np.ones(len(outside), np.int64)), pa.array(group[outside]))]
+            open_ = np.flatnonzero(~sure)
+            bounds = pa.array(np.searchsorted(of[open_], np.arange(rows + 1)).astype(np.int32))
+            word = lambda at, is_: words.take(pa.array(at, mask=~is_)).cast(pa.string())
+            values = (word(place[open_ - 1], rare_before[open_]), word(place[open_], rare[open_]), pa.array(before[open_]), pa.array(now[open_]))
+            lists = [pa.ListArray.from_arrays(bounds, v) for v in values]
             columns = [c for i, c in enumerate(part.columns) if i != text_at]
-            columns += [pa.array(row + np.arange(rows)), pa.array(np.diff(starts) + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), *lists]
+            columns += [pa.array(row + np.arange(rows)), pa.array(np.diff(starts) + 1), pa.array(known.astype(np.int64)), pa.array(base.astype(float)), pa.array(score.astype(float)), *lists]
             row += rows
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     partial = saved(docs.mapInArrow(run, schema), "scores")
-    tail = partial.select("row_", F.inline(F.arrays_zip("words_", "times_", "classes_")))
-    tail = tail.groupBy("row_", "words_", "classes_").agg(F.sum("times_").alias("times_"))
-    met = tail.join(counts, tail["words_"] == counts["word"], "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    tail = saved(partial.select("row_", F.inline(F.arrays_zip("befores_", "words_", "from_", "to_"))), "rare-words")
+    known = counts.select(F.col("word").alias("known_word"), F.col("c"), F.col("class"))
+    now = tail.where("words_ IS NOT NULL").join(known, F.col("words_") == F.col("known_word"), "left")
+    now = now.select("row_", "befores_", "from_", F.coalesce("class", "to_").alias("to_"), F.coalesce("c", F.lit(0)).alias("c"))
+    now = now.unionByName(tail.where("words_ IS NULL").select("row_", "befores_", "from_", "to_", F.lit(None).cast("long").alias("c")))
+    met = now.where("befores_ IS NOT NULL").join(known.drop("c"), F.col("befores_") == F.col("known_word"), "left")
+    met = met.select("row_", F.coalesce("class", "from_").alias("from_"), "to_", "c").unionByName(now.where("befores_ IS NULL").select("row_", "from_", "to_", "c"))
     scale = model.tokens + SMOOTH * (model.distinct + 1)
-    per_class = F.array(*[F.lit(float(x)) for x in model.class_tokens + SMOOTH * (model.class_words + 1)])
-    log = lambda over: F.sum(F.col("times_") * F.log10((F.col("c") + SMOOTH) / over))
+    numbers = lambda values: F.array(*[F.lit(float(x)) for x in values])
+    per_class = numbers(model.class_tokens + SMOOTH * (model.class_words + 1))
+    side = len(model.transition)
+    steps = docs.sparkSession.createDataFrame([(i // side, i % side, float(x)) for i, x in enumerate(model.transition.ravel())], "from_ bigint, to_ bigint, step_ double")
+    met = met.join(F.broadcast(steps), ["from_", "to_"])
+    log = lambda over: F.coalesce(F.log10((F.col("c") + SMOOTH) / over), F.lit(0.0))
     sums = met.groupBy("row_").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("times_")).otherwise(0)).alias("more_known"),
-        log(F.lit(float(scale))).alias("more_base"),
-        log(F.element_at(per_class, (F.col("classes_") + 1).cast("int"))).alias("more_score"),
+        F.count_if(F.col("c") > 0).alias("more_known"),
+        F.sum(log(F.lit(float(scale)))).alias("more_base"),
+        F.sum(log(F.element_at(per_class, (F.col("to_") + 1).cast("int"))) + F.col("step_")).alias("more_score"),
     )
     plus = lambda c, more: F.col(c) + F.coalesce(F.col(more), F.lit(0))
-    out = partial.drop("words_", "times_", "classes_").join(sums, "row_", "left")
+    out = partial.drop("befores_", "words_", "from_", "to_").join(sums, "row_", "left")
     named = [F.col(f"in_{i}").alias(f.name) for i, f in enumerate(kept)]
     doc_id = next(F.col(f"in_{i}") for i, f in enumerate(kept) if f.name == "doc_id")
     score = plus("score_", "more_score")

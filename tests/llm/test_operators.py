@@ -430,3 +430,43 @@ def test_head_cutoff(spark):
     for head in (0, 1, 2, 3, 4, 33, 34, 35, 124, 623, 624, 5000):
         cutoff = class_lm.head_cutoff(frame, head)
         assert sum(c >= cutoff for c in counts) <= head and (cutoff == 1 or sum(c >= cutoff - 1 for c in counts) > head)
+
+
+def _classes(table):
+    return {r["word"]: r["class"] for r in table.collect()}
+
+
+def test_class_lm_clusters_every_word(spark):
+    """Words of two kinds take turns, and all but a few are rare: with a core of four, every one of them ends in a class by its contexts."""
+    rng = random.Random(5)
+    kinds = [[f"{k}{i}x{i % 7}" for i in range(60)] for k in "ab"]
+    texts = [(i, " ".join(rng.choice(kinds[j % 2]) for j in range(20))) for i in range(60)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    model, counts = class_lm.learned(frame, classes=2, core=4)
+    of = _classes(counts)
+    groups = [{of[w] for w in k if w in of} for k in kinds]
+    assert sorted(map(len, groups)) == [1, 1] and groups[0] != groups[1]
+    # neither the head nor the way classes are joined changes a score
+    want = by_id(class_lm.scored(frame, model, counts), "score", "base_score")
+    for options in ({"local": 0}, {"local": 0, "placed": 0}, {"head": 0}):
+        got = by_id(class_lm.scored(frame, *class_lm.learned(frame, classes=2, core=4, **options)), "score", "base_score")
+        assert all(got[i] == pytest.approx(want[i]) for i in want)
+
+
+def test_class_lm_best_moves_are_exact():
+    rng = np.random.default_rng(3)
+    pairs = rng.integers(0, 9, (12, 12)).astype(float)  # the last is the end of a text
+    group = np.append(rng.integers(0, 3, 11), 3)
+    table = lambda g: np.eye(4)[g].T @ pairs @ np.eye(4)[g]
+    between = table(group)
+    for w in range(11):
+        others = np.delete(np.arange(12), w)
+        near, n = np.tile(group[others], 2), np.concatenate([pairs[w, others], pairs[others, w]])
+        best, gain = class_lm.best_moves(np.zeros(22, int), np.repeat([0, 1], 11), near, n, pairs[w, w : w + 1], group[w : w + 1], between)
+        gains = [class_lm.likelihood(table(np.where(np.arange(12) == w, g, group))) - class_lm.likelihood(between) for g in range(3)]
+        assert gain[0] == pytest.approx(max(gains), abs=1e-6) and gains[best[0]] == pytest.approx(max(gains), abs=1e-6)
+
+
+def test_class_count_follows_the_vocabulary(spark):
+    frame = spark.createDataFrame([(i, " ".join(f"w{i}n{j}" for j in range(1000))) for i in range(120)], "doc_id long, text string")
+    assert len(class_lm.learned(frame, core=10)[0].transition) > class_lm.CLASSES + 1
