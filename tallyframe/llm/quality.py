@@ -21,11 +21,12 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30  # percent
 GROWTH = 1.02  # relative width of a sketch bucket: quantiles are right to 1 %
-REACH = 4.0  # a fence lies this many spreads beyond the upper or lower quartile
+REACH = 4.0  # the fence of word length lies this many spreads beyond its quartiles
+UPPER = 0.99  # the fences of the shares are this quantile among the documents of the group in which the share is not zero
 MIN_GROUP = 200  # smaller groups use the merged sketch of their language, then that of all documents
 BROADCAST_GROUPS = 10_000
-# Least spread of each feature, so that a group of equal values does not reject the first that differs.
-FEATURES = {"symbol_share": 0.02, "dup_line_share": 0.15, "repeat_share": 0.075, "word_length": 0.5}
+# Least spread of word length; for the shares, whose fences are quantiles, the least fence: a share up to it is never a reason to reject.
+FEATURES = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.05, "word_length": 0.5}
 LOW_SIDE = ("word_length",)
 
 
@@ -119,14 +120,17 @@ def sketch_rows(counts: DataFrame) -> DataFrame:
 
 
 def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """First and third quartile of each (keys, feature), and its size. A window holds the buckets of one group: some thousand at most."""
+    """Quartiles of each (keys, feature), the upper quantile of its values above 0 (null if there are none), and its size. A window holds the buckets of one group: some thousand at most."""
     merged = sketch.groupBy(*keys, "feature", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "feature")
     up = group.orderBy(F.col("bucket").asc_nulls_first())
     ranked = merged.withColumn("upto", F.sum("n").over(up)).withColumn("total", F.sum("n").over(group))
+    ranked = ranked.withColumn("zeros", F.coalesce(F.sum(F.when(F.col("bucket").isNull(), F.col("n"))).over(group), F.lit(0)))
     middle = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(2 * F.pow(F.lit(GROWTH), F.col("bucket")) / (GROWTH + 1))
     value = lambda q: F.min(F.when(F.col("upto") >= F.col("total") * q, middle)).alias(f"q{round(100 * q)}")
-    return ranked.groupBy(*keys, "feature").agg(value(0.25), value(0.75), F.max("total").alias("total"))
+    rank = F.floor((F.col("total") - F.col("zeros")) * UPPER)  # 0 for a single value, which is no evidence for itself
+    over = F.col("bucket").isNotNull() & (rank > 0) & (F.col("upto") - F.col("zeros") >= rank)
+    return ranked.groupBy(*keys, "feature").agg(value(0.25), value(0.75), F.min(F.when(over, middle * (GROWTH + 1) / 2)).alias("upper"), F.max("total").alias("total"))
 
 
 def thresholds(counts: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
@@ -141,8 +145,9 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP, reach: float = REA
     pick = lambda q: F.when(small & smaller, F.col(f"a_{q}")).when(small, F.col(f"l_{q}")).otherwise(F.col(q))
     least = F.element_at(F.create_map(*[F.lit(x) for pair in FEATURES.items() for x in pair]), F.col("feature"))
     spread = F.greatest(pick("q75") - pick("q25"), least) * reach
+    high = F.when(F.col("feature").isin(*LOW_SIDE), pick("q75") + spread).otherwise(F.greatest(pick("upper"), least))
     low = F.when(F.col("feature").isin(*LOW_SIDE), pick("q25") - spread)
-    return own.select("lang", "source", "feature", low.alias("low"), (pick("q75") + spread).alias("high"))
+    return own.select("lang", "source", "feature", low.alias("low"), high.alias("high"))
 
 
 def judged(docs: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
@@ -150,8 +155,9 @@ def judged(docs: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) ->
 
     Four features of each document (symbols per character of words, repeated lines, words in repeated windows, mean word length) are
     sketched per language and source over all documents that pass the base rule: counts of logarithmic buckets, which merge by adding up,
-    do not depend on order, and give every quantile to 1 %. A document is kept if it passes the base rule and every feature lies
-    within ``reach`` spreads (quartile ranges, of a least width) of its group's quartiles. Groups of fewer than ``min_group`` documents
+    do not depend on order, and give every quantile to 1 %. A document is kept if it passes the base rule, no share is above the
+    ``UPPER`` quantile of its group's values that are not 0 (or a least fence), and its word length lies within ``reach`` spreads (quartile
+    ranges, of a least width) of its group's quartiles. Groups of fewer than ``min_group`` documents
     take the merged sketch of their language, or of all documents if that is small as well.
 
     Null text is empty: no words, base rule failed. Null ``lang`` and null ``source`` are values like any other. Every row is judged by

@@ -47,6 +47,22 @@ def test_quality_fences(spark):
     assert quality.filtered(frame).columns == frame.columns
 
 
+def test_quality_repeat_and_line_fences_reject(spark):
+    """One document in 300 repeats a fifth of its words, one an eighth of its lines: the base rule passes both, the fences do not."""
+    word = lambda i, k: f"w{(i * 7919 + k * 104729) % 99991}"
+    line = lambda i, k: " ".join(word(i, k * 6 + j) for j in range(6))
+    docs = []
+    for i in range(300):
+        some = [word(i, k) for k in range(120)]
+        docs.append((i, " ".join(some + some[:8] * (i % 2)), "en", "a"))
+    mild = [(1000 + i, "\n".join([line(i, k) for k in range(18)] + [line(i, 0)]), "en", "a") for i in range(300)]
+    words = [word(900, k) for k in range(100)]
+    bad = [(5000, " ".join(words + words[:14]), "en", "a"), (5001, "\n".join([line(901, 1 if k in (5, 10, 15) else k) for k in range(23)]), "en", "a")]
+    rows = {r["doc_id"]: r for r in quality.judged(spark.createDataFrame(docs + mild + bad, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r["base_failed"] for r in rows.values())
+    assert {i for i, r in rows.items() if not r["kept"]} == {5000, 5001}
+
+
 def test_quality_passes_columns_and_empty(odd, none):
     assert quality.filtered(odd).columns == odd.columns
     assert quality.judged(none).count() == 0
