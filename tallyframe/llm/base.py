@@ -34,6 +34,20 @@ def bounded_broadcast(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, most_rows: int = 500_000, share: int = 1000) -> DataFrame:
+    """``rows`` left-joined with ``groups``, which has one row per key and, in ``size``, about how many of the ``total`` rows have it.
+
+    Up to ``most_rows`` groups go to all tasks. Of more, only those of keys that over one in ``share`` of the rows have, ``share`` at most,
+    go to all tasks; the other rows and groups meet in a shuffle, so no key gathers more than its ``share`` in one task. Keys are not null.
+    """
+    if groups.limit(most_rows + 1).count() <= most_rows:
+        return rows.join(F.broadcast(groups), keys, "left")
+    often = F.col(size) * share > total
+    hot = F.broadcast(groups.where(often))
+    far = rows.join(hot, keys, "left_anti").join(groups.where(~often), keys, "left")
+    return rows.join(hot, keys).unionByName(far)
+
+
 def among_first(key: Column, wanted: int, rows: Column) -> Column:
     """Whether a hashed key, even over all longs, may be among the ``wanted`` least of ``rows``: true for about twice as many.
 

@@ -115,3 +115,66 @@ least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN least USING (doc_id) LEFT JOIN n ON d.doc_id = n.doc_id
 """
+
+ORACLES["op11_warc"] = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex, coalesce(html, '') AS payload FROM pages),
+five AS (SELECT *, list_transform(range(0, 4), lambda k: ('0x' || substr(hex, 1 + 10 * k, 10))::BIGINT) AS v FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((v[(i // 8 + 1)::INTEGER] >> (35 - 5 * (i % 8))) & 31) + 1)::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN page_id = max(page_id) OVER (PARTITION BY payload) THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> max(page_id) OVER (PARTITION BY payload) THEN max(page_id) OVER (PARTITION BY payload) END AS refers_to
+FROM five
+"""
+
+ORACLES["op12_hard_negatives"] = r"""
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), FALSE))) = len(embedding)),
+anchor AS (SELECT * FROM given WHERE vec_id % 100 = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, list_inner_product(a.v, x.v)::BIGINT AS score
+  FROM anchor a JOIN given x ON a.vec_id <> x.vec_id),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'digest': digest, 'words': words} ORDER BY turn NULLS FIRST, digest) AS turns FROM raw GROUP BY conv_id),
+heads AS (
+  SELECT *, (4294967295 - list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda c, zero: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END))) % 4 AS h FROM own),
+conv AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+steps AS (
+  SELECT conv_id, len(turns) AS n, d AS depth, coalesce(array_to_string(list_transform(turns[1:d], lambda t: t.digest), ''), '') AS prefix,
+    CASE WHEN d > 0 THEN turns[d::INTEGER].words ELSE 0 END AS words
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM conv)),
+node AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends
+  FROM steps GROUP BY prefix, depth),
+linked AS (
+  SELECT c.*, p.conv_id AS parent_conv_id, p.prefix AS parent FROM node c LEFT JOIN node p ON c.depth = p.depth + 1 AND left(c.prefix, 64 * p.depth) = p.prefix),
+children AS (SELECT parent AS prefix, count(*) AS n FROM linked WHERE parent IS NOT NULL GROUP BY parent),
+up AS (
+  SELECT prefix AS top, prefix, parent FROM linked
+  UNION ALL SELECT l.prefix, up.prefix, l.parent FROM up JOIN linked l ON l.prefix = up.parent),
+under AS (
+  SELECT up.top, count(*) FILTER (c.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+  FROM up JOIN node n ON n.prefix = up.prefix LEFT JOIN children c ON c.prefix = up.prefix GROUP BY up.top)
+SELECT l.conv_id::BIGINT AS conv_id, l.depth::BIGINT AS depth, l.parent_conv_id::BIGINT AS parent_conv_id, l.n_convs::BIGINT AS n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+  u.n_leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens, sha256(l.ends) AS ends_sha256
+FROM linked l JOIN under u ON u.top = l.prefix LEFT JOIN children c ON c.prefix = l.prefix
+"""

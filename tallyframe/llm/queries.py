@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import class_lm, fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup
+from tallyframe.llm import class_lm, fingerprints, hard_negatives, language_id, line_dedup, mixing, near_dedup, packing, prefix_trie, quality
+from tallyframe.llm import secrets, substring_dedup, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.with_language(docs.drop("lang"), language_id.learned(docs))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.trie(prefix_trie.with_heads(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
@@ -76,4 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
+    "op11_warc": op11_warc,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
