@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel, TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,19 +18,20 @@ from tallyframe.llm.base import saved
 
 CLASSES = 24  # least number of classes; more words have words ** GROWTH of them
 GROWTH = 0.3
-CORE = 512  # most frequent words: clustered first, and the only ones whose contexts are not gathered in one task
-PLACED = 1 << 21  # up to so many words the table of classes is broadcast in each round; beyond it Spark shuffles, with the same result
+LEAST = 5  # words seen more rarely have no class of their own: they take part in exchange together, with the words of their ending
+PLACED = 1 << 22  # most words that have one of their own, the most frequent ones, so that a table of all classes is 8 MB at most
+CORE = 512  # most frequent words, which are clustered first; all others begin where they fit those best
 HEAD = 1 << 18  # most frequent words whose counts and classes go to every task; those of all others are joined
 HEAD_BYTES = 64  # longer words are never in the head, which bounds its size
-ENDINGS = 1 << 12  # words that training has not seen take the commonest class of their ending, hashed to so many values
+ENDINGS = 1 << 12  # endings, hashed to so many values; words that training has not seen have the class of theirs
 ENDING = 3  # code points
 EPS = 1e-4  # gains in log-likelihood up to this are rounding
 SHARE = 0.5  # of the words that would gain, at most so many move at once, as neighbours that move together undo each other's gain
-LOCAL = 1 << 21  # up to so many different bigrams the rounds run on the driver; beyond it as Spark jobs, with the same result
+STOP = 5e-4  # exchange ends after a round that raises the log-likelihood by less than this share of what classes have won over a single one
+CHUNK = 1 << 17  # rows of bigrams that are handed to a task as one value, about
 END = 0  # key of a text's end
 SMOOTH = 0.5
 _SLICE = 24 << 20
-_ROWS = 1 << 15
 
 
 @dataclass
@@ -106,20 +107,32 @@ def word_counts(training: DataFrame) -> DataFrame:
     return saved(rows.groupBy("word").agg(F.sum("n").alias("c"), F.first("key").alias("key"), F.first("ending").alias("ending")), "word-counts")
 
 
-def bigram_counts(training: DataFrame) -> DataFrame:
-    """(a, b, n) over all neighbours in all training texts, as keys; a text's end stands before its first word too."""
+def unit_bigrams(training: DataFrame, placed: Broadcast) -> DataFrame:
+    """(i, j, n) over all neighbours in all training texts, as numbers of units; a text's end stands before its first word too.
+
+    Units are the words of ``placed`` (sorted keys), then the endings of all others, then the end of a text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = placed.value
+        units = len(own) + ENDINGS + 1
         for _, words, starts in _slices(batches):
             coded = words.dictionary_encode()
-            found = np.append(keys(coded.dictionary), END)
-            size = len(found)
-            now, before = _stream(np.asarray(coded.indices).astype(np.int64), starts, size - 1)
-            pair, n = np.unique(before * size + now, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found[pair // size]), pa.array(found[pair % size]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+            of = np.append(_units(coded.dictionary, own), units - 1)
+            now, before = _stream(np.asarray(coded.indices).astype(np.int64), starts, len(of) - 1)
+            pair, n = np.unique(of[before] * units + of[now], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((pair // units).astype(np.int32)), pa.array((pair % units).astype(np.int32)), pa.array(n.astype(np.int64))], names=["i", "j", "n"])
+
+    rows = training.select("text").mapInArrow(run, "i int, j int, n bigint")
+    return saved(rows.groupBy("i", "j").agg(F.sum("n").alias("n")), "bigrams")
+
 
-    rows = training.select("text").mapInArrow(run, "a bigint, b bigint, n bigint")
-    return saved(rows.groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
+def _units(words: pa.Array, placed: np.ndarray) -> np.ndarray:
+    """Unit of each word: its own if its key is among the sorted ``placed`` ones, else that of its ending."""
+    key = keys(words)
+    at = np.minimum(np.searchsorted(placed, key), max(len(placed) - 1, 0))
+    out = len(placed) + ending_of(words)
+    return np.where(placed[at] == key, at, out) if len(placed) else out
 
 
 def head_cutoff(counts: DataFrame, head: int) -> int:
@@ -136,6 +149,15 @@ def head_cutoff(counts: DataFrame, head: int) -> int:
     return high
 
 
+def most_frequent(counts: DataFrame, head: int) -> Column:
+    """Which words of ``counts`` are the ``head`` most frequent; of those that tie at the last count, about as many as have room, by hash."""
+    cutoff = head_cutoff(counts, head)
+    above, ties = counts.agg(F.count_if(F.col("c") >= cutoff), F.count_if(F.col("c") == cutoff - 1)).first()
+    room = (head - above) / ties * 0.99 if ties else 0.0
+    draw = F.pmod(F.xxhash64("word"), F.lit(1 << 30))
+    return (F.col("c") >= cutoff) | ((F.col("c") == cutoff - 1) & (draw < int(room * (1 << 30))))
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -192,127 +214,82 @@ def best_moves(unit: np.ndarray, side: np.ndarray, near: np.ndarray, n: np.ndarr
     return np.where(stay, old, best), np.where(stay, 0.0, gain)
 
 
-def _whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of rows sorted by the first of them, cut between its values."""
-    held, rows, least = [], 0, _ROWS
-    for batch in batches:
-        held.append([np.asarray(c) for c in batch.columns])
-        rows += batch.num_rows
-        if rows >= least:
-            columns = [np.concatenate(c) for c in zip(*held)]
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))
-            if cut:
-                yield [c[:cut] for c in columns]
-            held, rows = [[c[cut:] for c in columns]], rows - cut
-            least = max(_ROWS, 2 * rows)
-    if rows:
-        yield [np.concatenate(c) for c in zip(*held)]
-
-
-def _near_classes(rows: DataFrame, classes: DataFrame, few: DataFrame, small: bool) -> DataFrame:
-    """``rows`` (w, v, ...) with the class ``near`` of v, null for none. The ``few`` hot keys never meet in one task."""
-    if small:
-        return rows.join(F.broadcast(classes.select(F.col("key").alias("v"), F.col("class").alias("near"))), "v", "left")
-    hot = rows.join(F.broadcast(few.select(F.col("key").alias("v"), F.col("class").alias("near"))), "v", "left")
-    met = hot.where("near IS NULL").drop("near").join(classes.select(F.col("key").alias("v"), F.col("class").alias("near")), "v", "left")
-    return hot.where("near IS NOT NULL").unionByName(met)
-
-
-def _moved(rest: DataFrame, classes: DataFrame, few: DataFrame, pairs: np.ndarray, small: bool, turn: int) -> DataFrame:
-    """(key, old, best, gain, draw) for every word of ``rest``: where it would go. ``rest`` is sorted by word within partitions."""
-    rows = _near_classes(rest, classes, few, small)
-    own_class = classes.select(F.col("key").alias("w"), F.col("class").alias("old"))
-    if small:
-        rows = rows.join(F.broadcast(own_class), "w", "left")
-    else:
-        rows = rows.repartition("w").join(own_class, "w", "left").sortWithinPartitions("w")
-    none = lambda c: F.coalesce(c, F.lit(-1)).cast("long").alias(c)
-    rows = rows.select("w", "v", F.col("side").cast("long").alias("side"), "n", none("near"), none("old"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for w, v, side, n, near, old in _whole_words(batches):
-            first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-            unit = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(w))))
-            self_ = w == v
-            own = np.bincount(unit, weights=n * (self_ & (side == 0)), minlength=len(first))
-            use = ~self_ & (near >= 0)
-            best, gain = best_moves(unit[use], side[use], near[use], n[use], own, old[first], pairs)
-            alone = (old[first] < 0) & (np.bincount(unit, weights=use, minlength=len(first)) == 0)
-            best = np.where(alone, w[first] % (len(pairs) - 1), best)
-            yield pa.RecordBatch.from_arrays([pa.array(w[first]), pa.array(old[first]), pa.array(best.astype(np.int64)), pa.array(gain), pa.array(_draws(w[first], turn))], names=["key", "old", "best", "gain", "draw"])
-
-    return saved(rows.mapInArrow(run, "key bigint, old bigint, best bigint, gain double, draw double"), "class-moves")
-
-
-def _class_pairs(bigrams: DataFrame, classes: DataFrame, few: DataFrame, side: int, small: bool) -> np.ndarray:
-    rows = bigrams.withColumnsRenamed({"a": "w", "b": "v"})
-    rows = _near_classes(rows, classes, few, small).select(F.col("w").alias("v"), F.col("near").alias("right"), "n")
-    found = _near_classes(rows, classes, few, small).groupBy("near", "right").agg(F.sum("n").alias("n")).where("near IS NOT NULL AND right IS NOT NULL").toArrow()
-    out = np.zeros((side, side))
-    out[np.asarray(found.column("near")).astype(np.int64), np.asarray(found.column("right")).astype(np.int64)] = np.asarray(found.column("n"))
-    return out
-
-
 def _draws(keys_: np.ndarray, turn: int) -> np.ndarray:
     """Number from 0 to 1 of each key in each round."""
     return W.mix(keys_.astype(np.int64).view(np.uint64) + W.mix(np.array([turn + 1]))) / 2.0**64
 
 
-def _settled(state, pairs_of, propose, move):
-    """Rounds of moves until no word alone can raise the likelihood; the last state and its class pairs.
+def _settled(state, pairs_of, propose, move, stop: float = 0.0):
+    """Rounds of moves until one raises the likelihood by less than ``stop`` of what was won so far, or until no word alone can raise it.
 
     Of all that would gain, ``SHARE`` move at once, chosen by a hash, if that raises the likelihood; else half as many, down to the one
-    that gains most. So the likelihood rises in each round.
+    that gains most. So the likelihood rises in each round. Returns the last state and its class pairs.
     """
-    between, share, turn, moving = pairs_of(state), SHARE, 0, True
-    while moving:
+    between, share, turn, gained = pairs_of(state), SHARE, 0, 1.0
+    single = likelihood(between.sum().reshape(1, 1))
+    while gained > max(stop * (likelihood(between) - single), 0.0) or not turn:
         moves, movers = propose(state, between, turn)
-        moving, turn = False, turn + 1
-        while movers and not moving:
+        gained, turn = 0.0, turn + 1
+        while movers:
             alone = share * movers < 1
             tried = move(state, moves, None if alone else share)
             after = pairs_of(tried)
-            if likelihood(after) > likelihood(between):
-                state, between, share, moving = tried, after, min(SHARE, 2 * share), True
-            elif alone:  # the gain is below what sums of this size resolve
+            gain = likelihood(after) - likelihood(between)
+            if gain > 0:
+                state, between, share, gained = tried, after, min(SHARE, 2 * share), gain
                 break
-            else:
-                share /= 2
+            if alone:  # the gain is below what sums of this size resolve
+                break
+            share /= 2
     return state, between
 
 
+def _class_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, of: np.ndarray, side: int) -> np.ndarray:
+    return np.bincount(of[a].astype(np.int64) * side + of[b], weights=n, minlength=side * side).reshape(side, side)
+
+
+def _best_of_chunk(w: np.ndarray, v: np.ndarray, at: np.ndarray, n: np.ndarray, of: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, best class, gain) of the units of whole rows (w, v, side, n) sorted by w; ``of`` has the class of every unit, -1 for none."""
+    first = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else np.zeros(0, np.int64)
+    units, best, gain = w[first], [], []
+    bounds = np.append(first, len(w))
+    for x in range(0, len(units), 4096):
+        y = min(x + 4096, len(units))
+        rows = slice(bounds[x], bounds[y])
+        unit = np.repeat(np.arange(y - x), np.diff(bounds[x : y + 1]))
+        self_, near = w[rows] == v[rows], of[v[rows]].astype(np.int64)
+        own = np.bincount(unit, weights=n[rows] * (self_ & (at[rows] == 0)), minlength=y - x)
+        use = ~self_ & (near >= 0)
+        found = best_moves(unit[use], at[rows][use].astype(np.int64), near[use], n[rows][use], own, of[units[x:y]].astype(np.int64), pairs)
+        # a unit that meets none of those with a class begins in any
+        lost = (of[units[x:y]] < 0) & (np.bincount(unit, weights=use, minlength=y - x) == 0)
+        best.append(np.where(lost, units[x:y] % (len(pairs) - 1), found[0]))
+        gain.append(found[1])
+    none = [np.zeros(0)]
+    return units, np.concatenate(best or none).astype(np.int64), np.concatenate(gain or none)
+
+
 def exchanged_rows(a: np.ndarray, b: np.ndarray, n: np.ndarray, keys_: np.ndarray, group: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes after exchange from ``group``, and their pairs, for bigrams (a, b, n) of units; the unit after the last one is the end."""
+    """Classes after exchange from ``group``, and their pairs, for bigrams (a, b, n) of few units; the unit after the last one is the end."""
     units, side_ = len(group), classes + 1
-    w, v, side = np.concatenate([a, b]), np.concatenate([b, a]), np.repeat([0, 1], len(a))
+    w, v, side, count = np.concatenate([a, b]), np.concatenate([b, a]), np.repeat([0, 1], len(a)), np.tile(n, 2)
     order = np.flatnonzero(w < units)
     order = order[np.argsort(w[order], kind="stable")]
-    w, v, side, count = w[order], v[order], side[order], np.tile(n, 2)[order]
-    self_ = w == v
-    own = np.bincount(w, weights=count * (self_ & (side == 0)), minlength=units)
-    w, v, side, count = (x[~self_] for x in (w, v, side, count))
-    blocks = [(i, min(i + 4096, units)) for i in range(0, units, 4096)]
-    cuts = [np.searchsorted(w, i) for i in blocks]
+    w, v, side, count = w[order], v[order], side[order], count[order]
     ended = lambda g: np.append(g, classes)
 
-    def pairs_of(g: np.ndarray) -> np.ndarray:
-        g = ended(g)
-        return np.bincount(g[a] * side_ + g[b], weights=n, minlength=side_ * side_).reshape(side_, side_)
-
     def propose(g: np.ndarray, between: np.ndarray, turn: int):
-        near = ended(g)[v]
-        found = [best_moves(w[x:y] - i, side[x:y], near[x:y], count[x:y], own[i:j], g[i:j], between) for (i, j), (x, y) in zip(blocks, cuts)]
-        best, gain = (np.concatenate([f[k] for f in found]) if found else np.zeros(0) for k in (0, 1))
-        return (best, gain, _draws(keys_, turn)), np.count_nonzero(gain)
+        at, best, gain = _best_of_chunk(w, v, side, count, ended(g), between)
+        return (at, best, gain, _draws(keys_[at], turn)), np.count_nonzero(gain)
 
     def move(g: np.ndarray, moves, share: float | None) -> np.ndarray:
-        best, gain, draw = moves
-        picked = np.lexsort((keys_, gain))[-1:] if share is None else np.flatnonzero(draw < share)
+        at, best, gain, draw = moves
+        picked = np.lexsort((keys_[at], gain))[-1:] if share is None else np.flatnonzero(draw < share)
         g = g.copy()
-        g[picked] = best[picked]
+        g[at[picked]] = best[picked]
         return g
 
-    return _settled(group, pairs_of, propose, move)
+    return _settled(group, lambda g: _class_pairs(a, b, n, ended(g), side_), propose, move)
 
 
 def exchanged(pairs: np.ndarray, classes: int) -> np.ndarray:
@@ -322,107 +299,140 @@ def exchanged(pairs: np.ndarray, classes: int) -> np.ndarray:
     return exchanged_rows(a, b, pairs[a, b], at, at % classes, classes)[0]
 
 
-def clustered(bigrams: DataFrame, core: np.ndarray, classes: int, small: bool, local: int) -> tuple[DataFrame, np.ndarray]:
-    """(key, class) of every word, and the counts of all class pairs, ends last: exchange over all bigrams until no word moves.
+_CHUNK = "w binary, v binary, side binary, n binary"
+_KINDS = (np.int32, np.int32, np.int8, np.int64)
+
+
+def _chunks(bigrams: DataFrame, end: int) -> DataFrame:
+    """All bigrams once from each of their units, as packed columns of about ``CHUNK`` rows each; the rows of a unit are in one chunk."""
+    both = bigrams.select(F.col("i").alias("w"), F.col("j").alias("v"), F.lit(0).cast("byte").alias("side"), "n")
+    both = both.unionAll(bigrams.select(F.col("j").alias("w"), F.col("i").alias("v"), F.lit(1).cast("byte").alias("side"), "n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def packed(columns: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([c.astype(k).tobytes()], pa.binary()) for c, k in zip(columns, _KINDS)], names=["w", "v", "side", "n"])
+
+        for batch in batches:
+            held.append([np.asarray(c) for c in batch.columns])
+            rows += batch.num_rows
+            if rows >= CHUNK and held[-1][0][0] != held[-1][0][-1]:
+                columns = [np.concatenate(c) for c in zip(*held)]
+                cut = int(np.searchsorted(columns[0], columns[0][-1]))
+                yield packed([c[:cut] for c in columns])
+                held, rows = [[c[cut:] for c in columns]], rows - cut
+        if rows:
+            yield packed([np.concatenate(c) for c in zip(*held)])
+
+    dealt = both.where(F.col("w") != end).repartition("w").sortWithinPartitions("w")
+    return saved(dealt.mapInArrow(run, _CHUNK), "chunks")
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    for row in zip(*batch.columns):
+        yield tuple(np.frombuffer(c.as_buffer(), k) for c, k in zip(row, _KINDS))
+
+
+def clustered(bigrams: DataFrame, placed: np.ndarray, core: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class of every unit, and the counts of all class pairs, ends last: exchange over all bigrams, each round two scans of packed rows.
 
-    The most frequent words (``core``) are clustered first, and all others begin where they fit those best. Up to ``local`` bigrams the
-    rounds run on the driver.
+    The most frequent words (``core``, as units) are clustered first, and all others begin where they fit those best. A unit that no bigram has is in class -1.
     """
-    spark, side = bigrams.sparkSession, classes + 1
-    core = np.sort(core)
-    core_table = F.broadcast(spark.createDataFrame([(int(k), i) for i, k in enumerate(core)] + [(END, len(core))], "key bigint, id bigint"))
-    ids = lambda name, at: core_table.select(F.col("key").alias(at), F.col("id").alias(name))
-    found = bigrams.join(ids("i", "a"), "a").join(ids("j", "b"), "b").select("i", "j", "n").toArrow()
-    i, j, n = (np.asarray(found.column(c)).astype(np.int64) for c in ("i", "j", "n"))
-    group, core_pairs = exchanged_rows(i, j, n, core, np.arange(len(core)) % classes, classes)
-
-    if bigrams.limit(local + 1).count() <= local:
-        table = bigrams.toArrow()
-        a, b, n = (np.asarray(table.column(c)).astype(np.int64) for c in ("a", "b", "n"))
-        known = np.unique(np.concatenate([a, b]))
-        known = known[known != END]
-        end = len(known)
-        code = lambda k: np.where(k == END, end, np.searchsorted(known, k))
-        a, b = code(a), code(b)
-        near = np.full(end + 1, -1)
-        near[code(core)], near[end] = group, classes
-        w, v, at = np.concatenate([a, b]), np.concatenate([b, a]), np.repeat([0, 1], len(a))
-        use = (near[v] >= 0) & (near[w] < 0)
-        order = np.flatnonzero(use)[np.argsort(w[use], kind="stable")]
-        w, v, at, m = w[order], v[order], at[order], np.tile(n, 2)[order]
-        first = known % classes
-        for x in range(0, end, 4096):
-            p, q = np.searchsorted(w, (x, min(x + 4096, end)))
-            some = np.unique(w[p:q])
-            unit = np.searchsorted(some, w[p:q])
-            first[some] = best_moves(unit, at[p:q], near[v[p:q]], m[p:q], np.zeros(len(some)), np.full(len(some), -1), core_pairs)[0]
-        first[code(core)] = group
-        last, between = exchanged_rows(a, b, n, known, first, classes)
-        rows = pa.table({"key": pa.array(known, pa.int64()), "class": pa.array(last.astype(np.int64))})
-        return spark.createDataFrame(rows), between
-
-    both = bigrams.select(F.col("a").alias("w"), F.col("b").alias("v"), F.lit(0).alias("side"), "n")
-    both = both.unionAll(bigrams.select(F.col("b").alias("w"), F.col("a").alias("v"), F.lit(1).alias("side"), "n"))
-    hot = both.join(ids("i", "w"), "w").where(F.col("i") < len(core))
-    rest = both.join(ids("i", "w"), "w", "left_anti").repartition("w").sortWithinPartitions("w").persist(StorageLevel.DISK_ONLY)
-
-    def with_core(words: DataFrame, group: np.ndarray) -> tuple[DataFrame, DataFrame, np.ndarray]:
-        few = spark.createDataFrame([(int(k), int(g)) for k, g in zip([*core, END], [*group, classes])], "key bigint, class bigint")
-        return words.unionByName(few), few, group
-
-    def pairs_of(state) -> np.ndarray:
-        return _class_pairs(bigrams, state[0], state[1], side, small)
-
-    def propose(state, between: np.ndarray, turn: int):
-        now, few, group = state
-        moves = _moved(rest, now, few, between, small, turn)
-        met = _near_classes(hot, now, few, small)
-        met = met.groupBy("i", "side", "near", (F.col("w") == F.col("v")).alias("own")).agg(F.sum("n").alias("n")).toArrow()
-        i, at, near, n = (np.asarray(met.column(c)).astype(np.int64) for c in ("i", "side", "near", "n"))
-        self_ = np.asarray(met.column("own")).astype(bool)
-        own = np.bincount(i, weights=n * (self_ & (at == 0)), minlength=len(core))
-        best, gain = best_moves(i[~self_], at[~self_], near[~self_], n[~self_], own, group, between)
-        some = moves.agg(F.count_if(F.col("gain") > 0), F.max(F.when(F.col("gain") > 0, F.struct("gain", "key")))).first()
-        return (moves, best, gain, some[1], _draws(core, turn)), some[0] + np.count_nonzero(gain)
-
-    def move(state, found, share: float | None):
-        moves, best, gain, top, draw = found
-        if share is None:
-            ours = max(((g, k) for g, k in zip(gain, core) if g > 0), default=(0.0, 0))
-            theirs = (top["gain"], top["key"]) if top else (0.0, 0)
-            picked, mine = (F.lit(False), core == ours[1]) if ours > theirs else (F.col("key") == theirs[1], np.zeros(len(core), bool))
-        else:
-            picked, mine = F.col("draw") < share, draw < share
-        words = moves.select("key", F.when(picked, F.col("best")).otherwise(F.col("old")).alias("class"))
-        return with_core(words, np.where(mine, best, state[2]))
-
-    few = with_core(spark.createDataFrame([], "key bigint, class bigint"), group)[1]
-    seed = _moved(rest, few, few, core_pairs, True, 0)
-    state, between = _settled(with_core(seed.select("key", F.col("best").alias("class")), group), pairs_of, propose, move)
-    now = saved(state[0], "classes")
-    rest.unpersist()
-    return now, between
-
-
-def learned(docs: DataFrame, classes: int | None = None, core: int = CORE, placed: int = PLACED, head: int = HEAD, local: int = LOCAL) -> tuple[Model, DataFrame]:
+    spark, side, end = bigrams.sparkSession, classes + 1, len(placed) + ENDINGS
+    chunks = _chunks(bigrams, end)
+
+    def scanned(rows_of: Callable[[tuple, np.ndarray], pa.RecordBatch], schema: str, of: np.ndarray, added: bool = False) -> pa.Table:
+        held = spark.sparkContext.broadcast(of)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for chunk in _unpacked(batch):
+                    yield rows_of(chunk, held.value)
+
+        found = chunks.mapInArrow(run, schema)
+        table = (found.groupBy("cell").agg(F.sum("n").alias("n")) if added else found).toArrow()
+        held.destroy()
+        return table
+
+    def pairs_of(of: np.ndarray) -> np.ndarray:
+        """From the left end of each bigram; those that begin with a text's end, from the right one."""
+
+        def rows_of(chunk: tuple, of: np.ndarray) -> pa.RecordBatch:
+            w, v, at, n = chunk
+            a, b = np.where(at == 0, w, v), np.where(at == 0, v, w)
+            use = (at == 0) | (v == end)
+            found = _class_pairs(a[use], b[use], n[use], of, side).ravel()
+            cells = np.flatnonzero(found)
+            return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(found[cells].astype(np.int64))], names=["cell", "n"])
+
+        table = scanned(rows_of, "cell bigint, n bigint", of, added=True)
+        out = np.zeros(side * side)
+        out[np.asarray(table.column("cell"))] = np.asarray(table.column("n"))
+        out[-1] += ends_alone
+        return out.reshape(side, side)
+
+    def propose(of: np.ndarray, between: np.ndarray, turn: int):
+        def rows_of(chunk: tuple, of: np.ndarray) -> pa.RecordBatch:
+            at, best, gain = _best_of_chunk(*chunk, of, between)
+            some = (gain > 0) | (of[at] < 0)
+            return pa.RecordBatch.from_arrays([pa.array(at[some]), pa.array(best[some].astype(np.int16)), pa.array(gain[some])], names=["unit", "best", "gain"])
+
+        table = scanned(rows_of, "unit int, best short, gain double", of)
+        at, best, gain = (np.asarray(table.column(c)) for c in ("unit", "best", "gain"))
+        return (at, best, gain, _draws(at.astype(np.int64) + 1, turn)), int(np.count_nonzero(gain > 0))
+
+    def move(of: np.ndarray, moves, share: float | None) -> np.ndarray:
+        at, best, gain, draw = moves
+        picked = np.lexsort((at, gain))[-1:] if share is None else np.flatnonzero(draw < share)
+        of = of.copy()
+        of[at[picked]] = best[picked]
+        return of
+
+    ends_alone = bigrams.where((F.col("i") == end) & (F.col("j") == end)).agg(F.sum("n")).first()[0] or 0
+    ids = F.broadcast(spark.createDataFrame([(int(u), k) for k, u in enumerate([*core, end])], "unit int, id int"))
+    found = bigrams.join(ids.withColumnsRenamed({"unit": "i", "id": "a"}), "i").join(ids.withColumnsRenamed({"unit": "j", "id": "b"}), "j").select("a", "b", "n").toArrow()
+    a, b, n = (np.asarray(found.column(c)).astype(np.int64) for c in ("a", "b", "n"))
+    group, core_pairs = exchanged_rows(a, b, n, core.astype(np.int64) + 1, np.arange(len(core)) % classes, classes)
+    of = np.full(end + 1, -1, np.int16)
+    of[core], of[end] = group, classes
+    seed = propose(of, core_pairs, 0)[0]
+    fresh = of[seed[0]] < 0
+    of[seed[0][fresh]] = seed[1][fresh]
+    return _settled(of, pairs_of, propose, move, STOP)
+
+
+def learned(docs: DataFrame, classes: int | None = None, core: int = CORE, placed: int = PLACED, head: int = HEAD, least: int = LEAST) -> tuple[Model, DataFrame]:
     """The model and the table (word, c, class), from all documents that are not held out.
 
-    The counts and classes of all words stay tables, and so do the bigrams; ``classes`` follows the number of words unless given. To the
-    driver come up to ``head`` most frequent words (all that reach a common count), the contexts of ``core`` words in terms of classes, the
-    pairs of classes, and one class for each of ``ENDINGS`` endings. With up to ``placed`` words the table of classes is broadcast,
-    and up to ``local`` bigrams come to the driver whole.
+    The counts of all words and of all bigrams stay tables; ``classes`` follows the number of words unless given. Words that occur ``least``
+    times, the ``placed`` most frequent of them, take part in exchange one by one, rarer ones with all rare words of their ending, so
+    that no class is chosen from a single context. To the driver come the keys and classes of those words, the moves of a round, bigrams
+    among ``core`` words, pairs of classes, and up to ``head`` words with counts: all of bounded size, at most 10 bytes a word.
     """
+    spark = docs.sparkSession
     training = docs.where(~held_out(F.col("doc_id"))).select("text")
     counts = word_counts(training)
     total = counts.agg(F.sum("c"), F.count("*")).first()
     ends = training.count()
     if classes is None:
         classes = max(CLASSES, round(total[1] ** GROWTH))
-    in_head = (F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= head_cutoff(counts, head))
-    top = counts.where((F.octet_length("word") <= HEAD_BYTES) & (F.col("c") >= head_cutoff(counts, core))).select("key").distinct().toArrow()
-    table, pairs = clustered(bigram_counts(training), np.asarray(top.column("key")), classes, total[1] <= placed, local)
-    counts = saved(counts.join(table, "key").select("word", "c", "ending", "class"), "word-classes")
-    top = counts.where(in_head).select("word", "c", "class").toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+    short = F.octet_length("word") <= HEAD_BYTES
+    key_of = lambda where: np.unique(np.asarray(counts.where(where).select("key").toArrow().column("key")).astype(np.int64))
+    own = key_of((F.col("c") >= least) & most_frequent(counts, placed))
+    units = spark.sparkContext.broadcast(own)
+    first = key_of((F.col("c") >= least) & short & most_frequent(counts, core))
+    of, pairs = clustered(unit_bigrams(training, units), own, np.searchsorted(own, np.intersect1d(first, own)), classes)
+
+    classes_of = spark.sparkContext.broadcast(of)
+
+    def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = classes_of.value[_units(batch.column(0), units.value)].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=["word", "c", "ending", "class"])
+
+    counts = saved(counts.select("word", "c", "ending").mapInArrow(with_class, "word string, c bigint, ending bigint, class bigint"), "word-classes")
+    top = counts.where(short & most_frequent(counts, head)).select("word", "c", "class").toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     words = pa.concat_arrays(top.column("word").chunks) if top.num_rows else pa.array([], pa.string())
     model = Model(words.cast(pa.string()), np.asarray(top.column("c")).astype(np.int64), (total[0] or 0) + ends, total[1] + (ends > 0), ends)
     model.head_class = np.asarray(top.column("class")).astype(np.int64)
@@ -433,6 +443,8 @@ def learned(docs: DataFrame, classes: int | None = None, core: int = CORE, place
     model.ending_class = np.full(ENDINGS, int(model.class_words[:classes].argmax()))
     order = np.lexsort((-group, n))  # the last of an ending stays: the class of most of its words
     model.ending_class[ending[order]] = group[order]
+    merged = of[len(own) : len(own) + ENDINGS].astype(np.int64)  # endings of rare words have a class from all their contexts
+    model.ending_class = np.where(merged >= 0, merged, model.ending_class)
     model.transition = np.log10((pairs + SMOOTH) / (pairs.sum(axis=1, keepdims=True) + SMOOTH * (classes + 1)))
     return model, counts.select("word", "c", "class")
 

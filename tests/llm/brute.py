@@ -9,6 +9,8 @@ import re
 import string
 import zlib
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 BLANKS = " \t\n\x0b\x0c\r"
@@ -100,8 +102,27 @@ def secret_spans(text):
     return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found))
 
 
+def paragraphs(text, long=1000, every=48):
+    """Lines; long ones are cut after each word whose hash is a multiple of ``every``."""
+    out = []
+    for line in text.split("\n"):
+        if len(line) <= long:
+            out.append(line)
+            continue
+        piece = []
+        for word in line.split(" "):
+            piece.append(word)
+            h = xxhash.xxh64_intdigest(word.encode(), 42)
+            if (h - (h >> 63 << 64)) % every == 0:  # signed, as in SQL
+                out.append(" ".join(piece))
+                piece = []
+        if piece:
+            out.append(" ".join(piece))
+    return out
+
+
 def likeness(a, b):
-    x, y = set(a.split("\n")), set(b.split("\n"))
+    x, y = set(paragraphs(a)), set(paragraphs(b))
     return len(x & y) / len(x | y)
 
 

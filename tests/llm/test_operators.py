@@ -1,6 +1,7 @@
 """Each operator against a plain Python version, on odd rows, and on an empty table."""
 
 import collections
+import math
 import random
 import string
 import zlib
@@ -63,6 +64,67 @@ def test_quality_repeat_and_line_fences_reject(spark):
     assert {i for i, r in rows.items() if not r["kept"]} == {5000, 5001}
 
 
+def _worded(i, n, repeated=0, symbols=0):
+    some = [f"w{(i * 7919 + k * 104729) % 99991}" + ("#" if k < symbols else "") for k in range(n)]
+    return " ".join(some + some[:repeated])
+
+
+def test_quality_judges_small_and_large_groups_alike(spark):
+    """A source whose texts hold many symbols is kept, however many documents it has; so are documents that repeat a little."""
+    plain = [(i, _worded(i, 80), "en", "web") for i in range(1500)]
+    for n in (20, 199, 200):
+        code = [(10_000 + i, _worded(i, 60, symbols=50), "en", "code") for i in range(n)]
+        kept = by_id(quality.judged(spark.createDataFrame(plain + code, "doc_id long, text string, lang string, source string")), "kept")
+        assert all(k for k, in kept.values())
+    mild = [(20_000, _worded(1, 100, 8), "en", "web"), (20_001, _worded(2, 100, 9), "en", "web")]
+    for some in (mild, mild[:1], mild + [(30_000 + i, _worded(50 + i, 100, 8), "en", "web") for i in range(18)]):
+        kept = by_id(quality.judged(spark.createDataFrame(plain[:400] + some, "doc_id long, text string, lang string, source string")), "kept")
+        assert all(k for k, in kept.values())
+
+
+def test_quality_verdicts_equal_plain_python(docs):
+    """Every verdict from fences made anew: sketches as counters, merged and read in plain Python."""
+    rows = [r.asDict() for r in quality.judged(docs).collect()]
+    shares = lambda r: {
+        "symbol_share": r["n_symbols"] / r["word_chars"] if r["word_chars"] else 0.0,
+        "dup_line_share": r["n_dup_lines"] / r["n_lines"] if r["n_lines"] else 0.0,
+        "repeat_share": r["n_repeat_words"] / r["n_words"] if r["n_words"] else 0.0,
+        "word_length": r["word_chars"] / r["n_words"] if r["n_words"] else 0.0,
+    }
+    bucket = lambda x: math.ceil(math.log(x) / math.log(1.02)) if x > 0 else -(10**9)
+    middle = lambda b: 0.0 if b == -(10**9) else 2 * 1.02**b / 2.02
+    fences = {}
+    for name, least in quality.FEATURES.items():
+        own, lang, every = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter), collections.Counter()
+        for r in rows:
+            if not r["base_failed"]:
+                b = bucket(shares(r)[name])
+                for c in (own[r["lang"], r["source"]], lang[r["lang"]], every):
+                    c[b] += 1
+        for (lg, source), counts in own.items():
+            n = sum(lang[lg].values())
+            weight = {b: counts[b] * 10**6 + math.floor(50e6 * ((lang[lg][b] + 50 * (every[b] / sum(every.values()))) / (n + 50))) for b in every}
+            upto, total, zeros, found = 0, sum(weight.values()), weight.get(-(10**9), 0), {}
+            one = math.floor(50e6 * ((1 + 50 * (1.0 / sum(every.values()))) / (n + 50))) + 10**6 + 1
+            rank = total - zeros - max((total - zeros) // 100, one)
+            for b in sorted(weight):
+                upto += weight[b]
+                if 4 * upto >= total:
+                    found.setdefault("q25", middle(b))
+                if 4 * upto >= 3 * total:
+                    found.setdefault("q75", middle(b))
+                if b > -(10**9) and rank > 0 and upto - zeros >= rank:
+                    found.setdefault("upper", 1.02**b)
+            spread = max(found["q75"] - found["q25"], least) * 4
+            fences[lg, source, name] = (found["q25"] - spread, found["q75"] + spread) if name == "word_length" else (-1.0, max(1.5 * found.get("upper", 0), least))
+    for r in rows:
+        ok = not r["base_failed"]
+        for name, x in shares(r).items():
+            low, high = fences.get((r["lang"], r["source"], name), (-1.0, math.inf))
+            ok = ok and low <= x <= high
+        assert r["kept"] == ok
+
+
 def test_quality_passes_columns_and_empty(odd, none):
     assert quality.filtered(odd).columns == odd.columns
     assert quality.judged(none).count() == 0
@@ -175,6 +237,14 @@ def test_peeling_recovers_or_fails(spark):
     assert {k: v for k, v in large.items() if k} == {1: 2, 2: 4, 4: 8, 200: 400}
 
 
+def test_fingerprints_of_texts_of_one_line(spark):
+    """A text without line feeds has paragraphs too: half of it given away, about a third of all is shared."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(4000))) for i in range(12)]
+    got = fingerprints.fingerprinted(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(0.2 < r["near_edited"] < 0.45 and r["near_next"] < 0.05 for r in got)
+
+
 def test_fingerprints_one_and_none(spark, none):
     one = spark.createDataFrame([(5, "a\nb")], "doc_id long, text string")
     assert fingerprints.fingerprinted(one).first()["near_next"] == 1.0
@@ -214,8 +284,8 @@ def test_substring_dedup(which, request):
     for r in got:
         if r["doc_id"] is not None:
             assert (r["n_words"], r["n_removed"], brute.sha(r["text"])) == want[r["doc_id"]]
-            covered = {p for s in r["spans"] for p in range(s["start"], s["start"] + s["words"])}
-            assert len(covered) == r["n_removed"] and all(s["source"] < r["doc_id"] and s["words"] >= 50 for s in r["spans"])
+            covered = [p for s in r["spans"] for p in range(s["start"], s["start"] + s["words"])]
+            assert len(covered) == len(set(covered)) == r["n_removed"] and all(s["source"] < r["doc_id"] for s in r["spans"])
 
 
 def test_substring_dedup_chains(spark, none):
@@ -237,6 +307,73 @@ def test_substring_dedup_chains(spark, none):
     assert substring_dedup.dedup_substrings(none).count() == 0
 
 
+def _parsed_by_hand(rows, size):
+    """Greedy parse, word by word: the windows of one source that follow each other are a match; at each word the match that goes on farthest."""
+    source = {}
+    for start, n, who in rows:
+        for i in range(start, start + n):
+            source.setdefault(i, set()).add(who)
+    ends = {}
+    for i in sorted(source, reverse=True):
+        for who in source[i]:
+            ends[i, who] = ends.get((i + 1, who), i + size)
+    out, at = [], 0
+    while at <= max(source, default=-1) + size:
+        open_ = [(-end, who) for (i, who), end in ends.items() if i <= at < end]
+        if open_:
+            end, who = min(open_)
+            out.append({"start": at, "words": -end - at, "source": who})
+            at = -end
+        else:
+            at += 1
+    return out
+
+
+def test_greedy_parse_takes_the_longest_match():
+    rng = random.Random(4)
+    for _ in range(300):
+        rows = [(rng.randrange(60), rng.randrange(1, 12), rng.randrange(4)) for _ in range(rng.randrange(1, 9))]
+        assert substring_dedup.greedy_parse(np.array(rows), 6) == _parsed_by_hand(rows, 6)
+    assert substring_dedup.greedy_parse(np.zeros((0, 3), int), 6) == []
+
+
+def test_substring_spans_are_words_of_their_sources(spark):
+    rng = random.Random(8)
+    base = [[f"{c}{k}" for k in range(60)] for c in "abcd"]
+    rows = []
+    for i in range(30):
+        own = []
+        for _ in range(3):
+            part = rng.choice(base)
+            a = rng.randrange(30)
+            own += part[a : a + rng.randrange(8, 30)] + [f"u{i}"] * rng.randrange(2)
+        rows.append((i, " ".join(own)))
+    words = {i: brute.words(t) for i, t in rows}
+    got = by_id(substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), window=6), "n_removed", "spans")
+    want = brute.cut_windows(rows, 6)
+    some = 0
+    for i, (removed, spans) in got.items():
+        assert removed == want[i][1] == sum(s["words"] for s in spans)
+        for s in spans:
+            part, of = words[i][s["start"] : s["start"] + s["words"]], words[s["source"]]
+            assert s["source"] < i and any(of[k : k + len(part)] == part for k in range(len(of)))
+            some += 1
+    assert some > 40
+
+
+def test_line_dedup_is_linear_in_lost_lines(spark):
+    """Documents that lose many lines are joined line by line; what is left is the same, in the same order."""
+    line = lambda k: f"line number {k} that stands in every one of the documents"
+    rows = [(i, "\n".join([line((k * 7 + i) % 150) for k in range(150)] + [f"own {i}", "", line(3)])) for i in range(6)] + [(9, line(1)), (None, line(2)), (2, "only\n" + line(5))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.line_dedup([(-1 if i is None else i, t) for i, t in rows])
+    texts = sorted((r["doc_id"] or 0, r["n_lines"], r["n_dropped"], r["text"]) for r in line_dedup.dedup_lines(frame, looked_up=1_000_000).collect())
+    for limit in (0, 64):
+        got = line_dedup.dedup_lines(frame, looked_up=limit).collect()
+        assert sorted((r["doc_id"] or 0, r["n_lines"], r["n_dropped"], r["text"]) for r in got) == texts
+    assert all((r[1], r[2], r[3]) == want[r[0]] for r in texts if r[0] not in (0, 2))
+
+
 # 7 ---------------------------------------------------------------------------
 
 
@@ -290,6 +427,13 @@ def test_near_dedup_odd(odd, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_dedup_of_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text + " more"), (3, "alone in here with a few words"), (3, "alone in here with a few words"), (None, text), (None, text)]
+    left = near_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"] or 0) for r in left) == [0, 0, 1, 3]
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(links).collect()}
@@ -322,6 +466,22 @@ def test_secrets_model_adds_random_strings(odd, none, spark):
     assert secrets.with_secrets(none).count() == 0
 
 
+def test_secret_models_tell_names_from_random_strings(spark):
+    """Names of several kinds stay, strings drawn at random are found, the surer the longer they are."""
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choice(["ba", "con", "er", "ing", "lo", "ma", "ne", "tion", "ser", "ver", "pro", "st", "re", "al"]) for _ in range(rng.randrange(2, 4))) for _ in range(800)]
+    letters = string.ascii_letters + string.digits
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(200)) + (f" token={''.join(rng.choices(letters, k=30))}" if i % 3 == 0 else "")) for i in range(600)]
+    named = ["550e8400-E29B-41d4-A716-446655440000", "2024-01-15T10-30-00Z", "SGVsbG8gd29ybGQh", "AbstractBeanFactoryImpl", "ordinary_identifier_of_mine"]
+    rows += [(2000 + k, f"see {name} here") for k, name in enumerate(named)]
+    planted = {n: ["".join(rng.choices(letters, k=n)) for _ in range(60)] for n in (12, 16, 24)}
+    rows += [(10_000 + 100 * n + k, f"set {value} once") for n, values in planted.items() for k, value in enumerate(values)]
+    added = {r["doc_id"]: [s["value"] for s in r["added"]] for r in secrets.with_secrets(spark.createDataFrame(rows, "doc_id long, text string")).where("size(added) > 0").collect()}
+    assert not [i for i in added if i < 10_000]
+    share = {n: sum(10_000 + 100 * n + k in added for k in range(60)) / 60 for n in planted}
+    assert share[12] >= 0.6 and share[16] >= 0.8 and share[24] >= 0.95
+
+
 def test_secret_positions_count_code_points(spark):
     text = "né 日本 😀 password = 'abcdef.012345' password: token = \"abcdefghijkl\""
     frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
@@ -452,23 +612,84 @@ def _classes(table):
     return {r["word"]: r["class"] for r in table.collect()}
 
 
-def test_class_lm_clusters_every_word(spark):
+def test_class_lm_clusters_every_word(spark, monkeypatch):
     """Words of two kinds take turns, and all but a few are rare: with a core of four, every one of them ends in a class by its contexts."""
     rng = random.Random(5)
     kinds = [[f"{k}{i}x{i % 7}" for i in range(60)] for k in "ab"]
     texts = [(i, " ".join(rng.choice(kinds[j % 2]) for j in range(20))) for i in range(60)]
     frame = spark.createDataFrame(texts, "doc_id long, text string")
-    model, counts = class_lm.learned(frame, classes=2, core=4)
+    model, counts = class_lm.learned(frame, classes=2, core=4, least=1)
     of = _classes(counts)
     groups = [{of[w] for w in k if w in of} for k in kinds]
     assert sorted(map(len, groups)) == [1, 1] and groups[0] != groups[1]
-    # neither the head nor the way classes are joined changes a score
+    # the head does not change a score, nor do the sizes of what tasks are handed
     want = by_id(class_lm.scored(frame, model, counts), "score", "base_score")
-    for options in ({"local": 0}, {"local": 0, "placed": 0}, {"head": 0}):
-        got = by_id(class_lm.scored(frame, *class_lm.learned(frame, classes=2, core=4, **options)), "score", "base_score")
+    for chunk, head in ((1 << 17, 0), (50, class_lm.HEAD)):
+        monkeypatch.setattr(class_lm, "CHUNK", chunk)
+        got = by_id(class_lm.scored(frame, *class_lm.learned(frame, classes=2, core=4, least=1, head=head)), "score", "base_score")
         assert all(got[i] == pytest.approx(want[i]) for i in want)
 
 
+def _scores_by_hand(texts, of, ending, classes):
+    """{doc_id: log10 probability} from counts made anew, with the class of each word of training and of each ending."""
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in texts}
+    split = {i: brute.words(t, lower=True) for i, t in texts}
+    c = collections.Counter(w for i, w_ in split.items() if not held[i] for w in w_)
+    tokens, words = collections.Counter(), collections.Counter()
+    for w, n in c.items():
+        tokens[of[w]] += n
+        words[of[w]] += 1
+    steps = collections.Counter()
+    for i, w_ in split.items():
+        if not held[i]:
+            path = [classes, *(of[w] for w in w_), classes]
+            steps.update(zip(path, path[1:]))
+    leaving = collections.Counter()
+    for (a, _), n in steps.items():
+        leaving[a] += n
+    out = {}
+    for i, w_ in split.items():
+        path = [classes, *(of[w] if w in of else ending(w) for w in w_), classes]
+        out[i] = sum(math.log10((steps[a, b] + 0.5) / (leaving[a] + 0.5 * (classes + 1))) for a, b in zip(path, path[1:]))
+        out[i] += sum(math.log10((c[w] + 0.5) / (tokens[k] + 0.5 * (words[k] + 1))) for w, k in zip(w_, path[1:]))
+    return out
+
+
+def test_class_lm_scores_equal_sums_by_hand(docs, texts):
+    """Every score from class transitions and emissions counted in plain Python, with the classes that the model found."""
+    model, counts = class_lm.learned(docs, head=3000)
+    classes = len(model.transition) - 1
+    ending = lambda w: int(model.ending_class[class_lm.ending_of(pa.array([w]))[0]])
+    want = _scores_by_hand(texts, _classes(counts), ending, classes)
+    got = by_id(class_lm.scored(docs, model, counts), "score")
+    assert all(got[i][0] == pytest.approx(want[i]) for i in want)
+
+
+def test_class_lm_rounds_raise_the_likelihood(docs):
+    """Likelihood of the classes is that of a plain count of the bigrams, and above that of classes by ending alone."""
+    training = docs.where(~class_lm.held_out(class_lm.F.col("doc_id")))
+    counts = class_lm.word_counts(training)
+    own = np.unique([r["key"] for r in counts.where("c >= 5").collect()])
+    bigrams = class_lm.unit_bigrams(training, docs.sparkSession.sparkContext.broadcast(own))
+    of, pairs = class_lm.clustered(bigrams, own, np.arange(40), 24)
+    rows = [(r["i"], r["j"], r["n"]) for r in bigrams.collect()]
+    plain = np.zeros((25, 25))
+    for i, j, n in rows:
+        plain[of[i], of[j]] += n
+    assert np.array_equal(plain, pairs) and pairs.sum() == sum(n for _, _, n in rows)
+    first = np.arange(len(of)) % 24
+    first[-1] = 24
+    other = class_lm._class_pairs(*(np.array(x) for x in zip(*rows)), first, 25)
+    assert class_lm.likelihood(pairs) > class_lm.likelihood(other)
+
+
+def test_most_frequent_parts_ties(spark):
+    frame = spark.createDataFrame([(f"w{i}", c) for i, c in enumerate([9] * 3 + [5] * 2000 + [1] * 50)], "word string, c long")
+    some = frame.where(class_lm.most_frequent(frame, 1003))
+    assert some.where("c = 9").count() == 3 and 800 < some.count() <= 1080 and some.where("c = 1").count() == 0
+    assert frame.where(class_lm.most_frequent(frame, 5000)).count() == 2053
+
+
 def test_class_lm_best_moves_are_exact():
     rng = np.random.default_rng(3)
     pairs = rng.integers(0, 9, (12, 12)).astype(float)  # the last is the end of a text
