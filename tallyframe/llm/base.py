@@ -14,11 +14,20 @@ BLANKS = " \t\n\x0b\x0c\r"  # \x20 and \x09-\x0D
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20  # of rows that go to a Python worker at once, while a table is saved
+
+
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: lineage ends here, and lost executors lose nothing."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_dir(spark, purpose), spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:

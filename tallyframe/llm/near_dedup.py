@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import words as W
-from tallyframe.llm.base import bounded_broadcast, fresh, saved
+from tallyframe.llm.base import bounded_broadcast, fresh, saved, spread_join
 from tallyframe.llm.components import components
 
 SHINGLE = 5
@@ -24,6 +24,7 @@ BLOCK = 256  # documents of a list that are compared in one block
 CELLS_AT_ONCE = 4_000  # rows that one group of blocks holds, about
 SIGMAS = 5.0
 BROADCAST_IDS = 500_000
+BROADCAST_SKETCHES = 10_000
 _MARK = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -219,11 +220,43 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return saved(pairs.join(one, "a").join(other, "b").mapInArrow(check, "a long, b long"), "confirmed")
 
 
-def _lists(reps: DataFrame) -> DataFrame:
-    """(value, rep, many, hub) for each representative's listed numbers that another has as well, with the list's length and least member."""
-    rows = reps.select("rep", F.explode(F.array_distinct("listed")).alias("value"))
-    shared = rows.groupBy("value").agg(F.count("*").alias("many"), F.min("rep").alias("hub")).where("many > 1")
-    return saved(rows.join(shared, "value"), "lists")
+def _stars(classes: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of each representative and the least member of each inverted list that it is in."""
+    entries = classes.select("rep", F.explode(F.array_distinct("listed")).alias("value"))
+    heads = entries.groupBy("value").agg(F.min("rep").alias("a"), F.count("*").alias("many")).where("many > 1").drop("many")
+    return saved(entries.join(heads, "value").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "stars")
+
+
+def _promising_links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those ``pairs`` whose sketches do not rule out ``percent``. A hub of very many pairs meets them by broadcast."""
+    sides = [classes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab"]
+    hubs = saved(pairs.groupBy("a").agg(F.count("*").alias("pairs")).join(sides[0], "a"), "hubs")
+    met = spread_join(pairs, hubs, ["a"], "pairs", pairs.count(), most_rows=BROADCAST_SKETCHES).join(sides[1], "b")
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b, s_a, s_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "n_a", "n_b", "s_a", "s_b"))
+            keep = []
+            for left, right, x, y in zip(s_a, s_b, n_a.to_pylist(), n_b.to_pylist()):
+                value, error = estimate(*_unpacked((left.as_buffer(), right.as_buffer())), x, y)
+                keep.append(100 * (value + SIGMAS * error) >= percent)
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    similar = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    return met.where(similar).mapInArrow(promising, "a long, b long")
+
+
+def _open_lists(tagged: DataFrame) -> DataFrame:
+    """(value, rep, component, left) of the inverted lists whose members are not all in one component.
+
+    ``left`` marks the members outside the largest component of the list: each pair not yet joined has one of them.
+    """
+    entries = tagged.select("rep", "component", F.explode(F.array_distinct("listed")).alias("value"))
+    unsettled = entries.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("value")
+    rows = saved(entries.join(unsettled, "value"), "lists")
+    shares = rows.groupBy("value", "component").agg(F.count("*").alias("share"))
+    largest = shares.groupBy("value").agg(F.max(F.struct("share", "component")).alias("top"))
+    return rows.join(largest.select("value", F.col("top.component").alias("top")), "value").withColumn("left", F.col("component") != F.col("top")).drop("top")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -232,9 +265,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     Documents whose sets of ``shingle``-word shingles are equal collapse into one representative first. Each two neighbours
     among its ``LISTED`` smallest hashes name an inverted list. Of the smallest hashes in the union of two similar sets, each is common with the
     probability of the similarity, and two common ones in a row are neighbours in both sets, so a pair at 0.85 misses all its lists with
-    a probability of 5e-09, one at 0.8 of 2e-07; sets of up to ``LISTED`` shingles miss none. Documents of a list are
-    compared in blocks; long lists first link to their least member, which joins most of a large group of copies, and then only members
-    outside the largest component of the list are compared with all. The estimate from the union of both sketches drops pairs
+    a probability of 5e-09, one at 0.8 of 2e-07; sets of up to ``LISTED`` shingles miss none. All members of a list
+    are first held against its least one, which joins most groups of copies. Only lists whose members are not in one component then go on: their
+    members outside the largest component are compared with all of the list, in blocks. The estimate from the union of both sketches drops pairs
     ``SIGMAS`` standard errors below the threshold; the rest is confirmed on whole sets.
 
     Null or empty texts and those of blanks only have no shingles and are linked with nothing; so is a null ``doc_id``, whose component is
@@ -246,31 +279,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.min("doc_id").cast("long").alias("rep"), F.first("sketch").alias("sketch"), F.first("listed").alias("listed")
     )
     classes = saved(classes, "classes")
-    reps = classes.select("rep", "n", "sketch")
-    lists = _lists(classes)
-    star = lists.where((F.col("many") > BLOCK) & (F.col("rep") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    sides = [reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab"]
-
-    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, n_a, n_b, s_a, s_b = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "n_a", "n_b", "s_a", "s_b"))
-            keep = []
-            for left, right, x, y in zip(s_a, s_b, n_a, n_b):
-                value, error = estimate(*_unpacked((left, right)), x, y)
-                keep.append(100 * (value + SIGMAS * error) >= percent)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}).filter(pa.array(keep, pa.bool_()))
-
-    similar = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    links = confirmed(star.join(sides[0], "a").join(sides[1], "b").where(similar).mapInArrow(promising, "a long, b long"), docs, shingle, percent)
-    found = components(links)
-    so_far = lists.join(found, lists["rep"] == found["node"], "left").select(
-        "rep", "value", "many", F.coalesce("component", "rep").alias("component")
-    )
-    shares = so_far.groupBy("value", "component").agg(F.count("*").alias("share"))
-    largest = shares.groupBy("value").agg(F.max(F.struct("share", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    open_rows = so_far.join(largest.select("value", F.col("top.component").alias("top")), "value")
-    open_rows = open_rows.withColumn("left", (F.col("component") != F.col("top")) | (F.col("many") <= BLOCK)).drop("top", "many")
-    candidates = block_candidates(saved(open_rows.join(reps, "rep"), "open"), percent)
+    links = confirmed(_promising_links(_stars(classes), classes, percent), docs, shingle, percent)
+    tagged = classes.join(components(links), F.col("rep") == F.col("node"), "left")
+    tagged = saved(tagged.select("rep", "n", "sketch", "listed", F.coalesce("component", "rep").alias("component")), "tagged")
+    candidates = block_candidates(saved(_open_lists(tagged).join(tagged.drop("listed", "component"), "rep"), "open"), percent)
     more = confirmed(candidates, docs, shingle, percent)
     joined = components(links.union(more))
     grouped = classes.join(joined, classes["rep"] == joined["node"], "left").select(
@@ -284,7 +296,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` without those that another document of their component stands for; columns unchanged."""
+    """The rows of ``docs`` without those that another document of their component stands for; columns unchanged.
+
+    Rows with one ``doc_id`` are one document, and go if one of them does; of such rows with one text, one stays. A row without
+    ``doc_id`` stays. Very long texts are compared whole. An empty table gives an empty table.
+    """
     key = fresh(docs, "lost_id")
-    lost = near_duplicates(docs, shingle, percent).where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(lost, docs["doc_id"] == lost[key], "left_anti")
+    found = saved(near_duplicates(docs, shingle, percent), "near-duplicates")
+    lost = found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+    left = docs.join(lost, docs["doc_id"] == lost[key], "left_anti")
+    again = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    if not again.limit(1).count():
+        return left
+    again = saved(again, "repeated-ids")
+    once = left.join(again, left["doc_id"] == again[key], "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(again, left["doc_id"] == again[key], "left_anti").unionByName(once)
