@@ -55,8 +55,8 @@ FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 _FEATURES = {
     "symbol_share": ("n_symbols::DOUBLE / nullif(word_chars, 0)", 0.02),
-    "dup_line_share": ("n_dup_lines::DOUBLE / n_lines", 0.15),
-    "repeat_share": ("n_repeat_words::DOUBLE / nullif(n_words, 0)", 0.075),
+    "dup_line_share": ("n_dup_lines::DOUBLE / n_lines", 0.1),
+    "repeat_share": ("n_repeat_words::DOUBLE / nullif(n_words, 0)", 0.15),
     "word_length": ("word_chars::DOUBLE / nullif(n_words, 0)", 0.5),
 }
 _CELLS = " UNION ALL ".join(
@@ -65,16 +65,6 @@ _CELLS = " UNION ALL ".join(
 )
 
 
-def _quartiles(name: str, keys: str) -> str:
-    """Quartiles of one level of merged sketches."""
-    by = f"{keys}, feature" if keys else "feature"
-    return f"""{name}_m AS (SELECT {by}, bucket, sum(n) AS n FROM sketch GROUP BY {by}, bucket),
-{name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket NULLS FIRST) AS upto, sum(n) OVER (PARTITION BY {by}) AS total,
-  CASE WHEN bucket IS NULL THEN 0.0::DOUBLE ELSE 2 * power(1.02::DOUBLE, bucket) / 2.02::DOUBLE END AS mid FROM {name}_m),
-{name} AS (SELECT {by}, min(CASE WHEN upto >= total * 0.25::DOUBLE THEN mid END) AS q25, min(CASE WHEN upto >= total * 0.75::DOUBLE THEN mid END) AS q75,
-  max(total) AS total FROM {name}_r GROUP BY {by})"""
-
-
 ORACLES["op1_quality_rules"] = rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
@@ -90,13 +80,32 @@ base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_f
 cells AS ({_CELLS}),
 sketch AS (SELECT lang, source, feature, CASE WHEN value > 0 THEN ceil(ln(value) / ln(1.02::DOUBLE)) END AS bucket, count(*) AS n
   FROM cells WHERE NOT base_failed GROUP BY ALL),
-{_quartiles("own", "lang, source")}, {_quartiles("lan", "lang")}, {_quartiles("everyone", "")},
-picked AS (SELECT o.lang, o.source, o.feature,
-  CASE WHEN o.total >= 200 THEN o.q25 WHEN l.total >= 200 THEN l.q25 ELSE a.q25 END AS q25,
-  CASE WHEN o.total >= 200 THEN o.q75 WHEN l.total >= 200 THEN l.q75 ELSE a.q75 END AS q75
-  FROM own o JOIN lan l ON o.feature = l.feature AND o.lang IS NOT DISTINCT FROM l.lang JOIN everyone a ON o.feature = a.feature),
-verdict AS (SELECT c.doc_id, bool_and(coalesce(value <= q75 + greatest(q75 - q25, least) * 4, TRUE)
-    AND (c.feature <> 'word_length' OR coalesce(value >= q25 - greatest(q75 - q25, least) * 4, TRUE))) AS inside
+every AS (SELECT feature, bucket, n::DOUBLE / sum(n) OVER (PARTITION BY feature) AS p, sum(n) OVER (PARTITION BY feature) AS documents FROM (SELECT feature, bucket, sum(n)::BIGINT AS n FROM sketch GROUP BY ALL)),
+langs AS (SELECT lang, feature, sum(n)::BIGINT AS total FROM sketch GROUP BY ALL),
+lan AS (
+  SELECT l.lang, l.feature, e.bucket, (coalesce(s.n, 0) + 50.0::DOUBLE * e.p) / (l.total + 50.0::DOUBLE) AS p,
+    floor(50000000.0::DOUBLE * ((1 + 50.0::DOUBLE * (1.0::DOUBLE / e.documents)) / (l.total + 50.0::DOUBLE)))::BIGINT + 1000001 AS one
+  FROM langs l JOIN every e ON l.feature = e.feature
+  LEFT JOIN (SELECT lang, feature, bucket, sum(n)::BIGINT AS n FROM sketch GROUP BY ALL) s
+    ON s.feature = e.feature AND s.lang IS NOT DISTINCT FROM l.lang AND s.bucket IS NOT DISTINCT FROM e.bucket),
+weights AS (
+  SELECT lang, source, feature, bucket, sum(w)::BIGINT AS w, max(one) AS one FROM (
+    SELECT lang, source, feature, bucket, n * 1000000 AS w, 0 AS one FROM sketch
+    UNION ALL
+    SELECT g.lang, g.source, g.feature, l.bucket, floor(50000000.0::DOUBLE * l.p)::BIGINT AS w, one
+    FROM (SELECT DISTINCT lang, source, feature FROM sketch) g JOIN lan l ON l.feature = g.feature AND l.lang IS NOT DISTINCT FROM g.lang) GROUP BY ALL),
+ranked AS (
+  SELECT *, sum(w) OVER (PARTITION BY lang, source, feature ORDER BY bucket NULLS FIRST) AS upto, sum(w) OVER (PARTITION BY lang, source, feature) AS total,
+    coalesce(sum(w) FILTER (bucket IS NULL) OVER (PARTITION BY lang, source, feature), 0) AS zeros, max(one) OVER (PARTITION BY lang, source, feature) AS single,
+    power(1.02::DOUBLE, bucket) AS edge, CASE WHEN bucket IS NULL THEN 0.0::DOUBLE ELSE 2 * power(1.02::DOUBLE, bucket) / 2.02::DOUBLE END AS mid FROM weights),
+picked AS (
+  SELECT lang, source, feature, min(mid) FILTER (upto * 4 >= total) AS q25, min(mid) FILTER (upto * 4 >= total * 3) AS q75,
+    min(edge) FILTER (bucket IS NOT NULL AND total - zeros > greatest((total - zeros) // 100, single)
+      AND upto - zeros >= total - zeros - greatest((total - zeros) // 100, single)) AS upper
+  FROM ranked GROUP BY ALL),
+verdict AS (SELECT c.doc_id, bool_and(coalesce(CASE WHEN c.feature = 'word_length'
+    THEN value <= q75 + greatest(q75 - q25, least) * 4 AND value >= q25 - greatest(q75 - q25, least) * 4
+    ELSE value <= greatest(coalesce(upper * 1.5::DOUBLE, 0), least) END, TRUE)) AS inside
   FROM cells c LEFT JOIN picked p ON c.feature = p.feature AND c.lang IS NOT DISTINCT FROM p.lang AND c.source IS NOT DISTINCT FROM p.source GROUP BY c.doc_id)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept
 FROM base b JOIN verdict v ON b.doc_id = v.doc_id

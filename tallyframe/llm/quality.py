@@ -22,11 +22,13 @@ MIN_WORDS = 20
 MAX_REPEATED = 30  # percent
 GROWTH = 1.02  # relative width of a sketch bucket: quantiles are right to 1 %
 REACH = 4.0  # the fence of word length lies this many spreads beyond its quartiles
-UPPER = 0.99  # the fences of the shares are this quantile among the documents of the group in which the share is not zero
-MIN_GROUP = 200  # smaller groups use the merged sketch of their language, then that of all documents
+ABOVE = 1.5  # the fence of a share is so many times the upper quantile among the documents of the group that have any of it
+TOP = 100  # that quantile leaves out the highest one in so many documents, and one at least: a document is no evidence for itself
+PRIOR = 50  # documents' worth of their language that each group is merged with, and languages of all documents
+UNIT = 1_000_000  # weights are whole numbers of so many to a document, so that sums do not depend on order
 BROADCAST_GROUPS = 10_000
-# Least spread of word length; for the shares, whose fences are quantiles, the least fence: a share up to it is never a reason to reject.
-FEATURES = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.05, "word_length": 0.5}
+# Least spread of word length; least fence of the shares: a share up to it is never a reason to reject.
+FEATURES = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.15, "word_length": 0.5}
 LOW_SIDE = ("word_length",)
 
 
@@ -119,53 +121,68 @@ def sketch_rows(counts: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source", "v.feature", "v.bucket").agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles of each (keys, feature), the upper quantile of its values above 0 (null if there are none), and its size. A window holds the buckets of one group: some thousand at most."""
-    merged = sketch.groupBy(*keys, "feature", "bucket").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys, "feature")
-    up = group.orderBy(F.col("bucket").asc_nulls_first())
-    ranked = merged.withColumn("upto", F.sum("n").over(up)).withColumn("total", F.sum("n").over(group))
-    ranked = ranked.withColumn("zeros", F.coalesce(F.sum(F.when(F.col("bucket").isNull(), F.col("n"))).over(group), F.lit(0)))
-    middle = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(2 * F.pow(F.lit(GROWTH), F.col("bucket")) / (GROWTH + 1))
-    value = lambda q: F.min(F.when(F.col("upto") >= F.col("total") * q, middle)).alias(f"q{round(100 * q)}")
-    rank = F.floor((F.col("total") - F.col("zeros")) * UPPER)  # 0 for a single value, which is no evidence for itself
-    over = F.col("bucket").isNotNull() & (rank > 0) & (F.col("upto") - F.col("zeros") >= rank)
-    return ranked.groupBy(*keys, "feature").agg(value(0.25), value(0.75), F.min(F.when(over, middle * (GROWTH + 1) / 2)).alias("upper"), F.max("total").alias("total"))
-
-
-def thresholds(counts: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
-    """(lang, source, feature, low, high): what documents of the group may have, from the finest sketch with ``min_group`` documents."""
-    sketch = saved(sketch_rows(counts), "sketch")
-    own, lang, every = (_quartiles(sketch, k) for k in (["lang", "source"], ["lang"], []))
-    for name, part in (("l", lang), ("a", every)):
-        renamed = part.withColumnsRenamed({c: f"{name}_{c}" for c in part.columns})
-        on = own["feature"] == renamed[f"{name}_feature"]
-        own = own.join(renamed, on & own["lang"].eqNullSafe(renamed["l_lang"]) if name == "l" else on)
-    small, smaller = F.col("total") < min_group, F.col("l_total") < min_group
-    pick = lambda q: F.when(small & smaller, F.col(f"a_{q}")).when(small, F.col(f"l_{q}")).otherwise(F.col(q))
+def merged(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """(lang, source, feature, bucket, w, one): each group's sketch merged with ``prior`` documents' worth of its language's, in ``UNIT`` a document.
+
+    The language's sketch is merged in the same way with that of all documents. Merging is adding up, and is alike for groups of any size: what a
+    group's own documents show takes over as they become more. ``one`` is what a single document of the group adds to it in all.
+    """
+    per = Window.partitionBy("feature")
+    every = sketch.groupBy("feature", "bucket").agg(F.sum("n").alias("n"))
+    every = every.select("feature", "bucket", (F.col("n").cast("double") / F.sum("n").over(per)).alias("p"), F.sum("n").over(per).alias("all"))
+    langs = sketch.groupBy("lang", "feature").agg(F.sum("n").alias("total")).withColumnsRenamed({"feature": "of"})
+    wide = langs.join(every, F.col("of") == F.col("feature")).select("lang", "feature", "bucket", "total", "all", "p", F.lit(0).cast("long").alias("n"))
+    none = F.lit(0).cast("long")
+    own = sketch.select("lang", "feature", "bucket", none.alias("total"), none.alias("all"), F.lit(0.0).alias("p"), "n")
+    largest = [F.max(c).alias(c) for c in ("p", "total", "all")]
+    lang = wide.unionByName(own).groupBy("lang", "feature", "bucket").agg(F.sum("n").alias("n"), *largest)
+    worth = lambda n, p: F.floor(F.lit(float(prior * UNIT)) * ((n + F.lit(float(prior)) * p) / (F.col("total") + F.lit(float(prior)))))
+    one = worth(F.lit(1), 1.0 / F.col("all")) + (UNIT + 1)  # and what rounding down may hide
+    lang = lang.select(F.col("lang").alias("in_lang"), F.col("feature").alias("of"), "bucket", worth(F.col("n"), F.col("p")).alias("w"), one.alias("one"))
+    groups = sketch.select("lang", "source", "feature").distinct()
+    inherited = groups.join(lang, F.col("lang").eqNullSafe(F.col("in_lang")) & (F.col("feature") == F.col("of")))
+    rows = inherited.select("lang", "source", "feature", "bucket", "w", "one")
+    rows = rows.unionByName(sketch.select("lang", "source", "feature", "bucket", (F.col("n") * UNIT).alias("w"), none.alias("one")))
+    return rows.groupBy("lang", "source", "feature", "bucket").agg(F.sum("w").alias("w"), F.max("one").alias("one"))
+
+
+def thresholds(counts: DataFrame, prior: int = PRIOR, reach: float = REACH) -> DataFrame:
+    """(lang, source, feature, low, high): what documents of the group may have. A window holds the buckets of one group: some thousand at most."""
+    keys = ["lang", "source", "feature"]
+    group = Window.partitionBy(*keys)
+    ranked = merged(saved(sketch_rows(counts), "sketch"), prior).withColumn("upto", F.sum("w").over(group.orderBy(F.col("bucket").asc_nulls_first())))
+    zero = F.sum(F.when(F.col("bucket").isNull(), F.col("w"))).over(group)
+    ranked = ranked.withColumn("total", F.sum("w").over(group)).withColumn("zeros", F.coalesce(zero, F.lit(0)))
+    edge = F.pow(F.lit(GROWTH), F.col("bucket"))
+    middle = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(2 * edge / (GROWTH + 1))
+    value = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, middle))
+    some = F.col("total") - F.col("zeros")
+    rank = some - F.greatest(F.floor(some / TOP), F.max("one").over(group))
+    ranked = ranked.withColumn("rank", rank)
+    over = F.col("bucket").isNotNull() & (F.col("rank") > 0) & (F.col("upto") - F.col("zeros") >= F.col("rank"))
+    found = ranked.groupBy(*keys).agg(value(1).alias("q25"), value(3).alias("q75"), F.min(F.when(over, edge)).alias("upper"))
     least = F.element_at(F.create_map(*[F.lit(x) for pair in FEATURES.items() for x in pair]), F.col("feature"))
-    spread = F.greatest(pick("q75") - pick("q25"), least) * reach
-    high = F.when(F.col("feature").isin(*LOW_SIDE), pick("q75") + spread).otherwise(F.greatest(pick("upper"), least))
-    low = F.when(F.col("feature").isin(*LOW_SIDE), pick("q25") - spread)
-    return own.select("lang", "source", "feature", low.alias("low"), high.alias("high"))
+    spread = F.greatest(F.col("q75") - F.col("q25"), least) * reach
+    high = F.when(F.col("feature").isin(*LOW_SIDE), F.col("q75") + spread).otherwise(F.greatest(F.col("upper") * ABOVE, least))
+    low = F.when(F.col("feature").isin(*LOW_SIDE), F.col("q25") - spread)
+    return found.select(*keys, low.alias("low"), high.alias("high"))
 
 
-def judged(docs: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
-    """``docs`` with the base counts, ``base_failed`` and ``kept``.
+def judged(docs: DataFrame, prior: int = PRIOR, reach: float = REACH, with_text: bool = True) -> DataFrame:
+    """``docs`` with the base counts, ``base_failed`` and ``kept``; without ``text`` if it is not wanted, so that no copy of it is written.
 
     Four features of each document (symbols per character of words, repeated lines, words in repeated windows, mean word length) are
     sketched per language and source over all documents that pass the base rule: counts of logarithmic buckets, which merge by adding up,
-    do not depend on order, and give every quantile to 1 %. A document is kept if it passes the base rule, no share is above the
-    ``UPPER`` quantile of its group's values that are not 0 (or a least fence), and its word length lies within ``reach`` spreads (quartile
-    ranges, of a least width) of its group's quartiles. Groups of fewer than ``min_group`` documents
-    take the merged sketch of their language, or of all documents if that is small as well.
+    do not depend on order, and give every quantile to 1 %. Each group's sketch is merged with that of its language (see ``merged``). A
+    document is kept if it passes the base rule, no share is above ``ABOVE`` times the upper quantile among its group's documents that have
+    any of it (or a least fence), and its word length lies within ``reach`` spreads (quartile ranges, of a least width) of its group's quartiles.
 
-    Null text is empty: no words, base rule failed. Null ``lang`` and null ``source`` are values like any other. Every row is judged by
-    itself, so repeated rows get equal verdicts; a value on a fence is kept. An empty table gives an empty table.
+    Null text is empty: no words, base rule failed. Null ``lang`` and null ``source`` are values like any other. Very long texts are
+    measured whole. Every row is judged by itself, so repeated rows get equal verdicts; a value on a fence is kept. An empty table gives an empty table.
     """
-    counts = measured(docs)
-    plain = measured(docs.select("lang", "source", "text")).drop("text")
-    fences = thresholds(saved(plain, "quality"), min_group, reach)
+    wanted = measured(docs)
+    counts = saved(wanted if with_text else wanted.drop("text"), "quality")
+    fences = thresholds(counts, prior, reach)
     wide = fences.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("feature") == f, F.col(side))).alias(f"{side}_{f}") for f in FEATURES for side in ("low", "high")]
     )

@@ -17,7 +17,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "lang", "source", "text")
-    return quality.judged(docs).select(
+    return quality.judged(docs, with_text=False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
