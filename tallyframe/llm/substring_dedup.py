@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import words as W
-from tallyframe.llm.base import bounded_broadcast, saved
+from tallyframe.llm.base import bounded_broadcast, saved, spread_join
 
 WINDOW = 50
 BROADCAST_IDS = 500_000
+BROADCAST_BLOCKS = 100_000
 
 
 def _least(hashes: np.ndarray, count: int) -> np.ndarray:
@@ -110,29 +112,64 @@ def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     parsed = saved(_zone_rows(docs, window), "zones")
     rows = parsed.select("doc_id", F.inline(F.arrays_zip("block", "zone", "start", "n")))
-    known = rows.groupBy("block").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("block")
-    shared = saved(rows.join(known, "block"), "shared-zones")
-    zones = saved(shared.groupBy("block", "zone").agg(F.min("doc_id").alias("source")), "index")
-    several = zones.groupBy("block").agg(F.count("*").alias("different")).where("different > 1")
-    placed = shared.join(zones, ["block", "zone"])
+    meet = lambda rows, groups, keys: spread_join(rows, groups, keys, "rows", rows.count(), most_rows=BROADCAST_BLOCKS).where("rows IS NOT NULL").drop("rows")
+    known = rows.groupBy("block").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("rows")).where("least < most")
+    shared = saved(meet(rows, saved(known.select("block", "rows"), "blocks"), ["block"]), "shared-zones")
+    zones = saved(shared.groupBy("block", "zone").agg(F.min("doc_id").alias("source"), F.count("*").alias("rows")), "index")
+    several = zones.groupBy("block").agg(F.count("*").alias("different")).where("different > 1").select("block", F.lit(True).alias("open"))
+    index = saved(zones.join(several, "block", "left"), "open-index")
+    placed = saved(meet(shared, index, ["block", "zone"]), "placed-zones")
     whole = placed.where("doc_id > source").select("doc_id", "start", "n", "source")
-    open_ = placed.where("doc_id = source").join(several, "block").select("doc_id", "start", "n", "block")
+    open_ = placed.where("doc_id = source AND open").select("doc_id", "start", "n", "block")
     windows = saved(_window_rows(docs, open_, window), "open-windows")
-    least = windows.groupBy("block", "key").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("most")).where("source < most").drop("most")
-    checked = windows.join(least, ["block", "key"]).where("doc_id > source").select("doc_id", "start", F.lit(1).alias("n"), "source")
+    least = windows.groupBy("block", "key").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("most"), F.count("*").alias("rows")).where("source < most").drop("most")
+    checked = meet(windows, saved(least, "open-sources"), ["block", "key"]).where("doc_id > source").select("doc_id", "start", F.lit(1).alias("n"), "source")
     return whole.union(checked)
 
 
+def greedy_parse(cut: np.ndarray, window: int) -> list[dict[str, int]]:
+    """Factors of one document from rows (start, n, source): n windows from ``start`` on that the source has as well.
+
+    From each position the longest match is taken, of equals that with the least source, and the next factor begins after it. Where no match begins, the
+    boundary is checked: a window that begins inside the factor before it and reaches over its end belongs to a match, whose rest is the
+    next factor. All other words are literals. So factors lie side by side and cover just the words of all matched windows.
+    """
+    runs: dict[int, list[list[int]]] = {}  # of each source: first and last window
+    for start, n, source in cut[np.lexsort((cut[:, 0], cut[:, 2]))].tolist():
+        own = runs.setdefault(source, [])
+        if own and start <= own[-1][1] + 1:
+            own[-1][1] = max(own[-1][1], start + n - 1)
+        else:
+            own.append([start, start + n - 1])
+    matches = sorted((first, last, source) for source, own in runs.items() for first, last in own)
+    out, at, i = [], 0, 0
+    held: list[tuple[int, int, int]] = []  # matches that reach beyond ``at``: (-last window, source, first window)
+    while i < len(matches) or held:
+        while i < len(matches) and matches[i][0] <= at:
+            heapq.heappush(held, (-matches[i][1], matches[i][2], matches[i][0]))
+            i += 1
+        while held and window - held[0][0] <= at:
+            heapq.heappop(held)
+        if held:
+            # the match that reaches farthest is the longest from here, whether a window begins here or began before the boundary
+            end = window - held[0][0]
+            out.append({"start": at, "words": end - at, "source": held[0][1]})
+            at = end
+        elif i < len(matches):
+            at = matches[i][0]
+    return out
+
+
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text, n_words, n_removed, spans): each document's words that stay, joined by one space, and the spans cut out.
 
     Words are runs of anything but blanks. A word goes if it lies in a run of ``window`` words that also starts in a document with a
-    smaller ``doc_id``; runs are judged on the texts as they come in. ``spans`` lists the factors in order: first word, words and source.
-    Factors of one source that touch or overlap are one.
+    smaller ``doc_id``; runs are judged on the texts as they come in. ``spans`` lists the factors of the greedy parse in order: first word,
+    words and source. They lie side by side, and are words of the source, unless a boundary cuts a match short at its beginning.
 
     Null or empty text has no words. A document without ``doc_id`` has no order: it loses nothing and is no source. Rows with one
-    ``doc_id`` should be equal, and lose nothing to each other. Texts shorter than a window lose nothing. An empty table gives an empty
-    table. Other columns are not returned.
+    ``doc_id`` should be equal, and lose nothing to each other. Texts shorter than a window lose nothing. A very long text is parsed whole. Of
+    matches that tie, the least source counts. An empty table gives an empty table. Other columns are not returned.
     """
     found = saved(factors(docs, window).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "source")).alias("cut")), "factors")
     base = docs.select("doc_id", "text")
@@ -140,16 +177,6 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     span = T.ArrayType(T.StructType.fromDDL("start bigint, words bigint, source bigint"))
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("text string, n_words bigint, n_removed bigint").fields, T.StructField("spans", span)])
 
-    def merged(cut: np.ndarray) -> list[dict[str, int]]:
-        out: list[dict[str, int]] = []
-        for start, n, source in cut[np.lexsort((cut[:, 2], cut[:, 0]))].tolist():
-            last = out[-1] if out else None
-            if last and last["source"] == source and start <= last["start"] + last["words"] - window + 1:
-                last["words"] = max(last["words"], start + n - 1 + window - last["start"])
-            else:
-                out.append({"start": start, "words": n - 1 + window, "source": source})
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in W.text_slices(batch.column(1)):
@@ -160,7 +187,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 for row in np.flatnonzero(np.asarray(pc.fill_null(pc.list_value_length(lists), 0))):
                     flat = lists[int(row)].values
                     cut = np.stack([np.asarray(flat.field(c)).astype(np.int64) for c in ("start", "n", "source")], axis=1)
-                    spans[row] = merged(cut)
+                    spans[row] = greedy_parse(cut, window)
                     for s in spans[row]:
                         gone[starts[row] + s["start"]] += 1
                         gone[starts[row] + s["start"] + s["words"]] -= 1
