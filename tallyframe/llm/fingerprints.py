@@ -11,11 +11,40 @@ TABLES = 3
 SLOTS = 8
 ROUNDS = 6
 LEVELS = 3  # sizes of sketches that are tried
+LONG = 1000  # code points of a line above which it is cut further
+EVERY = 48  # words of such a piece, on average
+
+
+def paragraphs(text: Column) -> Column:
+    """The pieces between line feeds; of those longer than ``LONG`` code points, the runs of words up to each one whose hash says so.
+
+    Such a cut depends on the word alone, so what two texts share is cut alike in both, wherever it stands.
+    """
+
+    def bound(value: Column, use) -> Column:
+        """``use`` of a value that is computed once, however often it occurs in it."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def pieces(words: Column, ends: Column) -> Column:
+        begin = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1)
+        return F.transform(ends, lambda end, k: F.array_join(F.slice(words, begin(k) + 1, end - begin(k) + 1), " "))
+
+    def cut(line: Column) -> Column:
+        def of_words(words: Column) -> Column:
+            last = F.size(words) - 1
+            ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.pmod(F.xxhash64(F.get(words, i)), F.lit(EVERY)) == 0))
+            return bound(ends, lambda e: pieces(words, e))
+
+        return bound(F.split(line, " ", -1), of_words)
+
+    lines = F.split(text, "\n", -1)
+    whole = F.transform(lines, lambda line: F.when(F.char_length(line) > LONG, cut(line)).otherwise(F.array(line)))
+    return F.when(F.char_length(text) > LONG, F.flatten(whole)).otherwise(lines)
 
 
 def digests(text: Column) -> Column:
-    """Distinct 64-bit digests of the paragraphs, which are the pieces between line feeds; an empty text is one empty paragraph."""
-    return F.array_distinct(F.transform(F.split(text, "\n", -1), lambda p: F.xxhash64(p)))
+    """Distinct 64-bit digests of the paragraphs; an empty text is one empty paragraph."""
+    return F.array_distinct(F.transform(paragraphs(text), lambda p: F.xxhash64(p)))
 
 
 def _cell(n: Column, key: Column, check: Column) -> Column:
@@ -169,7 +198,8 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     The fingerprint is a sketch of the set of paragraphs, so equal texts have equal ones. Likeness is the number of shared paragraphs by
     that of all, 1 for equal sets and 0 for disjoint ones.
 
-    Null or empty text is one empty paragraph. A null ``doc_id`` comes before all others. A single document follows itself. Repeated rows give
+    Null or empty text is one empty paragraph. Long lines are cut at words chosen by their hash, so a long text of one line has several. A very
+    long text is read whole, and its digests are one row's worth of memory. Of ids that tie, the least text is the next one. A null ``doc_id`` comes before all others. A single document follows itself. Repeated rows give
     equal results. An empty table gives an empty table. Other columns are not returned.
     """
     pairs = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("head")))
