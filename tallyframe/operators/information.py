@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.numbers import as_double, doubles, ref
 from tallyframe.operators.columns import ColumnStats, column_stats
+from tallyframe.operators.neighbours import neighbour_information_from_counts
 
 BINS = 50
 
@@ -78,6 +80,7 @@ def mutual_information(
     label: str,
     *,
     continuous: Mapping[str, int] | Sequence[str] = (),
+    measured: Sequence[str] = (),
     stats: ColumnStats | None = None,
 ) -> DataFrame:
     """(feature, mi, binned), most informative first.
@@ -85,14 +88,19 @@ def mutual_information(
     Every value of a feature is counted, however many there are, except for the
     features named in ``continuous``: these are cut into equal-width bins first,
     as many as the mapping says or ``BINS``.  ``binned`` tells which they are.
+    Features named in ``measured`` are ranked by nearest neighbours instead.
     """
-    features = list(features)
+    near = [c for c in features if c in set(measured)]
+    features = [c for c in features if c not in near]
     bins = dict(continuous) if isinstance(continuous, Mapping) else dict.fromkeys(continuous, BINS)
     bins = {c: n for c, n in bins.items() if c in features}
     if bins and stats is None:
         stats = column_stats(df, list(bins))
     ranges = {c: (stats.low[c], stats.high[c], n) for c, n in bins.items()}
-    table = information_from_counts(value_counts(df, features, label, binned=ranges))
+    tables = [information_from_counts(value_counts(df, features, label, binned=ranges))] if features else []
+    if near:
+        tables.append(neighbour_information_from_counts(value_counts(df, near, label)))
+    table = reduce(DataFrame.unionByName, tables)
     return table.withColumn("binned", F.col("feature").isin(*bins)).orderBy(F.desc("mi"), "feature")
 
 

@@ -89,7 +89,8 @@ class Prepared:
         features = [c for c in self.rules.columns if c != target]
         # filling a gap with a median or mean does not widen a column's range
         stats = self.rules.stats if self.own_stats else None
-        return mutual_information(self.table, features, target, continuous=self.rules.spec.continuous, stats=stats)
+        spec = self.rules.spec
+        return mutual_information(self.table, features, target, continuous=spec.continuous, measured=spec.measured, stats=stats)
 
 
 def prepare(df: DataFrame, spec: SurveySpec, *, fit_on: DataFrame | None = None) -> Prepared:

@@ -14,7 +14,8 @@ class SurveySpec:
     the data are skipped, except the target.  ``recode`` maps raw outcome codes
     to analysis codes, ``unknown`` lists raw codes that mean "no answer".
     ``continuous`` names measured features, which are ranked by so many
-    equal-width bins; all other features are ranked by their values.
+    equal-width bins, ``measured`` such that are ranked by nearest neighbours;
+    all other features are ranked by their values.
     """
 
     target: str
@@ -23,6 +24,7 @@ class SurveySpec:
     unknown: Sequence[float] = (7, 9)
     max_missing_pct: float = 40.0
     continuous: Mapping[str, int] = field(default_factory=dict)
+    measured: Sequence[str] = ()
 
     def __post_init__(self):
         unknown = set(self.unknown)
