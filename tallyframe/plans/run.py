@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml import Estimator
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tallyframe.functions.layout import PARTITIONS
+from tallyframe.functions.numbers import ref
 from tallyframe.operators.columns import rename_label, require_features
 from tallyframe.operators.models import compare_models, split
 from tallyframe.plans.prepare import load_training_frame, prepare
@@ -22,11 +24,18 @@ def train_and_compare(
     *,
     key: str | None = None,
     estimators: Mapping[str, Estimator] | None = None,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """Ranked metrics of all models on an 80/20 split of a training frame."""
     features = [c for c in require_features(table, spec) if c != key]
     train, test = split(rename_label(table, spec), key)
-    return compare_models(train, test, features, estimators)
+    return compare_models(train, test, features, estimators, partitions=partitions)
+
+
+def _counted(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` and the counts that its first action makes on its way."""
+    seen = Observation()
+    return df.observe(seen, *[F.count(value).alias(name) for name, value in counts.items()]), seen
 
 
 def run(
@@ -44,6 +53,8 @@ def run(
     servers: str | None = None,
     topic: str | None = None,
     estimators: Mapping[str, Estimator] | None = None,
+    corrupt: str | None = None,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """Prepare ``source``, publish it when ``topic`` is given, train from the prepared table.
 
@@ -51,8 +62,11 @@ def run(
     the key alone; ``fit_on_train`` then learns column choice and fill values from
     training rows only.  ``ranking_path`` receives the features ranked by
     information.  Returns the ranked metrics.  The prepared table is written once and read by
-    the later steps, so a lost executor never repeats the preparation.  Give
-    ``schema`` for a large CSV source: inferring types takes a scan of its own.
+    the later steps, so a lost executor never repeats the preparation; a run that dies leaves the table and the
+    metrics of the run before.  Give ``schema`` for a large CSV source: inferring types takes a scan of its own.
+
+    The run log holds what the steps counted on their way, without a scan for it: rows read and stored, malformed records if ``corrupt`` names the
+    column of their text, and gaps of each kept column.  ``partitions`` is that of ``compare_models``.
     """
     parameters = {
         "source": source if isinstance(source, str) else "table",
@@ -71,7 +85,14 @@ def run(
         with record.step("prepare"):
             raw = load_table(spark, source, schema, nan_as_null=False) if isinstance(source, str) else source
             prepared = prepare(raw, spec, fit_on=split(raw, key)[0] if fit_on_train else None)
-            save_table(prepared.table, prepared_path)
+            # only the plan that is stored counts its rows, as filters do not reach a scan below a count
+            counted, read = _counted(raw, {"rows": F.lit(1), **({"malformed": ref(corrupt)} if corrupt else {})})
+            table, written = _counted(prepared.rules.apply(counted), {"rows": F.lit(1)})
+            save_table(table, prepared_path, versioned=True)
+            record.counted("read", read.get)
+            record.counted("stored", written.get)
+            stats = prepared.rules.stats
+            record.counted("gaps", {c: stats.rows - stats.non_null[c] for c in prepared.rules.columns})
         if ranking_path is not None:
             with record.step("rank_features"):
                 ranking = prepared.ranking()
@@ -83,7 +104,8 @@ def run(
                 publish(load_table(spark, prepared_path, prepared.table.schema), servers, topic)
         with record.step("train"):
             metrics = train_and_compare(
-                load_training_frame(spark, prepared_path, spec, prepared.table.schema), spec, key=key, estimators=estimators
+                load_training_frame(spark, prepared_path, spec, prepared.table.schema), spec, key=key, estimators=estimators,
+                partitions=partitions,
             )
         with record.step("save_metrics"):
             save_metrics(metrics, metrics_path)

@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.operators.metrics import METRIC_NAMES, METRICS_SCHEMA, best_model
+from tallyframe.sources.versions import current_folder, replace
 
 # The field names are an outside format that readers of the log rely on.
 # Undefined values leave the library as null, which JSON omits, never as NaN.
@@ -18,23 +19,32 @@ RUN_LOG_SCHEMA = (
     "status string, started_at_utc string, finished_at_utc string, duration_seconds double, "
     "parameters map<string,string>, model_count int, models array<string>, "
     "best_model struct<model:string," + ",".join(f"{n}:double" for n in METRIC_NAMES) + ">, "
-    "step_durations_seconds map<string,double>, error_message string"
+    "step_durations_seconds map<string,double>, error_message string, counts map<string,bigint>"
 )
 
 
 def save_metrics(metrics: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with the metrics of all models and ``path``-best with the best one."""
-    metrics.write.mode("overwrite").json(path)
-    stored = load_metrics(metrics.sparkSession, path)
-    best_model(stored).write.mode("overwrite").json(best_path(path))
+    """Replace the metrics at ``path`` by those of all models and the best one of them, both at once."""
+    spark = metrics.sparkSession
+
+    def write(folder: str) -> None:
+        metrics.write.json(f"{folder}/all")
+        best_model(spark.read.schema(METRICS_SCHEMA).json(f"{folder}/all")).write.json(f"{folder}/best")
+
+    replace(spark, path, write)
 
 
 def best_path(path: str) -> str:
-    return f"{path.rstrip('/')}-best"
+    """Address of the best model's metrics beside those of all models."""
+    return f"{path.rstrip('/')}#best"
 
 
 def load_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRICS_SCHEMA).json(path)
+    place, _, part = path.partition("#")
+    folder = current_folder(spark, place)
+    if folder is None:
+        raise FileNotFoundError(f"no metrics at {place}")
+    return spark.read.schema(METRICS_SCHEMA).json(f"{folder}/{part or 'all'}")
 
 
 @dataclass
@@ -47,6 +57,7 @@ class RunRecord:
     best_model: dict | None = None
     steps: dict[str, float] = field(default_factory=dict)
     error_message: str | None = None
+    counts: dict[str, int] = field(default_factory=dict)
 
     @contextmanager
     def step(self, name: str) -> Iterator[None]:
@@ -59,6 +70,10 @@ class RunRecord:
     def skip(self, name: str) -> None:
         self.steps[name] = 0.0
 
+    def counted(self, prefix: str, counts: Mapping[str, int]) -> None:
+        """Keep counts that a step made on its way, such as those of an ``Observation``."""
+        self.counts |= {f"{prefix}.{name}": int(n) for name, n in counts.items()}
+
     def models_compared(self, metrics: DataFrame) -> None:
         """Take names and best model from a ranked metrics table, one row per model."""
         rows = [r.asDict() for r in metrics.collect()]
@@ -87,6 +102,7 @@ def recorded_run(spark: SparkSession, path: str, parameters: Mapping[str, object
             record.best_model,
             record.steps,
             record.error_message,
+            record.counts,
         )
         spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").json(path)
 
