@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.layout import dealt, repeated
+from tallyframe.functions.layout import PARTITIONS, dealt, repeated
 from tallyframe.functions.numbers import doubles, ref
 from tallyframe.operators.columns import fill_missing
 from tallyframe.operators.metrics import METRICS_SCHEMA, model_metrics, rank_models
@@ -139,15 +139,18 @@ def compare_models(
     estimators: Mapping[str, Estimator] | None = None,
     *,
     strategy: str = "mean",
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """Fit on ``train``, evaluate on ``test``: one row per model, best first.
 
     Fill values and vectors are built once and shared by all models; all models
     are scored side by side and measured together in one pass of the test rows.
+    Training rows are dealt into ``partitions``: the forest depends on that number
+    and on the rows, not on cores; one in 100 MB of rows suits a large table.
     """
     layout = fit_features(train, features, strategy)
     # dealt by the raw cells: fill values are sums, whose last digits depend on the order of adding
-    rows = dealt(train.select("label", *[ref(f) for f in layout.features if f != "label"]))
+    rows = dealt(train.select("label", *[ref(f) for f in layout.features if f != "label"]), partitions)
     models = fit_models(layout.assemble(rows, "label"), estimators)
     scored = score(layout.assemble(test, "label"), models)
     rows = rank_models(model_metrics(scored)).collect()  # one row per model
