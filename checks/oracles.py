@@ -5,7 +5,7 @@ Doubles are rounded like in the query; both engines add in different orders.
 
 from __future__ import annotations
 
-from checks.survey import LABELED_SQL, SCORED_SQL, SURVEY_SQL
+from checks.survey import LABELED_SQL, MIXED, SCORED_SQL, SURVEY_SQL
 
 ORACLES: dict[str, str] = {}
 
@@ -165,6 +165,40 @@ ORACLES["information_many_values"] = (
 )
 
 
+_NEAR = ["age", "physhlth", "price", "drift"]
+_SIDES = [f"lag(value, {i}) OVER w AS l{i}, lead(value, {i}) OVER w AS r{i}" for i in (1, 2, 3)]
+_WAYS = ["r3 - value", "greatest(value - l1, r2 - value)", "greatest(value - l2, r1 - value)", "value - l3"]
+_LONG = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value, label FROM drifted WHERE {c} IS NOT NULL" for c in _NEAR)
+# all classes have more than three rows here; a neighbour that is absent must not count as one at no distance
+_ABSENT = ["r3 IS NULL", "l1 IS NULL OR r2 IS NULL", "l2 IS NULL OR r1 IS NULL", "l3 IS NULL"]
+ORACLES["information_neighbours"] = f"""{LABELED_SQL}, drifted AS (SELECT *, price + label * 20000 AS drift FROM labeled),
+long AS ({_LONG}),
+near AS (SELECT *, {", ".join(_SIDES)}, count(*) OVER (PARTITION BY feature, label) AS ny FROM long WINDOW w AS (PARTITION BY feature, label ORDER BY value)),
+reach AS (SELECT *, least({", ".join(f"CASE WHEN {a} THEN 'infinity'::DOUBLE ELSE {w} END" for a, w in zip(_ABSENT, _WAYS))}) AS d FROM near),
+point AS (
+  SELECT feature, label, value, ny, d, count(*) AS n,
+    max(coalesce({", ".join(f"CASE WHEN value - l{i} = d THEN l{i} END" for i in (1, 2, 3))}, value - d)) AS low,
+    min(coalesce({", ".join(f"CASE WHEN r{i} - value = d THEN r{i} END" for i in (1, 2, 3))}, value + d)) AS high
+  FROM reach GROUP BY feature, label, value, ny, d),
+whole AS (SELECT feature, value, count(*) AS n FROM long GROUP BY feature, value),
+inside AS (
+  SELECT p.feature, p.label, p.value, p.n, p.ny, sum(w.n) AS m FROM point p JOIN whole w
+    ON p.feature = w.feature AND w.value > p.low AND w.value < p.high WHERE p.d > 0 GROUP BY ALL
+  UNION ALL SELECT p.feature, p.label, p.value, p.n, p.ny, w.n FROM point p JOIN whole w ON p.feature = w.feature AND p.value = w.value WHERE p.d = 0),
+psi AS (
+  SELECT i AS place, sum(CASE WHEN i > 1 THEN 1.0::DOUBLE / (i - 1) ELSE 0 END) OVER (ORDER BY i) - 0.5772156649015329::DOUBLE AS psi
+  FROM (SELECT unnest(range(1, (SELECT count(*) + 2 FROM labeled))) AS i)),
+terms AS (
+  SELECT feature, sum(n) AS n_rows, sum(n * (k.psi - a.psi - b.psi)) AS total
+  FROM inside JOIN psi k ON k.place = 3 JOIN psi a ON a.place = ny JOIN psi b ON b.place = m GROUP BY feature),
+ranked AS (SELECT feature, greatest(psi + total / n_rows, 0) AS mi FROM terms JOIN psi ON place = n_rows),
+coded AS (SELECT genhlth AS value, label, count(*) AS n FROM labeled WHERE genhlth IS NOT NULL GROUP BY ALL),
+plain AS (
+  SELECT sum(n / t * ln(n * t / (nv * ny))) AS mi FROM (
+    SELECT n::DOUBLE AS n, sum(n) OVER () AS t, sum(n) OVER (PARTITION BY value) AS nv, sum(n) OVER (PARTITION BY label) AS ny FROM coded))
+SELECT feature, round(mi, 6) AS mi, FALSE AS binned FROM ranked UNION ALL SELECT 'genhlth', round(mi, 6), FALSE FROM plain"""
+
+
 def _pairs(names: list[str], keep) -> str:
     parts = []
     for i, a in enumerate(names):
@@ -335,6 +369,12 @@ ORACLES["model_logistic"] = (
 ORACLES["model_tree"] = f"""{_CODED}, half AS (SELECT genhlth > 3 AS upper, avg(label) AS score FROM coded WHERE train GROUP BY 1)
 SELECT DISTINCT genhlth, CASE WHEN upper THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(score, 6) AS score
 FROM coded JOIN half ON (genhlth > 3) = upper WHERE train"""
+_TWO_CODES = f"""{LABELED_SQL}, coded AS (SELECT row_key, genhlth, floor(price / 10000) AS tenth, (row_key // 20) % 10 < 8 AS train FROM labeled WHERE genhlth IS NOT NULL),
+cells AS (SELECT *, CASE WHEN 2 * genhlth + tenth > 12 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM coded)"""
+ORACLES["model_tree_codes"] = f"""{_TWO_CODES} SELECT genhlth, tenth, round(avg(label)) AS prediction, round(avg(label), 6) AS least, round(avg(label), 6) AS most
+FROM cells WHERE train GROUP BY genhlth, tenth"""
+ORACLES["model_compare_codes"] = f"""{_TWO_CODES} SELECT model, TRUE AS near, TRUE AS learned, count(*) AS tested
+FROM cells, (SELECT unnest(['logistic_regression', 'random_forest', 'decision_tree']) AS model) WHERE NOT train GROUP BY model"""
 ORACLES["model_forest"] = f"""{_CODED} SELECT 'random_forest' AS model, CASE WHEN genhlth > 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
 CASE WHEN genhlth > 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, count(*) AS n FROM coded WHERE NOT train GROUP BY 2"""
 ORACLES["predictions"] = f"""{_CODED}, half AS (SELECT genhlth > 3 AS upper, sum(label) AS score FROM coded WHERE train GROUP BY 1)
@@ -346,3 +386,60 @@ _SAME = METRICS.replace(SCORED_SQL, _CODED + ", scored AS (" + " UNION ALL ".joi
     for model, score in {"logistic_regression": "genhlth", "random_forest": "CAST(genhlth > 3 AS DOUBLE)", "decision_tree": "CAST(genhlth > 3 AS DOUBLE)"}.items()
 ) + ")")
 ORACLES["model_compare"] = f"{_SAME} SELECT {ROUNDED} FROM metrics"
+
+
+_CELL = {
+    "longs": "regexp_full_match(cell, '[+-]?[0-9]+') AND try_cast(cell AS BIGINT) IS NOT NULL",
+    "doubles": "regexp_full_match(cell, '(?i)[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)(e[+-]?[0-9]+)?|[+-]?nan')",
+    "booleans": "lower(cell) IN ('true', 'false')",
+    "dates": "length(cell) = 10 AND try_cast(cell AS DATE) IS NOT NULL",
+    "timestamps": "length(cell) >= 10 AND try_cast(cell AS TIMESTAMP) IS NOT NULL",
+}
+_MIXED_ROWS = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{name}' AS \"column\", {sql} AS cell FROM events" for i, (name, sql) in enumerate(MIXED.items())
+)
+_TYPE = (
+    "CASE WHEN cells = 0 THEN 'double' WHEN longs = cells THEN 'bigint' WHEN doubles = cells THEN 'double' WHEN booleans = cells THEN 'boolean' "
+    "WHEN dates = cells THEN 'date' WHEN timestamps = cells THEN 'timestamp' ELSE 'string' END"
+)
+ORACLES["csv_types"] = f"""WITH cell AS (SELECT position, "column", CASE WHEN cell <> 'NA' THEN cell END AS cell FROM ({_MIXED_ROWS})),
+sums AS (SELECT position, "column", count(cell) AS cells, {", ".join(f"count(*) FILTER ({sql}) AS {name}" for name, sql in _CELL.items())} FROM cell GROUP BY ALL)
+SELECT *, {_TYPE} AS type, {_TYPE} AS read_as FROM sums"""
+
+ORACLES["stream_once"] = "SELECT event_id, value FROM events"
+ORACLES["stream_batches"] = """SELECT count(*) AS n, count(DISTINCT event_id) FILTER (event_id % 9 <> 0) AS events,
+  round(sum(CASE WHEN event_id % 4 > 0 THEN value END) FILTER (event_id % 9 <> 0), 4) AS total, count(*)::HUGEINT::BIGINT AS counted,
+  count(*) FILTER (event_id % 9 = 0) AS malformed, count(*) FILTER (event_id % 9 <> 0 AND event_id % 4 = 0) AS gaps FROM events"""
+ORACLES["table_versions"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0"
+ORACLES["full_run"] = f"""{LABELED_SQL}
+SELECT 'success' AS status, 1 AS model_count, 5 AS steps, (SELECT count(*) FROM survey) AS read_rows, (SELECT count(*) FROM survey WHERE row_key % 97 = 0) AS read_malformed,
+  count(*) AS stored_rows, count(*) - count(genhlth) AS gaps_genhlth, count(*) - count(age) AS gaps_age, count(*) - count(price) AS gaps_price,
+  'decision_tree' AS best_model, TRUE AS learned, 'age' AS first_feature FROM labeled"""
+
+_BINNED = ["age", "physhlth", "price"]
+ORACLES["kde_binned"] = f"""{LABELED_SQL}, long AS ({long_form("labeled", _BINNED)}),
+figure AS (
+  SELECT feature, count(value) AS n, min(value) AS lo, (max(value) - min(value)) / 199 AS step, stddev_samp(value) * power(count(value), -0.2::DOUBLE) AS h FROM long GROUP BY feature),
+shape AS (SELECT *, ceil(step / (h * sqrt(8 * 0.0001::DOUBLE))) AS parts, step / ceil(step / (h * sqrt(8 * 0.0001::DOUBLE))) AS width FROM figure),
+place AS (
+  SELECT feature, (value - lo) / width AS place, greatest(least(floor((value - lo) / width), 199 * parts - 1), 0) AS bin
+  FROM long JOIN shape USING (feature) WHERE value IS NOT NULL),
+weight AS (
+  SELECT feature, bin, sum(w) AS w FROM (
+    SELECT feature, bin, 1 - (place - bin) AS w FROM place UNION ALL SELECT feature, bin + 1 AS bin, place - bin AS w FROM place) GROUP BY feature, bin),
+dots AS (SELECT unnest(range(0, 200)) AS point),
+exact AS (SELECT feature, value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY feature, value),
+kernel AS (
+  SELECT feature, point, sum(e.n * exp(-0.5::DOUBLE * power((lo + point * step - value) / h, 2))) / (any_value(s.n) * any_value(h) * sqrt(2 * pi())) AS density
+  FROM exact e JOIN shape s USING (feature), dots GROUP BY feature, point),
+binned AS (
+  SELECT feature, point, any_value(lo + point * step) AS x, any_value(power(width / h, 2) / 8 / (h * sqrt(2 * pi()))) AS bound,
+    sum(w * exp(-0.5::DOUBLE * power((point * parts - bin) * width / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())) AS density
+  FROM weight JOIN shape USING (feature), dots GROUP BY feature, point)
+SELECT b.feature AS "column", b.point::INTEGER AS point, round(x, 4) AS x, round(b.density, 9) AS density, abs(b.density - k.density) <= bound AS within
+FROM binned b JOIN kernel k ON b.feature = k.feature AND b.point = k.point"""
+ORACLES["scatter_sample"] = f"""{SURVEY_SQL} SELECT physhlth AS x, round(price, 2) AS y, md5(row_key::VARCHAR) AS hash FROM survey
+WHERE physhlth IS NOT NULL AND price IS NOT NULL ORDER BY hash, x, y LIMIT 500"""
+ORACLES["quantiles_as_records_arrive"] = LABELED_SQL + " UNION ALL ".join(
+    f" SELECT '{c}' AS \"column\", " + ", ".join(f"round(quantile_cont({c}, {q / 100}), 4) AS q{q}" for q in (25, 50, 75)) + " FROM labeled" for c in ("age", "price", "sparse")
+)

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.survey import FEATURES, SPEC, labeled, scored, survey
+from checks.survey import FEATURES, MIXED, SPEC, labeled, scored, survey
 from tallyframe.functions.numbers import numeric_columns as numeric_names
 from tallyframe.operators import columns, correlation, distribution, information, metrics, models, profile
-from tallyframe.operators.quantiles import means, medians
+from tallyframe.operators.quantiles import exact_quantiles, means, medians
 from tallyframe.plans import prepare as plans
-from tallyframe.sources import records, results, tables
+from tallyframe.plans.run import run
+from tallyframe.sources import inference, records, results, tables
 from tallyframe.sources.scratch import scratch_dir
+from tallyframe.spec import SurveySpec
 from tallyframe.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +60,16 @@ def csv_roundtrip(spark, sf_dir):
     return tables.load_table(spark, path, RAW_SCHEMA)
 
 
+@query
+def csv_types(spark, sf_dir):
+    """Types of a CSV without schema, from all its cells: some columns have a few cells of another kind."""
+    path = scratch_dir(spark, "mixed") + ".csv"
+    tables.save_table(tables.load_table(spark, f"{sf_dir}/events.parquet").selectExpr(*[f"{sql} AS {name}" for name, sql in MIXED.items()]), path)
+    found = inference.type_counts(spark.read.option("header", True).csv(path))
+    read = dict(tables.load_table(spark, path).dtypes)
+    return found.withColumn("read_as", F.create_map(*[F.lit(x) for pair in read.items() for x in pair])[F.col("column")])
+
+
 @query
 def parquet_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "table")
@@ -120,6 +132,73 @@ def stream_malformed(spark, sf_dir):
     return spark.read.parquet(f"{base}/rows").agg(F.count("*").alias("n"), F.count("bad").alias("malformed"), F.sum(F.when(F.col("bad").isNull(), F.col("k"))).alias("k"))
 
 
+@query
+def stream_once(spark, sf_dir):
+    """Records that come again in later files are stored once, also after a restart between the files."""
+    base = scratch_dir(spark, "once")
+    events = tables.load_table(spark, f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    schema, once = "event_id bigint, ts timestamp, value double", streaming.Once(["event_id"], "ts", "10000 days")
+    # every third event twice in the first delivery, and all but every seventh again in the second
+    first = events.where("event_id % 2 = 0 OR event_id % 3 = 0").withColumn("again", F.explode(F.expr("sequence(0, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END)"))).drop("again")
+    for delivery in (first, events.where("event_id % 7 <> 0 OR event_id % 2 = 1")):
+        records.to_records(delivery).write.mode("append").text(f"{base}/lines")
+        streaming.ingest(
+            streaming.stream_lines(spark, f"{base}/lines"), schema, f"{base}/rows", f"{base}/checkpoint", available_now=True, timeout_seconds=600, once=once
+        )
+    return spark.read.parquet(f"{base}/rows").select("event_id", "value")
+
+
+@query
+def stream_batches(spark, sf_dir):
+    """Batches stored under their numbers, one of them run twice; what they counted on their way."""
+    base = scratch_dir(spark, "batches")
+    events = tables.load_table(spark, f"{sf_dir}/events.parquet").select("event_id", F.when(F.col("event_id") % 4 > 0, F.col("value")).alias("value"))
+    lines = records.to_records(events).select(F.when(F.get_json_object("value", "$.event_id").cast("long") % 9 == 0, "{").otherwise(F.col("value")).alias("value"))
+    lines.write.text(f"{base}/lines")
+    schema, paths = "event_id bigint, value double, bad string", (f"{base}/rows", f"{base}/counts")
+    streaming.ingest_batches(
+        streaming.stream_lines(spark, f"{base}/lines"), schema, paths[0], f"{base}/checkpoint", counts_path=paths[1], available_now=True, timeout_seconds=600, corrupt="bad"
+    )
+    again = records.parse_records(spark.read.text(f"{base}/lines"), schema, corrupt="bad")
+    streaming.batch_writer(*paths, corrupt="bad")(again, 0)  # as after a failure before the batch was marked as done
+    counts = streaming.batch_counts(spark, paths[1]).agg(F.sum("rows").alias("counted"), F.sum("malformed").alias("malformed"), F.sum(F.col("gaps")["value"]).alias("gaps"))
+    stored = streaming.read_batches(spark, paths[0]).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("events"), F.sum("value").alias("total"))
+    return rounded(stored.join(counts), 4, "total")
+
+
+@query
+def table_versions(spark, sf_dir):
+    """A table that was replaced, and whose next replacement died: readers see the last complete version."""
+    path = scratch_dir(spark, "versioned")
+    orders = tables.load_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
+    tables.save_table(orders.where("o_orderkey % 2 = 0"), path, versioned=True)
+    tables.save_table(orders.where("o_orderkey % 3 = 0"), path, versioned=True)
+    broken = orders.select("o_orderkey", F.expr("CASE WHEN o_orderkey % 5 = 0 THEN raise_error('gone') ELSE o_totalprice END").cast("double").alias("o_totalprice"))
+    try:
+        tables.save_table(broken, path, versioned=True)
+    except Exception as error:
+        if "gone" not in str(error):
+            raise
+    return tables.load_table(spark, path)
+
+
+@query
+def full_run(spark, sf_dir):
+    """The whole run over the survey: what its log says, and how well its best model does."""
+    base = scratch_dir(spark, "run")
+    rows = survey(spark, sf_dir).withColumn("bad", F.when(F.col("row_key") % 97 == 0, "{"))
+    spec = SurveySpec("target", ("genhlth", "age", "sparse", "konst", "price", "target"), measured=("price",))
+    tree = {"decision_tree": models.default_estimators()["decision_tree"]}
+    run(spark, spec, rows, f"{base}/prepared", f"{base}/metrics", f"{base}/log", ranking_path=f"{base}/ranking", corrupt="bad", estimators=tree)
+    logged = results.load_run_log(spark, f"{base}/log")
+    counts = {name.replace(".", "_"): F.col("counts")[name].alias(name.replace(".", "_")) for name in ("read.rows", "read.malformed", "stored.rows", "gaps.genhlth", "gaps.age", "gaps.price")}
+    best = results.load_metrics(spark, results.best_path(f"{base}/metrics"))
+    first = tables.load_table(spark, f"{base}/ranking").orderBy(F.desc("mi")).limit(1)
+    return logged.select("status", "model_count", F.size("step_durations_seconds").alias("steps"), *counts.values()).join(
+        best.select(F.col("model").alias("best_model"), (F.col("accuracy") > 0.7).alias("learned"))
+    ).join(first.select(F.col("feature").alias("first_feature")))
+
+
 @query
 def metrics_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "metrics")
@@ -292,6 +371,14 @@ def information_many_values(spark, sf_dir):
     return rounded(information.mutual_information(rows, ["price", "key_part", "age"], "label"), 6, "mi")
 
 
+@query
+def information_neighbours(spark, sf_dir):
+    """Measured features by nearest neighbours, beside a coded one by its values."""
+    rows = labeled(spark, sf_dir).withColumn("drift", F.col("price") + F.col("label") * 20000)
+    ranking = information.mutual_information(rows, ["genhlth", "age", "physhlth", "price", "drift"], "label", measured=["age", "physhlth", "price", "drift"])
+    return rounded(ranking, 6, "mi")
+
+
 @query
 def top_features(spark, sf_dir):
     ranking = plans.prepare(survey(spark, sf_dir), SPEC).ranking()
@@ -324,6 +411,35 @@ def kde(spark, sf_dir):
     return rounded(rounded(table, 4, "x"), 9, "density")
 
 
+@query
+def kde_binned(spark, sf_dir):
+    """Density from fine bins, and whether it is as near to the exact one as its bound says."""
+    rows, names = labeled(spark, sf_dir), ["age", "physhlth", "price"]
+    table = distribution.kde_binned(rows, names)
+    exact = distribution.kde(rows, names).select("column", "point", F.col("density").alias("exact"))
+    near = table.join(exact, ["column", "point"]).withColumn("within", F.abs(F.col("density") - F.col("exact")) <= F.col("error_bound") * (1 + 1e-9))
+    return rounded(rounded(near.drop("exact", "error_bound"), 4, "x"), 9, "density")
+
+
+@query
+def scatter_sample(spark, sf_dir):
+    return rounded(distribution.scatter_sample(survey(spark, sf_dir), "physhlth", "price", 500, by=["row_key"]), 2, "y")
+
+
+@query
+def quantiles_as_records_arrive(spark, sf_dir):
+    """Exact quartiles of all batches of a stream, which start from the sketches that were stored with each batch."""
+    base = scratch_dir(spark, "arriving")
+    records.to_records(labeled(spark, sf_dir), ["age", "price", "sparse"]).repartition(3).write.text(f"{base}/lines")
+    lines = streaming.stream_lines(spark, f"{base}/lines", maxFilesPerTrigger="1")
+    streaming.ingest_batches(
+        lines, "age double, price double, sparse double", f"{base}/rows", f"{base}/checkpoint", sketches_path=f"{base}/sketches", available_now=True, timeout_seconds=600
+    )
+    names = ["age", "price", "sparse"]
+    found = exact_quantiles(streaming.read_batches(spark, f"{base}/rows"), names, [0.25, 0.5, 0.75], sketches=streaming.read_batches(spark, f"{base}/sketches"))
+    return rounded(spark.createDataFrame([(c, *found[c]) for c in names], "column string, q25 double, q50 double, q75 double"), 4, "q25", "q50", "q75")
+
+
 @query
 def box_stats(spark, sf_dir):
     table = distribution.box_stats(labeled(spark, sf_dir), ["age", "physhlth", "price"])
@@ -472,6 +588,15 @@ def _coded(spark, sf_dir):
     return models.split_by(labeled(spark, sf_dir).where("genhlth IS NOT NULL").select("row_key", "genhlth", "label"), in_train())
 
 
+CODES = ["genhlth", "tenth"]
+
+
+def _two_codes(spark, sf_dir):
+    """Rows with two coded features, of five and about ten codes; the label is a staircase over both."""
+    rows = labeled(spark, sf_dir).where("genhlth IS NOT NULL").withColumn("tenth", F.floor(F.col("price") / 10000).cast("double"))
+    return models.split_by(rows.withColumn("label", (2 * F.col("genhlth") + F.col("tenth") > 12).cast("double")).select("row_key", *CODES, "label"), in_train())
+
+
 @query
 def model_logistic(spark, sf_dir):
     """Score equations: over the training rows, predicted and true labels agree in sum, and in sum with each feature as weight."""
@@ -498,6 +623,27 @@ def model_tree(spark, sf_dir):
     return rounded(scored_rows.groupBy(F.col("code").alias("genhlth")).agg(F.max("prediction").alias("prediction"), F.max("score").alias("score")), 6, "score")
 
 
+@query
+def model_tree_codes(spark, sf_dir):
+    """A tree over two codes that only both together explain: each cell has its own share of positives."""
+    train, _ = _two_codes(spark, sf_dir)
+    train = train.withColumns({f"own_{c}": F.col(c) for c in CODES})
+    rows = models.fit_features(train, CODES).assemble(train, *[f"own_{c}" for c in CODES], "label")
+    tree = models.fit_models(rows.select("label", "features"), {"decision_tree": models.default_estimators()["decision_tree"]})
+    cells = models.score(rows, tree, *[f"own_{c}" for c in CODES], by="probability").groupBy(*[F.col(f"own_{c}").alias(c) for c in CODES])
+    return rounded(cells.agg(F.max("prediction").alias("prediction"), F.min("score").alias("least"), F.max("score").alias("most")), 6, "least", "most")
+
+
+@query
+def model_compare_codes(spark, sf_dir):
+    """Models of two codes on two numbers of partitions: the same metrics but for the forest's draws of rows."""
+    train, test = _two_codes(spark, sf_dir)
+    one, other = (models.compare_models(train, test, CODES, partitions=n).select("model", "accuracy") for n in (64, 16))
+    both = one.join(other.withColumnRenamed("accuracy", "other"), "model")
+    near = F.abs(F.col("accuracy") - F.col("other")) < F.when(F.col("model") == "random_forest", 0.02).otherwise(1e-6)
+    return both.select("model", near.alias("near"), (F.col("accuracy") > 0.9).alias("learned")).join(test.agg(F.count("*").alias("tested")))
+
+
 @query
 def model_forest(spark, sf_dir):
     """A label without noise is predicted without error."""

@@ -85,3 +85,21 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     rows = labeled(spark, sf_dir).select("label", F.explode(F.array(*each)).alias("s"))
     return rows.select("s.model", "label", "s.prediction", "s.score")
+
+
+# Columns of a CSV file whose types have to be found: the same SQL in Spark and DuckDB, all texts.
+MIXED = {
+    "whole": "CAST(event_id AS VARCHAR(20))",
+    "gaps": "CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR(20)) END",
+    "marked": "CASE WHEN event_id % 5 = 0 THEN 'NA' ELSE CAST(user_id AS VARCHAR(20)) END",
+    "decimal": "CASE WHEN event_id % 4 = 0 THEN CAST(user_id AS VARCHAR(20)) ELSE concat(CAST(user_id AS VARCHAR(20)), '.', CAST(event_id % 10 AS VARCHAR(20)), 'e-3') END",
+    "not_a_number": "CASE WHEN event_id % 7 = 0 THEN 'NaN' ELSE CAST(event_id % 11 AS VARCHAR(20)) END",
+    "huge": "concat('99999999999999999', CAST(event_id % 300 AS VARCHAR(20)))",
+    "few_numbers": "CASE WHEN event_id % 50 = 0 THEN CAST(event_id AS VARCHAR(20)) ELSE event_type END",
+    "flag": "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'False' END",
+    "flag_or_one": "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE '1' END",
+    "day": "concat('2024-0', CAST(1 + event_id % 9 AS VARCHAR(20)), '-1', CAST(event_id % 10 AS VARCHAR(20)))",
+    "bad_day": "concat('2024-02-', CAST(10 + event_id % 30 AS VARCHAR(20)))",
+    "moment": "concat('2024-03-1', CAST(event_id % 10 AS VARCHAR(20)), CASE WHEN event_id % 6 = 0 THEN '' ELSE ' 23:59:01.5' END)",
+    "empty": "CAST(NULL AS VARCHAR(20))",
+}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions.numbers import ref
 
-PARTITIONS = 64
+PARTITIONS = 64  # parts that training rows are dealt into, unless a larger table asks for more
 
 
 def dealt(df: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
