@@ -17,8 +17,8 @@ from tallyframe.llm import words as W
 from tallyframe.llm.base import saved
 
 CLASSES = 24  # least number of classes; more words have words ** GROWTH of them
-GROWTH = 0.3
-LEAST = 5  # words seen more rarely have no class of their own: they take part in exchange together, with the words of their ending
+GROWTH = 0.28
+LEAST = 8  # words seen more rarely have no class of their own: they take part in exchange together, with the words of their ending
 PLACED = 1 << 22  # most words that have one of their own, the most frequent ones, so that a table of all classes is 8 MB at most
 CORE = 512  # most frequent words, which are clustered first; all others begin where they fit those best
 HEAD = 1 << 18  # most frequent words whose counts and classes go to every task; those of all others are joined
@@ -27,7 +27,7 @@ ENDINGS = 1 << 12  # endings, hashed to so many values; words that training has
 ENDING = 3  # code points
 EPS = 1e-4  # gains in log-likelihood up to this are rounding
 SHARE = 0.5  # of the words that would gain, at most so many move at once, as neighbours that move together undo each other's gain
-STOP = 5e-4  # exchange ends after a round that raises the log-likelihood by less than this share of what classes have won over a single one
+STOP = 1e-2  # exchange ends after a round that raises the log-likelihood by less than this share of what classes have won over a single one
 CHUNK = 1 << 17  # rows of bigrams that are handed to a task as one value, about
 END = 0  # key of a text's end
 SMOOTH = 0.5
@@ -248,8 +248,13 @@ def _class_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, of: np.ndarray, si
     return np.bincount(of[a].astype(np.int64) * side + of[b], weights=n, minlength=side * side).reshape(side, side)
 
 
-def _best_of_chunk(w: np.ndarray, v: np.ndarray, at: np.ndarray, n: np.ndarray, of: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unit, best class, gain) of the units of whole rows (w, v, side, n) sorted by w; ``of`` has the class of every unit, -1 for none."""
+def _best_of_chunk(
+    w: np.ndarray, v: np.ndarray, at: np.ndarray, n: np.ndarray, of: np.ndarray, pairs: np.ndarray, asked: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, best class, gain) of the units of whole rows (w, v, side, n) sorted by w, or of the ``asked`` ones; ``of`` has the class of every unit, -1 for none."""
+    if asked is not None:
+        rows = np.flatnonzero(asked[w])
+        w, v, at, n = w[rows], v[rows], at[rows], n[rows]
     first = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else np.zeros(0, np.int64)
     units, best, gain = w[first], [], []
     bounds = np.append(first, len(w))
@@ -373,8 +378,13 @@ def clustered(bigrams: DataFrame, placed: np.ndarray, core: np.ndarray, classes:
         return out.reshape(side, side)
 
     def propose(of: np.ndarray, between: np.ndarray, turn: int):
+        # only those that may move in this round are looked at
+        asked = _draws(np.arange(end + 1) + 1, turn) < SHARE if turn else None
+        asked_bits = None if asked is None else spark.sparkContext.broadcast(np.packbits(asked))
+
         def rows_of(chunk: tuple, of: np.ndarray) -> pa.RecordBatch:
-            at, best, gain = _best_of_chunk(*chunk, of, between)
+            some_ = None if asked_bits is None else np.unpackbits(asked_bits.value, count=end + 1).astype(bool)
+            at, best, gain = _best_of_chunk(*chunk, of, between, some_)
             some = (gain > 0) | (of[at] < 0)
             return pa.RecordBatch.from_arrays([pa.array(at[some]), pa.array(best[some].astype(np.int16)), pa.array(gain[some])], names=["unit", "best", "gain"])
 
@@ -396,10 +406,10 @@ def clustered(bigrams: DataFrame, placed: np.ndarray, core: np.ndarray, classes:
     group, core_pairs = exchanged_rows(a, b, n, core.astype(np.int64) + 1, np.arange(len(core)) % classes, classes)
     of = np.full(end + 1, -1, np.int16)
     of[core], of[end] = group, classes
-    seed = propose(of, core_pairs, 0)[0]
+    seed = propose(of, core_pairs, 0)[0]  # round 0 looks at all units
     fresh = of[seed[0]] < 0
     of[seed[0][fresh]] = seed[1][fresh]
-    return _settled(of, pairs_of, propose, move, STOP)
+    return _settled(of, pairs_of, lambda state, between, turn: propose(state, between, turn + 1), move, STOP)
 
 
 def learned(docs: DataFrame, classes: int | None = None, core: int = CORE, placed: int = PLACED, head: int = HEAD, least: int = LEAST) -> tuple[Model, DataFrame]:
