@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +76,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def release_memory() -> None:
+    """Give memory that a task has freed back to the system, as an idle Python worker would hold it beside the next stage's workers."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library of Linux
+    if trim is not None:
+        trim(0)
+
+
 def worker_state(name: str) -> dict:
     """A dict that a Python worker keeps between its tasks. Only for caches: any task may find it empty."""
     home = sys.modules.setdefault("tallyframe_worker_state", types.ModuleType("tallyframe_worker_state"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import words as W
-from tallyframe.llm.base import bounded_broadcast, fresh, saved, spread_join
+from tallyframe.llm.base import bounded_broadcast, fresh, release_memory, saved, spread_join
 from tallyframe.llm.components import components
 
 SHINGLE = 5
@@ -65,6 +65,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, sketch: int = SKETCH, list
                 columns = list(zip(*rows))
                 arrays = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *arrays], names=schema.names)
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -216,6 +217,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     return saved(pairs.join(one, "a").join(other, "b").mapInArrow(check, "a long, b long"), "confirmed")
 

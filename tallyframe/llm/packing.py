@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import words as W
-from tallyframe.llm.base import saved, worker_state
+from tallyframe.llm.base import release_memory, saved, worker_state
 
 CAPACITY = 4096
 END = 2
-CACHED_WORDS = 400_000  # most words whose ids a Python worker remembers
-SLICE_BYTES = 16 << 20
+CACHED_WORDS = 150_000  # most words whose ids a Python worker remembers
+SLICE_BYTES = 8 << 20
 RANK_ROWS = 20_000  # pieces that one window numbers, about
 TOKENIZER = "word_bpe_49k.json"
 _RANK_BITS = 44
@@ -111,6 +111,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 rows = np.array(list(of_slice(batch.column(1).slice(start, stop - start))), np.int64).reshape(-1, 5)
                 ids = batch.column(0).slice(start, stop - start).take(pa.array(rows[:, 0]))
                 yield pa.RecordBatch.from_arrays([ids, *map(pa.array, rows[:, 1:].T.copy())], names=schema.names)
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import words as W
-from tallyframe.llm.base import bounded_broadcast, fresh, saved
+from tallyframe.llm.base import bounded_broadcast, fresh, release_memory, saved
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SYMBOLS = "[#*$%&|<>]"
@@ -87,6 +87,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *[pa.array(counts[n], pa.int64()) for n in BASE]], names=[*batch.schema.names, *BASE]
                 )
+        release_memory()
 
     return docs.mapInArrow(run, schema)
 
