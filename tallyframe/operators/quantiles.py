@@ -11,7 +11,7 @@ are counted per value at once.  No task ever holds the values of a column.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -194,7 +194,7 @@ def _narrowed(data: DataFrame, brackets: list[_Bracket], known: DataFrame | None
     return out
 
 
-def _read(data: DataFrame, brackets: list[_Bracket], coded: set[str]) -> dict[tuple[str, int], float]:
+def _read(data: DataFrame, brackets: list[_Bracket], coded: Collection[str] = ()) -> dict[tuple[str, int], float]:
     """Order statistics of brackets from the counts of their values.
 
     Counting is spread by range and value; a window then runs over the different values of one range. Columns of few values are counted whole;

@@ -72,7 +72,7 @@ def test_no_task_gathers_values(spark):
     plans = []
     for column, rows in (("coded", 10), ("free", 100_000)):
         stats = quantiles.column_stats(df, [column])
-        bracket = quantiles._Bracket(column, 2500, stats.low[column], stats.high[column], 0, rows)
+        bracket = quantiles._Bracket(column, (2500,), stats.low[column], stats.high[column], 0, rows)
         collected = []
         frame_collect = type(df).collect
         try:
