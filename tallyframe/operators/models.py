@@ -11,13 +11,15 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.util import MLWritable
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.functions.layout import PARTITIONS, dealt, repeated
 from tallyframe.functions.numbers import doubles, ref
 from tallyframe.operators.columns import fill_missing
 from tallyframe.operators.metrics import METRICS_SCHEMA, model_metrics, rank_models
 from tallyframe.operators.quantiles import means, medians
+from tallyframe.sources.scratch import scratch_dir
 
 TRAIN_SHARE = 0.8
 SEED = 42
@@ -95,7 +97,20 @@ def fit_models(assembled: DataFrame, estimators: Mapping[str, Estimator] | None
     """Fit every estimator on one assembled (features, label) frame."""
     estimators = estimators or default_estimators()
     with repeated(assembled) as rows:
-        return {name: estimator.fit(rows) for name, estimator in estimators.items()}
+        return {name: _without_summary(assembled.sparkSession, estimator.fit(rows)) for name, estimator in estimators.items()}
+
+
+def _without_summary(spark: SparkSession, model: Model) -> Model:
+    """``model``, stored and loaded if it has a training summary.
+
+    A summary of two classes holds the session, and goes to the tasks with its model. In a session that has observed a table it cannot
+    be serialized, so no row could be scored. A loaded model has no summary.
+    """
+    if not (getattr(model, "hasSummary", False) and isinstance(model, MLWritable)):
+        return model
+    path = scratch_dir(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
 
 
 def score(assembled: DataFrame, models: Mapping[str, Model], *keep: str, by: str = "rawPrediction") -> DataFrame:

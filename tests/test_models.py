@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from tallyframe.operators import metrics, models
 
@@ -151,6 +151,16 @@ def test_three_models_are_compared(spark):
     assert (row["accuracy"], row["roc_auc"]) == (pytest.approx(accuracy), pytest.approx(auc))
 
 
+def test_models_score_in_a_session_that_observed_a_table(spark):
+    """A training summary holds the session, which tasks cannot take once it has observed a table."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = spark.range(400).selectExpr("double(id % 7) AS a", "double(id % 7 > 3) AS label")
+    few = models.default_estimators() | {"random_forest": models.default_estimators()["random_forest"].setNumTrees(3)}
+    assert {r["accuracy"] for r in models.compare_models(rows, rows, ["a"], few).collect()} == {1.0}
+
+
 CHILD = """
 import json, sys
 sys.path.insert(0, sys.argv[1])
