@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -18,7 +19,8 @@ from tallyframe.llm.base import release_memory, saved, worker_state
 CAPACITY = 4096
 END = 2
 CACHED_WORDS = 150_000  # most words whose ids a Python worker remembers
-SLICE_BYTES = 8 << 20
+OFTEN = 3  # times in a slice from which a word is remembered
+SLICE_BYTES = 2 << 20
 RANK_ROWS = 20_000  # pieces that one window numbers, about
 TOKENIZER = "word_bpe_49k.json"
 _RANK_BITS = 44
@@ -27,6 +29,8 @@ _RANK_BITS = 44
 def _tokenizer(path: str | None):
     held = worker_state("tokenizer")
     if path not in held:
+        # Spark's tasks fill the cores; threads of each worker besides cost CPU time and memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         if path is None:
@@ -38,35 +42,38 @@ def _tokenizer(path: str | None):
     return held[path]
 
 
-def word_ids(tokenizer, words: list[str], group: int = 100) -> list[bytes]:
+def word_ids(tokenizer, words: list[str], group: int = 100, at_once: int = 5000) -> list[bytes]:
     """Ids of each word as little-endian unsigned 32-bit numbers.
 
     Words are encoded in groups with a special token between them, at which the ids are parted again. That is right for tokenizers that
     drop white space, as each word then has the ids it has in its text. Words that might hold a special token are encoded alone.
+    What the tokenizer returns is far larger than the ids, so it is asked for ``at_once`` words only.
     """
     special = "<|endoftext|>"
     mark = tokenizer.token_to_id(special)
     plain = [i for i, w in enumerate(words) if mark is not None and "<|" not in w]
     out: list[bytes] = [b""] * len(words)
-    joined = [special.join(words[i] for i in plain[k : k + group]) for k in range(0, len(plain), group)]
-    done = iter(plain)
-    for encoding in tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-        ids = np.array(encoding.ids, "<u4")
-        for part in np.split(ids, np.flatnonzero(ids == mark)):
-            out[next(done)] = part[part != mark].tobytes()
+    for k in range(0, len(plain), at_once):
+        part = plain[k : k + at_once]
+        joined = [special.join(words[i] for i in part[g : g + group]) for g in range(0, len(part), group)]
+        ids = np.concatenate([np.array([*e.ids, mark], "<u4") for e in tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        flat, begin = ids.tobytes(), 0
+        for i, end in zip(part, (4 * np.flatnonzero(ids == mark)).tolist(), strict=True):
+            out[i] = flat[begin:end]
+            begin = end + 4
     for i in set(range(len(words))).difference(plain):
         out[i] = np.array(tokenizer.encode(words[i], add_special_tokens=False).ids, "<u4").tobytes()
     return out
 
 
-def _ids_of(tokenizer, vocabulary: list[str], cache: dict[str, bytes]) -> list[bytes]:
+def _ids_of(tokenizer, vocabulary: list[str], times: np.ndarray, cache: dict[str, bytes]) -> list[bytes]:
+    """Ids of each word; those found ``OFTEN`` times are remembered, as most others do not come back."""
     found = list(map(cache.get, vocabulary))
     missing = [i for i, ids in enumerate(found) if ids is None]
-    words = [vocabulary[i] for i in missing]
-    for i, ids in zip(missing, word_ids(tokenizer, words)):
+    for i, ids in zip(missing, word_ids(tokenizer, [vocabulary[i] for i in missing])):
         found[i] = ids
-    if len(cache) + len(words) <= CACHED_WORDS:
-        cache.update(zip(words, (found[i] for i in missing)))
+    often = [i for i in missing if times[i] >= OFTEN]
+    cache.update((vocabulary[i], found[i]) for i in often[: CACHED_WORDS - len(cache)])
     return found
 
 
@@ -74,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     """(doc_id, start, length, ids_crc32, doc_tokens): the ids of each text and then ``end``, cut after every ``capacity`` ids.
 
     ``tokenizer`` is the path of a tokenizer file that drops white space, by default the public vocabulary named in ``TOKENIZER``.
-    Each distinct word of a batch is encoded once; a worker remembers words between batches, up to a fixed number.
+    Each distinct word of a slice is encoded once; a worker remembers frequent words between slices, up to a fixed number.
     """
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType(
@@ -84,7 +91,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     def of_slice(texts: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         words, starts = W.split_words(texts)
         coded = words.dictionary_encode()
-        found = _ids_of(_tokenizer(tokenizer), coded.dictionary.to_pylist(), worker_state(f"word ids {tokenizer}"))
+        vocabulary = coded.dictionary.to_pylist()
+        times = np.bincount(np.asarray(coded.indices), minlength=len(vocabulary))
+        found = _ids_of(_tokenizer(tokenizer), vocabulary, times, worker_state(f"word ids {tokenizer}"))
         found.append(np.array([end], "<u4").tobytes())
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), "<u4")

@@ -532,6 +532,37 @@ def test_special_strings_and_odd_words():
     assert sum(got, []) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_encoded_a_few_thousand_at_a_time():
+    """What a tokenizer returns is far larger than the ids of the words, so its size must not follow that of a slice."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self):
+            self.inner, self.most = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER)), 0
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.most = max(self.most, sum(t.count("<|endoftext|>") + 1 for t in texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    tokenizer = Counting()
+    words = [f"w{i}x" for i in range(12_345)] + ["a<|endoftext|>b", "é"]
+    got = packing.word_ids(tokenizer, words)
+    assert tokenizer.most <= 5000
+    assert got == [np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+
+
+def test_only_frequent_words_are_remembered():
+    cache = {}
+    tokenizer = packing._tokenizer(None)
+    first = packing._ids_of(tokenizer, ["one", "three", "many"], np.array([1, 3, 50]), cache)
+    assert sorted(cache) == ["many", "three"]
+    assert packing._ids_of(tokenizer, ["three", "one"], np.array([1, 1]), cache) == [first[1], first[0]]
+
+
 def test_bin_patterns_fill_closest():
     rng = np.random.default_rng(0)
     for _ in range(30):
