@@ -160,8 +160,8 @@ def compare_models(
 
     Fill values and vectors are built once and shared by all models; all models
     are scored side by side and measured together in one pass of the test rows.
-    Training rows are dealt into ``partitions``: the forest depends on that number
-    and on the rows, not on cores; one in 100 MB of rows suits a large table.
+    Training rows are dealt into ``partitions``, or a multiple that leaves at most ``PART_ROWS`` rows in
+    each: the forest depends on that number and on the rows, not on cores.
     """
     layout = fit_features(train, features, strategy)
     # dealt by the raw cells: fill values are sums, whose last digits depend on the order of adding

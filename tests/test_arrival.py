@@ -10,6 +10,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
 from tallyframe import SurveySpec
+from tallyframe.functions import layout
 from tallyframe.operators import distribution, information, models, neighbours, quantiles
 from tallyframe.operators.columns import drop_non_numeric
 from tallyframe.plans.prepare import clean
@@ -233,3 +234,20 @@ def test_models_do_not_depend_on_input_partitions(spark):
     named = {"tree": DecisionTreeClassifier(maxDepth=4, seed=1), "line": LogisticRegression(maxIter=20)}
     first = models.compare_models(df, df, ["a", "b"], named, partitions=5).collect()
     assert models.compare_models(df.repartition(9), df, ["a", "b"], named, partitions=5).collect() == first
+
+
+def test_equal_rows_are_dealt_round(spark, monkeypatch):
+    """A table of a few codes has few different rows, which must not lie in as few parts, nor grow them without bound."""
+    df = spark.range(6000).selectExpr("id % 2 AS code", "if(id % 2 = 0, null, 'a') AS word")
+    parts = layout.dealt(df, 8)
+    sizes = [r["n"] for r in parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) - min(sizes) <= 2
+    assert parts.groupBy("code", "word").count().collect() and parts.exceptAll(df).count() == df.exceptAll(parts).count() == 0
+    again = [list(map(tuple, p)) for p in layout.dealt(df.repartition(5), 8).rdd.glom().collect()]
+    assert again == [list(map(tuple, p)) for p in parts.rdd.glom().collect()]
+    monkeypatch.setattr(layout, "PART_ROWS", 100)
+    monkeypatch.setattr(layout, "SHARE_ROWS", 7)
+    many = layout.dealt(df, 8)
+    sizes = [r["n"] for r in many.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert many.rdd.getNumPartitions() == len(sizes) == 64 and max(sizes) <= 110 and sum(sizes) == 6000
+    assert layout.dealt(df.limit(0), 8).count() == 0
