@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import exp, lgamma
 
 import numpy as np
 import pandas as pd
@@ -20,12 +22,14 @@ SHINGLE = 5
 PERCENT = 80
 SKETCH = 256  # smallest hashes kept of a document, for estimates
 LISTED = 24  # of these, how many take part in inverted lists, which are kept for pairs of neighbours among them
-BLOCK = 256  # documents of a list that are compared in one block
+BLOCK = 512  # documents of a list that are compared in one block
 CELLS_AT_ONCE = 4_000  # rows that one group of blocks holds, about
 SIGMAS = 5.0
+MISSED = 1e-9  # probability with which an estimate may drop a pair that reaches the threshold
 BROADCAST_IDS = 500_000
 BROADCAST_SKETCHES = 10_000
 _MARK = np.uint64(0x5851F42D4C957F2D)
+_HALF = np.uint64(32)
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -42,6 +46,12 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield np.unique(own)
 
 
+def listed_values(low: np.ndarray, listed: int = LISTED) -> np.ndarray:
+    """One number for each two neighbours among the first ``listed`` of a sketch: the names of its inverted lists."""
+    head = low[:listed].astype(np.uint64)
+    return W.mix(head[:-1] << _HALF | head[1:]).view(np.int64)
+
+
 def sketches(docs: DataFrame, shingle: int = SHINGLE, sketch: int = SKETCH, listed: int = LISTED) -> DataFrame:
     """(doc_id, n, set_a, set_b, sketch, listed): size of the shingle set, 128 bits of it, and its smallest hashes.
 
@@ -60,8 +70,8 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, sketch: int = SKETCH, list
                 for own in shingle_sets(batch.column(1).slice(start, stop - start), shingle):
                     digest = xxhash.xxh3_128_digest(own.tobytes())
                     a, b = np.frombuffer(digest, np.int64).tolist()
-                    low = (own[:sketch] >> np.uint64(32)).astype(np.uint32)
-                    rows.append((len(own), a, b, low.tobytes(), W.mix(own[: listed - 1][: max(len(own) - 1, 0)] * _MARK + own[1:listed]).view(np.int64)))
+                    low = (own[:sketch] >> _HALF).astype(np.uint32)
+                    rows.append((len(own), a, b, low.tobytes(), listed_values(low, listed)))
                 columns = list(zip(*rows))
                 arrays = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *arrays], names=schema.names)
@@ -81,6 +91,38 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, f
     return value, 0.0 if edge is None else (0.25 / max(union, 1)) ** 0.5
 
 
+@lru_cache(1 << 16)
+def most_apart(seen: int, sizes: int, percent: int) -> int:
+    """Most of the ``seen`` least hashes of a union that only one of two sets can have, if they reach ``percent``; ``sizes`` is the sum of theirs.
+
+    Their similarity bounds how many of the whole union only one has. The seen ones are drawn from the union without replacement, so how
+    many of these are among them is hypergeometric; more than returned have a probability of at most ``MISSED``.
+    """
+    apart = sizes * (100 - percent) // (100 + percent)
+    apart -= (sizes - apart) % 2
+    union = (sizes + apart) // 2
+    if seen >= union:
+        return apart
+    choose = lambda n, k: lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+    most, beyond = min(seen, apart), 0.0
+    while most > max(0, seen - (union - apart)):
+        beyond += exp(choose(apart, most) + choose(union - apart, seen - most) - choose(union, seen))
+        if beyond > MISSED:
+            break
+        most -= 1
+    return most
+
+
+def may_reach(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Whether sets of ``n_a`` and ``n_b`` shingles with these sketches may reach ``percent``: certain if the sketches are whole sets."""
+    held = min([len(x) for x, n in ((a, n_a), (b, n_b)) if n > len(x)], default=None)
+    times = np.unique(np.concatenate([a, b]), return_counts=True)[1][:held]
+    common = int((times == 2).sum())
+    if held is None:
+        return common > 0 and 100 * common >= percent * len(times)
+    return len(times) - common <= most_apart(len(times), int(n_a) + int(n_b), percent)
+
+
 def _unpacked(values) -> list[np.ndarray]:
     return [np.unique(np.frombuffer(x, np.uint32)) for x in values]
 
@@ -121,11 +163,14 @@ def _common_counts(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return common
 
 
-def _block_pairs(rep: np.ndarray, n: np.ndarray, group: np.ndarray, packed: list, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of a block that may reach ``percent``: one document from each side, not yet in one component.
+def _block_pairs(
+    value: int, rep: np.ndarray, n: np.ndarray, group: np.ndarray, packed: list, left: np.ndarray, right: np.ndarray, percent: int
+) -> Iterator[tuple[int, int]]:
+    """Pairs of a block of the list ``value`` that may reach ``percent``: one document from each side, not yet in one component.
 
     Pairs whose sketches are whole sets are certain, and so are estimates ``SIGMAS`` standard errors above the threshold; of these, only as
-    many as connect the block. The others are first held against the least number of common hashes that the estimate can need.
+    many as connect the block. The others are first held against the least number of common hashes that the estimate can need, and
+    estimated in the least of all lists that have both: they meet in each of these, as none can be settled that parts two components.
     """
     sets = _unpacked(packed)
     held = np.array([len(s) for s in sets])
@@ -135,62 +180,63 @@ def _block_pairs(rep: np.ndarray, n: np.ndarray, group: np.ndarray, packed: list
     whole = held >= n
     certain = whole[:, None] & whole[None]
     least = np.minimum(held[:, None], held[None])
-    needed = least * (percent / 100 - SIGMAS * 0.5 / np.sqrt(np.maximum(least, 1)))
+    needed = least - (n[:, None] + n[None]) * ((100 - percent) / (100 + percent))
     open_ &= np.where(certain, 100 * common >= percent * (held[:, None] + held[None] - common), common >= needed)
     open_ = np.triu(open_ | open_.T, 1)
     forest = _Forest(len(rep))
     for i, j in zip(*np.nonzero(open_ & certain)):
         if forest.join(i, j):
             yield int(rep[i]), int(rep[j])
-    for i, j in zip(*np.nonzero(open_ & ~certain)):
+    lists: dict[int, set[int]] = {}
+    for i, j in zip(*(x.tolist() for x in np.nonzero(open_ & ~certain))):
         if forest.root(i) != forest.root(j):
-            seen, error = estimate(sets[i], sets[j], n[i], n[j])
-            if 100 * (seen + SIGMAS * error) >= percent:
+            for k in (i, j):
+                if k not in lists:
+                    lists[k] = set(listed_values(np.frombuffer(packed[k], np.uint32)).tolist())
+            if min(lists[i] & lists[j], default=value) == value and may_reach(sets[i], sets[j], n[i], n[j], percent):
                 yield int(rep[i]), int(rep[j])
-            if 100 * (seen - SIGMAS * error) >= percent:
-                forest.join(i, j)
+                seen, error = estimate(sets[i], sets[j], n[i], n[j])
+                if 100 * (seen - SIGMAS * error) >= percent:
+                    forest.join(i, j)
 
 
-def block_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that may be similar, from rows (value, rep, n, sketch, component, left).
+def block_candidates(rows: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that may be similar, from rows (value, rep, component, left) and the sketches (rep, n, sketch) of their ``rep``.
 
     A row of a list stands on the left if its links are open, and on the right always. Both sides of a list are cut into blocks of about
     ``BLOCK`` rows; each left block meets each right block in one task, so no list is gathered and its pairs are not rows of a join.
+    Sketches join the rows last, when each row knows its blocks.
     """
     sizes = rows.groupBy("value").agg(F.sum(F.col("left").cast("int")).alias("n_left"), F.count("*").alias("n_right"))
     parts = lambda c: F.floor((F.col(c) + BLOCK - 1) / BLOCK).cast("int")
     sized = rows.join(sizes, "value").withColumn("p", parts("n_left")).withColumn("q", parts("n_right")).drop("n_left", "n_right")
     mine = lambda c: F.pmod(F.xxhash64("rep", F.lit(3)), F.col(c)).cast("int")
-    as_right = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: F.struct(i.alias("i"), mine("q").alias("j"), F.lit(False).alias("as_left")))
-    as_left = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda j: F.struct(mine("p").alias("i"), j.alias("j"), F.lit(True).alias("as_left")))
-    cells = F.when(F.col("left"), F.array_union(as_left, as_right)).otherwise(as_right)
-    dealt = sized.where("p > 0").withColumn("cell", F.explode(cells)).select("value", "rep", "n", "sketch", "component", "cell.*")
+    cell = lambda i, j, left, right: F.struct(i.alias("i"), j.alias("j"), left.alias("as_left"), right.alias("as_right"))
+    as_right = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: cell(i, mine("q"), F.lit(False), F.lit(True)))
+    as_left = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda j: cell(mine("p"), j, F.lit(True), j == mine("q")))
+    cells = F.when(F.col("left"), F.concat(as_left, F.filter(as_right, lambda c: c["i"] != mine("p")))).otherwise(as_right)
+    dealt = saved(sized.where("p > 0").withColumn("cell", F.explode(cells)).select("value", "rep", "component", "cell.*"), "cells")
     schema = "a long, b long"
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         found = []
-        value, i, j, rep, side = (block[c].to_numpy() for c in ("value", "i", "j", "rep", "as_left"))
-        order = np.lexsort((side, rep, j, i, value))
-        new_rep = np.ones(len(order), bool)
+        value, i, j, rep = (block[c].to_numpy() for c in ("value", "i", "j", "rep"))
+        order = np.lexsort((rep, j, i, value))
         new_cell = np.ones(len(order), bool)
         new_cell[1:] = False
         for c in (value, i, j):
             new_cell[1:] |= c[order][1:] != c[order][:-1]
-        new_rep[1:] = new_cell[1:] | (rep[order][1:] != rep[order][:-1])
-        first = np.flatnonzero(new_rep)
-        once = order[first]
-        left, right = np.maximum.reduceat(side[order], first), ~np.minimum.reduceat(side[order], first)
-        n, group, packed = block["n"].to_numpy(), block["component"].to_numpy(), block["sketch"].to_numpy()
-        bounds = [*np.flatnonzero(new_cell[first]).tolist(), len(first)]
+        left, right, n, group, packed = (block[c].to_numpy() for c in ("as_left", "as_right", "n", "component", "sketch"))
+        bounds = [*np.flatnonzero(new_cell).tolist(), len(order)]
         for a, b in zip(bounds, bounds[1:]):
             if b - a > 1:
-                own = once[a:b]
-                found += _block_pairs(rep[own], n[own], group[own], packed[own].tolist(), left[a:b], right[a:b], percent)
+                own = order[a:b]
+                found += _block_pairs(int(value[own[0]]), rep[own], n[own], group[own], packed[own].tolist(), left[own], right[own], percent)
         return pd.DataFrame([(min(p), max(p)) for p in found], columns=["a", "b"], dtype="int64")
 
-    total = dealt.count()
-    key = F.pmod(F.xxhash64("value", "i", "j"), F.lit(total // CELLS_AT_ONCE + 1))
-    return dealt.groupBy(key.alias("bucket")).applyInPandas(compare, schema).distinct()
+    key = F.pmod(F.xxhash64("value", "i", "j"), F.lit(dealt.count() // CELLS_AT_ONCE + 1))
+    met = dealt.join(sketched.select("rep", "n", "sketch"), "rep")
+    return met.groupBy(key.alias("bucket")).applyInPandas(compare, schema).distinct()
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -240,8 +286,7 @@ def _promising_links(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
             a, b, n_a, n_b, s_a, s_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "n_a", "n_b", "s_a", "s_b"))
             keep = []
             for left, right, x, y in zip(s_a, s_b, n_a.to_pylist(), n_b.to_pylist()):
-                value, error = estimate(*_unpacked((left.as_buffer(), right.as_buffer())), x, y)
-                keep.append(100 * (value + SIGMAS * error) >= percent)
+                keep.append(may_reach(*_unpacked((left.as_buffer(), right.as_buffer())), x, y, percent))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     similar = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
@@ -269,8 +314,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     probability of the similarity, and two common ones in a row are neighbours in both sets, so a pair at 0.85 misses all its lists with
     a probability of 5e-09, one at 0.8 of 2e-07; sets of up to ``LISTED`` shingles miss none. All members of a list
     are first held against its least one, which joins most groups of copies. Only lists whose members are not in one component then go on: their
-    members outside the largest component are compared with all of the list, in blocks. The estimate from the union of both sketches drops pairs
-    ``SIGMAS`` standard errors below the threshold; the rest is confirmed on whole sets.
+    members outside the largest component are compared with all of the list, in blocks. The union of both sketches drops a pair that
+    reaches the threshold with a probability of ``MISSED`` at most; the rest is confirmed on whole sets.
 
     Null or empty texts and those of blanks only have no shingles and are linked with nothing; so is a null ``doc_id``, whose component is
     null. Rows with one ``doc_id`` should have one text; of several, each gives a row, and the least set by hash stands for the document in
@@ -284,7 +329,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = confirmed(_promising_links(_stars(classes), classes, percent), docs, shingle, percent)
     tagged = classes.join(components(links), F.col("rep") == F.col("node"), "left")
     tagged = saved(tagged.select("rep", "n", "sketch", "listed", F.coalesce("component", "rep").alias("component")), "tagged")
-    candidates = block_candidates(saved(_open_lists(tagged).join(tagged.drop("listed", "component"), "rep"), "open"), percent)
+    lists = saved(_open_lists(tagged), "open")
+    wanted = saved(lists.select("rep").distinct(), "listed")
+    candidates = block_candidates(lists, tagged.join(bounded_broadcast(wanted, BROADCAST_IDS), "rep", "left_semi"), percent)
     more = confirmed(candidates, docs, shingle, percent)
     joined = components(links.union(more))
     grouped = classes.join(joined, classes["rep"] == joined["node"], "left").select(

@@ -434,6 +434,30 @@ def test_near_dedup_of_repeated_rows(spark):
     assert sorted((r["doc_id"] or 0) for r in left) == [0, 0, 1, 3]
 
 
+def test_pairs_below_the_threshold_are_not_candidates(spark, monkeypatch):
+    """60 documents with 0.72 of their shingles in common, in many lists together: their 1,770 pairs are not handed on."""
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choices(string.ascii_lowercase, k=8))
+    shared = [word() for _ in range(335)]
+    rows = [(i, " ".join(shared + [word() for _ in range(65)])) for i in range(60)]
+    rows += [(60, " ".join(shared + [word() for _ in range(12)])), (61, " ".join(shared + [word() for _ in range(12)]))]
+    handed, confirmed = [], near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda pairs, *rest: confirmed(handed.append(pairs.count()) or pairs, *rest))
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85), "n_shingles", "component_id")
+    assert got == brute.near_components(rows, 3, 85) and got[61][1] == 60
+    assert sum(handed) < 200
+
+
+def test_an_estimate_drops_a_similar_pair_with_a_stated_probability():
+    for seen, sizes, percent in ((256, 800, 85), (256, 20_000, 80), (40, 100, 85), (256, 560, 80)):
+        most = near_dedup.most_apart(seen, sizes, percent)
+        apart = max(d for d in range(sizes) if (sizes - d) % 2 == 0 and 100 * (sizes - d) >= percent * (sizes + d))
+        union = (sizes + apart) // 2
+        ways = [math.comb(apart, d) * math.comb(union - apart, seen - d) for d in range(min(seen, apart) + 1)]
+        beyond = lambda x: sum(ways[x + 1 :]) / math.comb(union, seen)
+        assert beyond(most) <= near_dedup.MISSED * 1.001 and (not most or beyond(most - 1) > near_dedup.MISSED * 0.999)
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(links).collect()}
