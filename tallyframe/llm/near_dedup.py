@@ -269,8 +269,11 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
 
 def _stars(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of each representative and the least member of each inverted list that it is in."""
-    entries = classes.select("rep", F.explode(F.array_distinct("listed")).alias("value"))
+    """Distinct pairs (a, b) of each representative and the least member of each inverted list that it is in.
+
+    Entries are dealt by list once, for their minima and for the join with these.
+    """
+    entries = classes.select("rep", F.explode(F.array_distinct("listed")).alias("value")).where("rep IS NOT NULL").repartition("value")
     heads = entries.groupBy("value").agg(F.min("rep").alias("a"), F.count("*").alias("many")).where("many > 1").drop("many")
     return saved(entries.join(heads, "value").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "stars")
 
@@ -298,8 +301,10 @@ def _open_lists(tagged: DataFrame) -> DataFrame:
 
     ``left`` marks the members outside the largest component of the list: each pair not yet joined has one of them.
     """
-    entries = tagged.select("rep", "component", F.explode(F.array_distinct("listed")).alias("value"))
-    unsettled = entries.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("value")
+    entries = tagged.select("rep", "component", F.explode(F.array_distinct("listed")).alias("value")).repartition("value")
+    # the least rep keeps all columns in use, so that both sides of the join read one shuffle
+    ends = entries.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("least"))
+    unsettled = ends.where("low <> high AND least IS NOT NULL").select("value")
     rows = saved(entries.join(unsettled, "value"), "lists")
     shares = rows.groupBy("value", "component").agg(F.count("*").alias("share"))
     largest = shares.groupBy("value").agg(F.max(F.struct("share", "component")).alias("top"))
