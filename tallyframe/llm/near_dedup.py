@@ -28,6 +28,7 @@ SIGMAS = 5.0
 MISSED = 1e-9  # probability with which an estimate may drop a pair that reaches the threshold
 BROADCAST_IDS = 500_000
 BROADCAST_SKETCHES = 10_000
+BROADCAST_HEADS = 100_000
 _MARK = np.uint64(0x5851F42D4C957F2D)
 _HALF = np.uint64(32)
 
@@ -201,11 +202,12 @@ def _block_pairs(
 
 
 def block_candidates(rows: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that may be similar, from rows (value, rep, component, left) and the sketches (rep, n, sketch) of their ``rep``.
+    """Distinct pairs (a, b), a < b, that may be similar, from rows (value, a, rep, component, left) and the sketches (rep, n, sketch) of their ``rep``.
 
     A row of a list stands on the left if its links are open, and on the right always. Both sides of a list are cut into blocks of about
     ``BLOCK`` rows; each left block meets each right block in one task, so no list is gathered and its pairs are not rows of a join.
-    Sketches join the rows last, when each row knows its blocks.
+    Lists with one least member ``a``, of which there are ``LISTED`` at most, mostly have the same others and go to one task, where a
+    sketch comes once for all rows of its ``rep``.
     """
     sizes = rows.groupBy("value").agg(F.sum(F.col("left").cast("int")).alias("n_left"), F.count("*").alias("n_right"))
     parts = lambda c: F.floor((F.col(c) + BLOCK - 1) / BLOCK).cast("int")
@@ -215,11 +217,13 @@ def block_candidates(rows: DataFrame, sketched: DataFrame, percent: int) -> Data
     as_right = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: cell(i, mine("q"), F.lit(False), F.lit(True)))
     as_left = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda j: cell(mine("p"), j, F.lit(True), j == mine("q")))
     cells = F.when(F.col("left"), F.concat(as_left, F.filter(as_right, lambda c: c["i"] != mine("p")))).otherwise(as_right)
-    dealt = saved(sized.where("p > 0").withColumn("cell", F.explode(cells)).select("value", "rep", "component", "cell.*"), "cells")
+    dealt = saved(sized.where("p > 0").withColumn("cell", F.explode(cells)).select("value", "a", "rep", "component", "cell.*"), "cells")
     schema = "a long, b long"
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         found = []
+        is_row = block["sketch"].isna()
+        block = block.loc[is_row].drop(columns=["n", "sketch"]).merge(block.loc[~is_row, ["rep", "n", "sketch"]], on="rep")
         value, i, j, rep = (block[c].to_numpy() for c in ("value", "i", "j", "rep"))
         order = np.lexsort((rep, j, i, value))
         new_cell = np.ones(len(order), bool)
@@ -234,9 +238,13 @@ def block_candidates(rows: DataFrame, sketched: DataFrame, percent: int) -> Data
                 found += _block_pairs(int(value[own[0]]), rep[own], n[own], group[own], packed[own].tolist(), left[own], right[own], percent)
         return pd.DataFrame([(min(p), max(p)) for p in found], columns=["a", "b"], dtype="int64")
 
-    key = F.pmod(F.xxhash64("value", "i", "j"), F.lit(dealt.count() // CELLS_AT_ONCE + 1))
-    met = dealt.join(sketched.select("rep", "n", "sketch"), "rep")
-    return met.groupBy(key.alias("bucket")).applyInPandas(compare, schema).distinct()
+    key = F.pmod(F.xxhash64("a", "i", "j"), F.lit(dealt.count() // CELLS_AT_ONCE + 1))
+    rows = dealt.withColumn("bucket", key).drop("a")
+    once = rows.select("bucket", "rep").distinct().join(sketched.select("rep", "n", "sketch"), "rep")
+    # zeros, not nulls: pandas holds longs with nulls as doubles, which have too few digits for ``value``
+    blank = [F.lit(0).cast(rows.schema[c].dataType).alias(c) for c in ("value", "component", "i", "j", "as_left", "as_right")]
+    once = once.select("bucket", "rep", *blank, "n", "sketch")
+    return rows.withColumn("n", F.lit(0).cast("long")).withColumn("sketch", F.lit(None).cast("binary")).unionByName(once).groupBy("bucket").applyInPandas(compare, schema).distinct()
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -268,21 +276,29 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return saved(pairs.join(one, "a").join(other, "b").mapInArrow(check, "a long, b long"), "confirmed")
 
 
-def _stars(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of each representative and the least member of each inverted list that it is in.
+def _meetings(classes: DataFrame) -> DataFrame:
+    """(value, many, a, rep): the entries of each inverted list of several members, with its least member ``a``, which has no row of its own.
 
     Entries are dealt by list once, for their minima and for the join with these.
     """
     entries = classes.select("rep", F.explode(F.array_distinct("listed")).alias("value")).where("rep IS NOT NULL").repartition("value")
-    heads = entries.groupBy("value").agg(F.min("rep").alias("a"), F.count("*").alias("many")).where("many > 1").drop("many")
-    return saved(entries.join(heads, "value").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "stars")
+    heads = entries.groupBy("value").agg(F.min("rep").alias("a"), F.count("*").alias("many")).where("many > 1")
+    return saved(entries.join(heads, "value").where("a <> rep").select("value", "many", "a", "rep"), "met")
 
 
-def _promising_links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Those ``pairs`` whose sketches do not rule out ``percent``. A hub of very many pairs meets them by broadcast."""
-    sides = [classes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab"]
+def _sketches_of(ids: DataFrame, classes: DataFrame, own: DataFrame) -> DataFrame:
+    """(rep, n, sketch) of the representatives in ``ids`` (rep). Sketches are read from ``own``, so the others' are never shuffled."""
+    sets = ["set_a", "set_b", "n"]
+    named = classes.join(bounded_broadcast(ids, BROADCAST_IDS), "rep", "left_semi").select("rep", *sets)
+    wanted = bounded_broadcast(saved(named, "wanted-sketches"), BROADCAST_IDS)
+    return own.withColumn("rep", F.col("doc_id").cast("long")).join(wanted, ["rep", *sets]).select("rep", "n", "sketch")
+
+
+def _promising_links(pairs: DataFrame, sketched: DataFrame, percent: int, most_rows: int) -> DataFrame:
+    """Those ``pairs`` whose sketches (rep, n, sketch) do not rule out ``percent``. A hub of very many pairs meets them by broadcast."""
+    sides = [sketched.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab"]
     hubs = saved(pairs.groupBy("a").agg(F.count("*").alias("pairs")).join(sides[0], "a"), "hubs")
-    met = spread_join(pairs, hubs, ["a"], "pairs", pairs.count(), most_rows=BROADCAST_SKETCHES).join(sides[1], "b")
+    met = spread_join(pairs, hubs, ["a"], "pairs", pairs.count(), most_rows=most_rows).join(sides[1], "b")
 
     def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,16 +312,29 @@ def _promising_links(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
     return met.where(similar).mapInArrow(promising, "a long, b long")
 
 
-def _open_lists(tagged: DataFrame) -> DataFrame:
-    """(value, rep, component, left) of the inverted lists whose members are not all in one component.
+def _star_links(meetings: DataFrame, classes: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of each representative and the least member of each inverted list that it is in, which may reach ``percent``.
+
+    Most share a list by chance. The first ``LISTED`` hashes, a sketch themselves, rule these out, so whole sketches move for the rest alone.
+    """
+    stars = saved(meetings.select("a", F.col("rep").alias("b")).distinct(), "stars")
+    heads = classes.select("rep", "n", F.col("head").alias("sketch"))
+    left = saved(_promising_links(stars, heads, percent, BROADCAST_HEADS), "star-heads")
+    ids = saved(left.select(F.col("a").alias("rep")).union(left.select(F.col("b").alias("rep"))).distinct(), "star-ids")
+    return _promising_links(left, _sketches_of(ids, classes, own), percent, BROADCAST_SKETCHES)
+
+
+def _open_lists(meetings: DataFrame, joined: DataFrame) -> DataFrame:
+    """(value, a, rep, component, left) of the inverted lists whose members, without the least one, are not all in one component.
 
-    ``left`` marks the members outside the largest component of the list: each pair not yet joined has one of them.
+    The least member has been held against all others, so its pairs are decided. ``left`` marks the members outside the largest
+    component of the list: each pair that is neither joined nor decided has one of them.
     """
-    entries = tagged.select("rep", "component", F.explode(F.array_distinct("listed")).alias("value")).repartition("value")
-    # the least rep keeps all columns in use, so that both sides of the join read one shuffle
-    ends = entries.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("least"))
-    unsettled = ends.where("low <> high AND least IS NOT NULL").select("value")
-    rows = saved(entries.join(unsettled, "value"), "lists")
+    several = meetings.where("many > 2").select("value", "a", "rep")
+    found = several.join(bounded_broadcast(joined, BROADCAST_IDS), F.col("rep") == F.col("node"), "left")
+    entries = saved(found.select("value", "a", "rep", F.coalesce("component", "rep").alias("component")), "entries")
+    ends = entries.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = saved(entries.join(ends.where("low <> high").select("value"), "value"), "lists")
     shares = rows.groupBy("value", "component").agg(F.count("*").alias("share"))
     largest = shares.groupBy("value").agg(F.max(F.struct("share", "component")).alias("top"))
     return rows.join(largest.select("value", F.col("top.component").alias("top")), "value").withColumn("left", F.col("component") != F.col("top")).drop("top")
@@ -318,9 +347,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     among its ``LISTED`` smallest hashes name an inverted list. Of the smallest hashes in the union of two similar sets, each is common with the
     probability of the similarity, and two common ones in a row are neighbours in both sets, so a pair at 0.85 misses all its lists with
     a probability of 5e-09, one at 0.8 of 2e-07; sets of up to ``LISTED`` shingles miss none. All members of a list
-    are first held against its least one, which joins most groups of copies. Only lists whose members are not in one component then go on: their
-    members outside the largest component are compared with all of the list, in blocks. The union of both sketches drops a pair that
-    reaches the threshold with a probability of ``MISSED`` at most; the rest is confirmed on whole sets.
+    are first held against its least one, which joins most groups of copies. Only lists whose other members are not in one component then go on: their
+    members outside the largest component are compared with all of these, in blocks. The union of both sketches drops a pair that
+    reaches the threshold with a probability of ``MISSED`` at most, and so do their first ``LISTED`` hashes; the rest is confirmed on whole sets.
 
     Null or empty texts and those of blanks only have no shingles and are linked with nothing; so is a null ``doc_id``, whose component is
     null. Rows with one ``doc_id`` should have one text; of several, each gives a row, and the least set by hash stands for the document in
@@ -328,15 +357,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """
     own = saved(sketches(docs, shingle), "sketches")
     classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b", "n").agg(
-        F.min("doc_id").cast("long").alias("rep"), F.first("sketch").alias("sketch"), F.first("listed").alias("listed")
+        F.min("doc_id").cast("long").alias("rep"), F.first(F.substring("sketch", 1, 4 * LISTED)).alias("head"), F.first("listed").alias("listed")
     )
     classes = saved(classes, "classes")
-    links = confirmed(_promising_links(_stars(classes), classes, percent), docs, shingle, percent)
-    tagged = classes.join(components(links), F.col("rep") == F.col("node"), "left")
-    tagged = saved(tagged.select("rep", "n", "sketch", "listed", F.coalesce("component", "rep").alias("component")), "tagged")
-    lists = saved(_open_lists(tagged), "open")
+    meetings = _meetings(classes)
+    links = confirmed(_star_links(meetings, classes, own, percent), docs, shingle, percent)
+    lists = saved(_open_lists(meetings, saved(components(links), "joined")), "open")
     wanted = saved(lists.select("rep").distinct(), "listed")
-    candidates = block_candidates(lists, tagged.join(bounded_broadcast(wanted, BROADCAST_IDS), "rep", "left_semi"), percent)
+    candidates = block_candidates(lists, _sketches_of(wanted, classes, own), percent)
     more = confirmed(candidates, docs, shingle, percent)
     joined = components(links.union(more))
     grouped = classes.join(joined, classes["rep"] == joined["node"], "left").select(

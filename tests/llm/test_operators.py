@@ -448,6 +448,22 @@ def test_pairs_below_the_threshold_are_not_candidates(spark, monkeypatch):
     assert sum(handed) < 200
 
 
+def test_pairs_held_against_the_least_member_are_not_compared_again(spark, monkeypatch):
+    """Lists of two members, as chance makes most, are decided when these are held against each other: no row of them reaches the blocks."""
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choices(string.ascii_lowercase, k=8))
+    rows = []
+    for i in range(20):
+        shared = [word() for _ in range(160)]
+        rows += [(2 * i + k, " ".join(shared + [word() for _ in range(60)])) for k in (0, 1)]
+    rows.append((100, rows[0][1] + " end"))
+    seen, block_candidates = [], near_dedup.block_candidates
+    monkeypatch.setattr(near_dedup, "block_candidates", lambda lists, *rest: block_candidates(seen.append(lists.select("rep").collect()) or lists, *rest))
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85), "n_shingles", "component_id")
+    assert got == brute.near_components(rows, 3, 85) and got[100][1] == 0
+    assert {r["rep"] for r in seen[0]} <= {1, 100}
+
+
 def test_an_estimate_drops_a_similar_pair_with_a_stated_probability():
     for seen, sizes, percent in ((256, 800, 85), (256, 20_000, 80), (40, 100, 85), (256, 560, 80)):
         most = near_dedup.most_apart(seen, sizes, percent)
