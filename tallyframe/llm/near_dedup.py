@@ -29,6 +29,7 @@ MISSED = 1e-9  # probability with which an estimate may drop a pair that reaches
 BROADCAST_IDS = 500_000
 BROADCAST_SKETCHES = 10_000
 BROADCAST_HEADS = 100_000
+BROADCAST_LOST = 2_000_000  # ids of documents that go: about 100 MB in a task, against a shuffle of all texts
 _MARK = np.uint64(0x5851F42D4C957F2D)
 _HALF = np.uint64(32)
 
@@ -385,8 +386,8 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     """
     key = fresh(docs, "lost_id")
     found = saved(near_duplicates(docs, shingle, percent), "near-duplicates")
-    lost = found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
-    left = docs.join(lost, docs["doc_id"] == lost[key], "left_anti")
+    lost = saved(found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct(), "lost")
+    left = docs.join(bounded_broadcast(lost, BROADCAST_LOST), docs["doc_id"] == lost[key], "left_anti")
     again = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n")).where("n > 1").select(key)
     if not again.limit(1).count():
         return left

@@ -10,6 +10,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe.llm import class_lm, components, fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup
 
@@ -434,6 +435,22 @@ def test_near_dedup_of_repeated_rows(spark):
     assert sorted((r["doc_id"] or 0) for r in left) == [0, 0, 1, 3]
 
 
+def test_texts_are_not_shuffled_to_drop_copies(spark, odd, monkeypatch):
+    """Whatever Spark guesses of its size, a bounded table of lost ids goes to the texts; a larger one meets them in a shuffle, with the same rows."""
+    monkeypatch.setattr(near_dedup, "near_duplicates", lambda docs, *_: docs.select("doc_id", F.lit(1).alias("n_shingles"), (F.col("doc_id") % 3 == 0).alias("kept")))
+    plan = lambda df: df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    rows = odd.where("doc_id NOT IN (4, 10)").select("doc_id", "text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        near = near_dedup.deduplicated(rows)
+        monkeypatch.setattr(near_dedup, "BROADCAST_LOST", 0)
+        far = near_dedup.deduplicated(rows)
+        assert "BroadcastHashJoin" in plan(near) and "Exchange hashpartitioning" not in plan(near)
+        assert sorted(r["doc_id"] for r in near.collect()) == sorted(r["doc_id"] for r in far.collect()) == [3, 6, 9, 12, 15, 18]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pairs_below_the_threshold_are_not_candidates(spark, monkeypatch):
     """60 documents with 0.72 of their shingles in common, in many lists together: their 1,770 pairs are not handed on."""
     draw = random.Random(7)
