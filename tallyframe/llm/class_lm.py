@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import words as W
-from tallyframe.llm.base import saved
+from tallyframe.llm.base import release_memory, saved
 
 CLASSES = 24  # least number of classes; more words have words ** GROWTH of them
 GROWTH = 0.28
@@ -29,9 +29,11 @@ EPS = 1e-4  # gains in log-likelihood up to this are rounding
 SHARE = 0.5  # of the words that would gain, at most so many move at once, as neighbours that move together undo each other's gain
 STOP = 1e-2  # exchange ends after a round that raises the log-likelihood by less than this share of what classes have won over a single one
 CHUNK = 1 << 17  # rows of bigrams that are handed to a task as one value, about
+PAIRS = 1 << 19  # words of training for each bucket of bigrams, which one task adds up or sorts at once
 END = 0  # key of a text's end
 SMOOTH = 0.5
 _SLICE = 24 << 20
+_SMALL_SLICE = 4 << 20  # where a word takes many numbers
 
 
 @dataclass
@@ -62,9 +64,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 1, F.lit(False))
 
 
-def _slices(batches: Iterator[pa.RecordBatch], at: int = 0) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
+def _slices(batches: Iterator[pa.RecordBatch], at: int = 0, most: int = _SLICE) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
     for batch in batches:
-        for a, b in W.text_slices(batch.column(at), _SLICE):
+        for a, b in W.text_slices(batch.column(at), most):
             yield (batch.slice(a, b - a), *W.split_words(batch.column(at).slice(a, b - a), lower=True))
 
 
@@ -100,31 +102,125 @@ def word_counts(training: DataFrame) -> DataFrame:
         for _, words, _ in _slices(batches):
             coded = words.dictionary_encode()
             n = np.bincount(np.asarray(coded.indices), minlength=len(coded.dictionary))
-            found = coded.dictionary.cast(pa.string())
-            yield pa.RecordBatch.from_arrays([found, pa.array(n.astype(np.int64)), pa.array(keys(found)), pa.array(ending_of(found))], names=["word", "n", "key", "ending"])
+            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(n.astype(np.int64))], names=["word", "n"])
+        release_memory()
 
-    rows = training.select("text").mapInArrow(run, "word string, n bigint, key bigint, ending bigint")
-    return saved(rows.groupBy("word").agg(F.sum("n").alias("c"), F.first("key").alias("key"), F.first("ending").alias("ending")), "word-counts")
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word = batch.column(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys(word)), pa.array(ending_of(word))], names=["word", "c", "key", "ending"])
+        release_memory()
 
+    rows = training.select("text").mapInArrow(run, "word string, n bigint")
+    return saved(rows.groupBy("word").agg(F.sum("n").alias("c")).mapInArrow(named, "word string, c bigint, key bigint, ending bigint"), "word-counts")
+
+
+_PACKED = ("pairs", "i", "j", "n")
+_PACKED_DDL = "pairs bigint, i binary, j binary, n binary"
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers from 0 on as the lowest bytes of all, then the next ones, as many as the largest number has: the higher ones mostly repeat."""
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return np.ascontiguousarray(x.astype("<i8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(data: pa.Scalar, rows: int) -> np.ndarray:
+    out = np.zeros((rows, 8), np.uint8)
+    planes = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, rows)
+    out[:, : len(planes)] = planes.T
+    return out.view("<i8").ravel()
+
+
+def _packed(i: np.ndarray, j: np.ndarray, n: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
+    """Their number and bigrams as three values; ``i`` rises, so its steps are stored."""
+    return len(i), _planes(np.diff(i, prepend=0)), _planes(j), _planes(n)
 
-def unit_bigrams(training: DataFrame, placed: Broadcast) -> DataFrame:
-    """(i, j, n) over all neighbours in all training texts, as numbers of units; a text's end stands before its first word too.
 
-    Units are the words of ``placed`` (sorted keys), then the endings of all others, then the end of a text.
+def _packed_rows(parts: list[tuple]) -> list[pa.Array]:
+    columns = list(zip(*parts)) or [()] * 4
+    return [pa.array(list(c), k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
+
+
+def _rows(row: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    i, j, n = (_from_planes(c, row[0].as_py()) for c in row[1:])
+    return np.cumsum(i), j, n
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each different key, ascending, and the sum of its ``n``."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _dealt(i: np.ndarray, j: np.ndarray, n: np.ndarray, bucket: np.ndarray, buckets: int, name: str) -> pa.RecordBatch:
+    """Rows sorted by ``i`` as one packed row for each bucket that has some."""
+    order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")
+    bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    i, j, n = i[order], j[order], n[order]
+    filled = np.flatnonzero(np.diff(bounds))
+    packed = [_packed(*(x[bounds[k] : bounds[k + 1]] for x in (i, j, n))) for k in filled]
+    return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), *_packed_rows(packed)], names=[name, *_PACKED])
+
+
+def packed_bigrams(training: DataFrame, placed: Broadcast, buckets: int = 16) -> DataFrame:
+    """Bigrams of units over all neighbours in all training texts, as packed columns of up to ``CHUNK`` rows; a text's end stands before its first word too.
+
+    Units are the words of ``placed`` (sorted keys), then the endings of all others, then the end of a text. Each task counts its slices and
+    deals the pairs by their hash into ``buckets``, which are then added up one by one.
     """
 
+    def units() -> int:
+        return len(placed.value) + ENDINGS + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = placed.value
-        units = len(own) + ENDINGS + 1
-        for _, words, starts in _slices(batches):
+        end = units() - 1
+        for _, words, starts in _slices(batches, most=_SMALL_SLICE):
             coded = words.dictionary_encode()
-            of = np.append(_units(coded.dictionary, own), units - 1)
+            of = np.append(_units(coded.dictionary, placed.value), end)
             now, before = _stream(np.asarray(coded.indices).astype(np.int64), starts, len(of) - 1)
-            pair, n = np.unique(of[before] * units + of[now], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array((pair // units).astype(np.int32)), pa.array((pair % units).astype(np.int32)), pa.array(n.astype(np.int64))], names=["i", "j", "n"])
+            pair, n = np.unique(of[before] * (end + 1) + of[now], return_counts=True)
+            yield _dealt(pair // (end + 1), pair % (end + 1), n, W.mix(pair) % np.uint64(buckets), buckets, "bucket")
+        release_memory()
 
-    rows = training.select("text").mapInArrow(run, "i int, j int, n bigint")
-    return saved(rows.groupBy("i", "j").agg(F.sum("n").alias("n")), "bigrams")
+    def added(group: pa.Table) -> pa.Table:
+        parts = [_rows(row) for row in zip(*(group.column(c) for c in _PACKED))]
+        i, j, n = (np.concatenate(c) for c in zip(*parts))
+        pair, n = _summed(i * units() + j, n)
+        del parts, i, j
+        cuts = [slice(at, at + CHUNK) for at in range(0, len(pair), CHUNK)]
+        out = pa.table(_packed_rows([_packed(pair[c] // units(), pair[c] % units(), n[c]) for c in cuts]), names=list(_PACKED))
+        release_memory()
+        return out
+
+    rows = training.select("text").mapInArrow(run, f"bucket int, {_PACKED_DDL}")
+    return saved(rows.groupBy("bucket").applyInArrow(added, _PACKED_DDL), "bigrams")
+
+
+def unit_bigrams(training: DataFrame, placed: Broadcast) -> DataFrame:
+    """(i, j, n): the rows of ``packed_bigrams``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*batch.columns):
+                i, j, n = _rows(row)
+                yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n)], names=["i", "j", "n"])
+
+    return packed_bigrams(training, placed).mapInArrow(run, "i int, j int, n bigint")
+
+
+def _repacked(bigrams: DataFrame) -> DataFrame:
+    """Rows (i, j, n) as packed columns, one row for each batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            i, j, n = (np.asarray(c).astype(np.int64) for c in batch.columns)
+            order = np.argsort(i, kind="stable")
+            yield pa.RecordBatch.from_arrays(_packed_rows([_packed(i[order], j[order], n[order])]), names=list(_PACKED))
+
+    return bigrams.select("i", "j", "n").mapInArrow(run, _PACKED_DDL)
 
 
 def _units(words: pa.Array, placed: np.ndarray) -> np.ndarray:
@@ -308,30 +404,37 @@ _CHUNK = "w binary, v binary, side binary, n binary"
 _KINDS = (np.int32, np.int32, np.int8, np.int64)
 
 
-def _chunks(bigrams: DataFrame, end: int) -> DataFrame:
-    """All bigrams once from each of their units, as packed columns of about ``CHUNK`` rows each; the rows of a unit are in one chunk."""
-    both = bigrams.select(F.col("i").alias("w"), F.col("j").alias("v"), F.lit(0).cast("byte").alias("side"), "n")
-    both = both.unionAll(bigrams.select(F.col("j").alias("w"), F.col("i").alias("v"), F.lit(1).cast("byte").alias("side"), "n"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+def _chunks(bigrams: DataFrame, end: int, buckets: int) -> DataFrame:
+    """All packed bigrams once from each of their units, as packed columns of about ``CHUNK`` rows each; the rows of a unit are in one chunk.
 
-        def packed(columns: list[np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([c.astype(k).tobytes()], pa.binary()) for c, k in zip(columns, _KINDS)], names=["w", "v", "side", "n"])
+    Units are dealt by hash into ``buckets``, which are sorted one by one. The side of a row is the lowest bit of its ``j``.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held.append([np.asarray(c) for c in batch.columns])
-            rows += batch.num_rows
-            if rows >= CHUNK and held[-1][0][0] != held[-1][0][-1]:
-                columns = [np.concatenate(c) for c in zip(*held)]
-                cut = int(np.searchsorted(columns[0], columns[0][-1]))
-                yield packed([c[:cut] for c in columns])
-                held, rows = [[c[cut:] for c in columns]], rows - cut
-        if rows:
-            yield packed([np.concatenate(c) for c in zip(*held)])
-
-    dealt = both.where(F.col("w") != end).repartition("w").sortWithinPartitions("w")
-    return saved(dealt.mapInArrow(run, _CHUNK), "chunks")
+            for row in zip(*batch.columns):
+                i, j, n = _rows(row)
+                back = np.argsort(j, kind="stable")
+                for w, v, count, side in ((i, j, n, 0), (j[back], i[back], n[back], 1)):
+                    use = w != end
+                    w, v, count = w[use], v[use], count[use]
+                    yield _dealt(w, 2 * v + side, count, W.mix(w) % np.uint64(buckets), buckets, "part")
+        release_memory()
+
+    def cut(group: pa.Table) -> pa.Table:
+        parts = [_rows(row) for row in zip(*(group.column(c) for c in _PACKED))]
+        w, v, n = (np.concatenate(c) for c in zip(*parts))
+        order = np.argsort(w, kind="stable")
+        w, v, n = w[order], v[order], n[order]
+        ends = np.searchsorted(w, w[CHUNK::CHUNK]) if len(w) > CHUNK else []
+        bounds = np.unique([0, *ends, len(w)])
+        chunks = [[w[a:b], v[a:b] >> 1, v[a:b] & 1, n[a:b]] for a, b in zip(bounds, bounds[1:])]
+        columns = list(zip(*[[c.astype(k).tobytes() for c, k in zip(chunk, _KINDS)] for chunk in chunks]))
+        del parts, w, v, n, order, chunks
+        release_memory()
+        return pa.table([pa.array(list(c), pa.binary()) for c in columns], names=["w", "v", "side", "n"])
+
+    return saved(bigrams.mapInArrow(run, f"part int, {_PACKED_DDL}").groupBy("part").applyInArrow(cut, _CHUNK), "chunks")
 
 
 def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
@@ -339,13 +442,16 @@ def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         yield tuple(np.frombuffer(c.as_buffer(), k) for c, k in zip(row, _KINDS))
 
 
-def clustered(bigrams: DataFrame, placed: np.ndarray, core: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+def clustered(bigrams: DataFrame, placed: np.ndarray, core: np.ndarray, classes: int, buckets: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Class of every unit, and the counts of all class pairs, ends last: exchange over all bigrams, each round two scans of packed rows.
 
+    ``bigrams`` are rows (i, j, n) of numbers, or packed ones.
     The most frequent words (``core``, as units) are clustered first, and all others begin where they fit those best. A unit that no bigram has is in class -1.
     """
     spark, side, end = bigrams.sparkSession, classes + 1, len(placed) + ENDINGS
-    chunks = _chunks(bigrams, end)
+    if dict(bigrams.dtypes)["i"] != "binary":
+        bigrams = _repacked(bigrams)
+    chunks = _chunks(bigrams, end, buckets)
 
     def scanned(rows_of: Callable[[tuple, np.ndarray], pa.RecordBatch], schema: str, of: np.ndarray, added: bool = False) -> pa.Table:
         held = spark.sparkContext.broadcast(of)
@@ -354,6 +460,7 @@ def clustered(bigrams: DataFrame, placed: np.ndarray, core: np.ndarray, classes:
             for batch in batches:
                 for chunk in _unpacked(batch):
                     yield rows_of(chunk, held.value)
+            release_memory()
 
         found = chunks.mapInArrow(run, schema)
         table = (found.groupBy("cell").agg(F.sum("n").alias("n")) if added else found).toArrow()
@@ -399,10 +506,22 @@ def clustered(bigrams: DataFrame, placed: np.ndarray, core: np.ndarray, classes:
         of[at[picked]] = best[picked]
         return of
 
-    ends_alone = bigrams.where((F.col("i") == end) & (F.col("j") == end)).agg(F.sum("n")).first()[0] or 0
-    ids = F.broadcast(spark.createDataFrame([(int(u), k) for k, u in enumerate([*core, end])], "unit int, id int"))
-    found = bigrams.join(ids.withColumnsRenamed({"unit": "i", "id": "a"}), "i").join(ids.withColumnsRenamed({"unit": "j", "id": "b"}), "j").select("a", "b", "n").toArrow()
+    place = np.full(end + 1, -1, np.int64)  # of the core words, and last of the end, among these
+    place[[*core, end]] = np.arange(len(core) + 1)
+    places = spark.sparkContext.broadcast(place)
+
+    def of_core(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*batch.columns):
+                i, j, n = _rows(row)
+                a, b = places.value[i], places.value[j]
+                both = (a >= 0) & (b >= 0)
+                yield pa.RecordBatch.from_arrays([pa.array(a[both]), pa.array(b[both]), pa.array(n[both])], names=["a", "b", "n"])
+        release_memory()
+
+    found = bigrams.mapInArrow(of_core, "a bigint, b bigint, n bigint").toArrow()
     a, b, n = (np.asarray(found.column(c)).astype(np.int64) for c in ("a", "b", "n"))
+    ends_alone = int(n[(a == len(core)) & (b == len(core))].sum())
     group, core_pairs = exchanged_rows(a, b, n, core.astype(np.int64) + 1, np.arange(len(core)) % classes, classes)
     of = np.full(end + 1, -1, np.int16)
     of[core], of[end] = group, classes
@@ -432,7 +551,8 @@ def learned(docs: DataFrame, classes: int | None = None, core: int = CORE, place
     own = key_of((F.col("c") >= least) & most_frequent(counts, placed))
     units = spark.sparkContext.broadcast(own)
     first = key_of((F.col("c") >= least) & short & most_frequent(counts, core))
-    of, pairs = clustered(unit_bigrams(training, units), own, np.searchsorted(own, np.intersect1d(first, own)), classes)
+    buckets = ((total[0] or 0) + ends) // PAIRS + 1
+    of, pairs = clustered(packed_bigrams(training, units, buckets), own, np.searchsorted(own, np.intersect1d(first, own)), classes, buckets)
 
     classes_of = spark.sparkContext.broadcast(of)
 
@@ -491,7 +611,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         row = TaskContext.get().partitionId() << 40
         m = Model(**held.value)
         end = m.transition.shape[0] - 1
-        for part, words, starts in _slices(batches, text_at):
+        for part, words, starts in _slices(batches, text_at, _SMALL_SLICE):
             rows = part.num_rows
             code = _coded(words, m.words)
             inside = code >= 0
@@ -518,6 +638,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             columns += [pa.array(row + np.arange(rows)), pa.array(np.diff(starts) + 1), pa.array(known.astype(np.int64)), pa.array(base.astype(float)), pa.array(score.astype(float)), *lists]
             row += rows
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        release_memory()
 
     partial = saved(docs.mapInArrow(run, schema), "scores")
     tail = saved(partial.select("row_", F.inline(F.arrays_zip("befores_", "words_", "from_", "to_"))), "rare-words")
@@ -531,7 +652,8 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     numbers = lambda values: F.array(*[F.lit(float(x)) for x in values])
     per_class = numbers(model.class_tokens + SMOOTH * (model.class_words + 1))
     side = len(model.transition)
-    steps = docs.sparkSession.createDataFrame([(i // side, i % side, float(x)) for i, x in enumerate(model.transition.ravel())], "from_ bigint, to_ bigint, step_ double")
+    cell = np.arange(side * side)
+    steps = docs.sparkSession.createDataFrame(pa.table({"from_": cell // side, "to_": cell % side, "step_": model.transition.ravel().astype(float)}))
     met = met.join(F.broadcast(steps), ["from_", "to_"])
     log = lambda over: F.coalesce(F.log10((F.col("c") + SMOOTH) / over), F.lit(0.0))
     sums = met.groupBy("row_").agg(

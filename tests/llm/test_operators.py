@@ -774,6 +774,30 @@ def test_class_lm_rounds_raise_the_likelihood(docs):
     assert class_lm.likelihood(pairs) > class_lm.likelihood(other)
 
 
+def test_bigrams_move_packed(spark, docs):
+    """Counts are those of plain Python; to be added up and to be sorted by word, bigrams move as a row for each slice and bucket, not each."""
+    training = docs.where(~class_lm.held_out(class_lm.F.col("doc_id"))).repartition(3)
+    own = np.unique([r["key"] for r in class_lm.word_counts(training).where("c >= 5").collect()])
+    end = len(own) + class_lm.ENDINGS
+    want, unit = collections.Counter(), lambda w: int(class_lm._units(pa.array([w]), own)[0])
+    of = {}
+    for r in training.collect():
+        path = [end, *(of.setdefault(w, unit(w)) if w not in of else of[w] for w in brute.words(r["text"], lower=True)), end]
+        want.update(zip(path, path[1:]))
+    packed = class_lm.packed_bigrams(training, spark.sparkContext.broadcast(own), 7)
+    got = [p for r in packed.collect() for p in zip(*(c.tolist() for c in class_lm._rows([pa.scalar(r["pairs"]), *(pa.scalar(bytes(r[c])) for c in "ijn")])))]
+    assert len(got) == len(want) and {(i, j): n for i, j, n in got} == want and packed.count() <= 7
+    sides = collections.Counter()
+    units, chunks = [], class_lm._chunks(packed, end, 5)
+    for r in chunks.collect():
+        w, v, side, n = (np.frombuffer(r[c], k) for c, k in zip(("w", "v", "side", "n"), class_lm._KINDS))
+        units += np.unique(w).tolist()
+        for a, b, s, k in zip(w.tolist(), v.tolist(), side.tolist(), n.tolist()):
+            sides[(b, a) if s else (a, b), s] += k
+    assert len(units) == len(set(units)) and chunks.count() >= 5
+    assert sides == {((i, j), s): n for (i, j), n in want.items() for s in (0, 1) if (j if s else i) != end}
+
+
 def test_most_frequent_parts_ties(spark):
     frame = spark.createDataFrame([(f"w{i}", c) for i, c in enumerate([9] * 3 + [5] * 2000 + [1] * 50)], "word string, c long")
     some = frame.where(class_lm.most_frequent(frame, 1003))
